@@ -1,0 +1,21 @@
+"""Small shared helpers for operators."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Default row bound under which a dimension side may be broadcast.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows
+    (a bounded ``limit(max_rows + 1).count()``); otherwise return it unchanged
+    so the join falls back to a shuffle join (and AQE may still convert it)."""
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
+
+
+def nulls_last_asc(col: str):
+    return F.col(col).asc_nulls_last()
