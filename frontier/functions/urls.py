@@ -195,9 +195,14 @@ class SuffixRules:
             return cls.from_lines(fh)
 
     def map_column(self) -> Column:
-        keys = sorted(self.codes)
-        return F.map_from_arrays(F.array(*[F.lit(k) for k in keys]),
-                                 F.array(*[F.lit(self.codes[k]) for k in keys]))
+        """The rules as one MAP<STRING,INT> literal (built once, via SQL text)."""
+        if getattr(self, "_map_sql", None) is None:
+            def q(x: str) -> str:
+                return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+            keys = sorted(self.codes)
+            self._map_sql = ("map_from_arrays(array(" + ",".join(q(k) for k in keys) + "), array("
+                             + ",".join(str(self.codes[k]) for k in keys) + "))")
+        return F.expr(self._map_sql)
 
 
 DEFAULT_RULES = SuffixRules(DEFAULT_SUFFIXES)
