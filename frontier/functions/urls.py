@@ -25,6 +25,12 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def let(value, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable
+    (keeps large sub-expressions from being copied into every reference)."""
+    return F.element_at(F.transform(F.array(_c(value)), body), 1)
+
+
 def clean_url(url) -> Column:
     """Strip leading C0/space characters and remove tab/CR/LF, as urlsplit does."""
     u = _c(url)
@@ -50,9 +56,10 @@ def _hostname_of_netloc(netloc: Column) -> Column:
 def host_of(url) -> Column:
     """SC-1: lower-case hostname of a URL, "" when there is none (userinfo and
     port stripped, IPv6 brackets removed)."""
-    u = _c(url)
-    h = F.lower(_hostname_of_netloc(url_part(u, "netloc")))
-    return F.when(u.isNull() | (u == ""), F.lit("")).otherwise(F.coalesce(h, F.lit("")))
+    def body(u):
+        h = F.lower(_hostname_of_netloc(url_part(u, "netloc")))
+        return F.when(u.isNull() | (u == ""), F.lit("")).otherwise(F.coalesce(h, F.lit("")))
+    return let(url, body)
 
 
 def host_extract_sql(url) -> Column:
@@ -212,7 +219,10 @@ def registrable_domain(host, rules: SuffixRules | None = None) -> Column:
     """SC-3: eTLD+1 of a lower-case host, NULL when the host has no known
     public suffix or is itself a public suffix."""
     rules = rules or DEFAULT_RULES
-    h = _c(host)
+    return let(host, lambda h: _registrable(h, rules))
+
+
+def _registrable(h: Column, rules: SuffixRules) -> Column:
     labels = F.split(h, r"\.")
     n = F.size(labels)
     m = rules.map_column()
@@ -238,11 +248,12 @@ def shard_key(host, split_hosts: Column | None = None, rules: SuffixRules | None
     """SC-4: whitelisted host -> itself; else eTLD+1; else the host;
     'unknown' for an empty host.  ``split_hosts`` is a boolean Column telling
     whether the host is on the split whitelist (see ``operators.routing``)."""
-    h = _c(host)
-    reg = F.coalesce(registrable_domain(h, rules), h)
-    if split_hosts is not None:
-        reg = F.when(F.coalesce(split_hosts, F.lit(False)), h).otherwise(reg)
-    return F.when(h.isNull() | (h == ""), F.lit("unknown")).otherwise(reg)
+    def body(h):
+        reg = F.coalesce(registrable_domain(h, rules), h)
+        if split_hosts is not None:
+            reg = F.when(F.coalesce(split_hosts, F.lit(False)), h).otherwise(reg)
+        return F.when(h.isNull() | (h == ""), F.lit("unknown")).otherwise(reg)
+    return let(host, body)
 
 
 def md5_mod(key, n: int) -> Column:
@@ -344,7 +355,10 @@ def canonicalize_url(url) -> Column:
     """SC-9: canonical form used for link identity: lower scheme and netloc,
     path percent-normalised ('/' when empty), query pairs decoded, sorted and
     re-encoded (blank values kept), fragment dropped."""
-    u = F.trim(_c(url))
+    return let(F.trim(_c(url)), _canonicalize)
+
+
+def _canonicalize(u: Column) -> Column:
     scheme = F.lower(url_part(u, "scheme"))
     netloc = F.lower(url_part(u, "netloc"))
     rawpath = url_part(u, "path")

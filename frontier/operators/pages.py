@@ -145,7 +145,8 @@ def with_outlinks(df: DataFrame, page_url: str, vis: str, out: str = "outlinks",
     array computed once per row."""
     deny = F.array(*[F.lit(e) for e in deny_extensions])
     tmp = "__lk"
-    staged = df.withColumn(tmp, _raw_links(F.col(vis), _base_from_vis(F.col(page_url), F.col(vis))))
+    staged = df.withColumn("__base", _base_from_vis(F.col(page_url), F.col(vis)))
+    staged = staged.withColumn(tmp, _raw_links(F.col(vis), F.col("__base"))).drop("__base")
     staged = staged.withColumn(tmp, F.transform(
         F.filter(F.col(tmp), lambda x: F.lower(U.url_part(x["url"], "scheme")).isin(*LINK_SCHEMES)
                  & ~F.array_contains(deny, U.url_extension(x["url"]))),
@@ -194,7 +195,8 @@ def extract_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html"
         gate.alias("__gate"))
     staged = staged.withColumn("__vis", F.when(F.col("__gate"), visible_html(F.col("__html"))))
     staged = with_outlinks(staged, "__page_url", "__vis", "__outlinks", deny_extensions, rules)
-    url = U.canonicalize_url(F.col("__page_url"))
+    staged = staged.withColumn("__url", U.canonicalize_url(F.col("__page_url")))
+    url = F.col("__url")
     g = F.col("__gate")
     return staged.select(
         *[F.col(k) for k in keep],
