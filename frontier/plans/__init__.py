@@ -1,7 +1,7 @@
 """Registered queries; importing this package fills the registry."""
 
 from . import registry  # noqa: F401
-from . import url_queries, page_queries, ingest_queries  # noqa: F401
+from . import url_queries, page_queries, ingest_queries, select_queries  # noqa: F401
 
 QUERIES = registry.QUERIES
 ORACLES = registry.ORACLES

@@ -234,7 +234,7 @@ def f6_selection_state(spark, sf_dir):
         F.when(F.col("o_orderkey") % 3 == 0, F.lit(None)).otherwise(od + F.expr("INTERVAL 1 DAY")).alias("last_scheduled"),
         od.alias("first_seen"), (F.col("o_orderstatus") != "F").alias("should_crawl"),
         ((F.col("o_custkey") % 10).cast("double") / 10).alias("domain_score"),
-        U.shard_id(U.shard_key(host)).alias("shard_id"),
+        U.shard_id(host).alias("shard_id"),
         (F.col("o_orderkey") % 5).cast("int").alias("num_scheduled_90d"))
     return SC.conform(rows, SC.URL_STATE, SC.URL_STATE_DEFAULTS)
 
