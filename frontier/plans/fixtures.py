@@ -248,13 +248,13 @@ SELECT ts, CASE WHEN event_type = 'error' THEN 'WARNING' ELSE 'INFO' END AS leve
     WHEN 'purchase' THEN 'spider.heartbeat' ELSE 'offer.refill_shard' END AS event,
   'd' || user_id AS domain,
   CASE WHEN event_type = 'click' THEN CASE WHEN event_id % 7 = 0 THEN 404 ELSE 200 END END AS status,
-  CAST(value AS BIGINT) AS latency_ms,
+  CAST(floor(value) AS BIGINT) AS latency_ms,
   CASE WHEN event_type = 'error' THEN CASE event_id % 5 WHEN 0 THEN 'HttpError 503' WHEN 1 THEN 'HttpError 404'
     WHEN 2 THEN 'TimeoutError' WHEN 3 THEN 'IgnoreRequest Forbidden by robots.txt' ELSE 'DNSLookupError' END END
     AS fail_reason,
   CASE WHEN event_type = 'error' THEN 'batch failed at row ' || event_id || chr(10) || 'trace' END AS error,
-  CAST(value AS BIGINT) % 50 AS inflight, CAST(value AS BIGINT) % 200 AS pending,
-  CAST(user_id % 40 AS BIGINT) AS active_domains, CAST(value AS BIGINT) % 13 AS transferring,
+  CAST(floor(value) AS BIGINT) % 50 AS inflight, CAST(floor(value) AS BIGINT) % 200 AS pending,
+  CAST(user_id % 40 AS BIGINT) AS active_domains, CAST(floor(value) AS BIGINT) % 13 AS transferring,
   CAST(event_id % 17 AS BIGINT) AS slot_queue,
   CASE WHEN event_type = 'signup' THEN event_id % 100 END AS picked_urls,
   CASE WHEN event_type = 'signup' THEN event_id % 7 END AS picked_domains,
@@ -266,7 +266,7 @@ FROM events
 def f7_logs(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     et = F.col("event_type")
-    v = F.col("value").cast("long")
+    v = F.floor(F.col("value")).cast("long")
     eid = F.col("event_id")
     reason = (F.when(eid % 5 == 0, "HttpError 503").when(eid % 5 == 1, "HttpError 404").when(eid % 5 == 2, "TimeoutError")
               .when(eid % 5 == 3, "IgnoreRequest Forbidden by robots.txt").otherwise("DNSLookupError"))
