@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import urls as U
@@ -34,3 +34,92 @@ def with_shard_columns(df: DataFrame, url_col: str = "url", whitelist: DataFrame
         out = out.drop("__wl_hit")
     out = out.withColumn(prefix + "shard_id", U.shard_id(F.col(prefix + "shard_key"), num_shards, overrides))
     return out.withColumn(prefix + "ingestor_id", U.ingestor_of(F.col(prefix + "shard_id"), shards_per_ingestor))
+
+
+ID_BUCKETS = 256
+
+
+def resolve_domains(registry: DataFrame, keys: DataFrame, overwrite_shard: bool = False):
+    """RJ-1 / RJ-2: domain registry get-or-create.
+
+    ``keys``: ``domain, shard_id`` (one shard per domain key).  Unseen
+    domains get new dense ids after ``max(domain_id)``: ids are numbered per
+    md5 bucket of the domain (a window per bucket) plus the bucket's offset
+    (a 256-row prefix sum), so no step runs in a single task.  Existing
+    domains keep id, score and shard - unless ``overwrite_shard`` (RJ-2), in
+    which case the key's shard replaces the stored one.
+
+    Returns ``(new_registry, resolved)``; ``resolved`` is ``domain,
+    domain_id, domain_score, shard_id`` for every key."""
+    k = keys.select("domain", "shard_id").dropDuplicates(["domain"])
+    reg = registry.select("domain_id", "domain", "shard_id", "domain_score", "crawl_paused_until", "domain_fail_count")
+    new = k.join(reg.select("domain"), "domain", "left_anti").withColumn("__b", U.md5_mod(F.col("domain"), ID_BUCKETS))
+    new = new.withColumn("__rn", F.row_number().over(Window.partitionBy("__b").orderBy("domain")))
+    counts = new.groupBy("__b").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(
+        Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # <= 256 rows
+    base = reg.agg(F.coalesce(F.max("domain_id"), F.lit(0)).alias("__base"))         # one row
+    new_rows = (new.join(F.broadcast(offsets.select("__b", "__off")), "__b").crossJoin(F.broadcast(base))
+                .select((F.col("__base") + F.col("__off") + F.col("__rn")).cast("long").alias("domain_id"), "domain",
+                        F.col("shard_id").cast("int").alias("shard_id"), F.lit(0.0).alias("domain_score"),
+                        F.lit(None).cast("timestamp").alias("crawl_paused_until"), F.lit(0).alias("domain_fail_count")))
+    if overwrite_shard:
+        upd = reg.join(k.select("domain", F.col("shard_id").alias("__ks")), "domain", "left").withColumn(
+            "shard_id", F.coalesce(F.col("__ks"), F.col("shard_id"))).drop("__ks")
+        reg = upd.select(*new_rows.columns)
+    new_registry = reg.select(*new_rows.columns).unionByName(new_rows)
+    resolved = k.select("domain").join(new_registry, "domain", "inner").select(
+        "domain", "domain_id", F.coalesce(F.col("domain_score"), F.lit(0.0)).alias("domain_score"), "shard_id")
+    return new_registry, resolved
+
+
+def route_results(records: DataFrame, registry: DataFrame, whitelist: DataFrame | None = None,
+                  num_shards: int = 256, overrides: Mapping[str, int] | None = None,
+                  shards_per_ingestor: int = 16, rules: U.SuffixRules | None = None):
+    """RJ-3 / RJ-4 / RJ-5 / SC-7: route crawl records.
+
+    Returns ``(routed_results, link_records, new_registry)``:
+    * routed results: record columns + ``shard_id, ingestor_id, domain_id,
+      content_hash`` and outlinks as ``array<struct<url, domain_id, anchor>>``;
+    * link records (one per outlink, status ``new``): target shard, domain id
+      and score, ``parent_page_score`` = the *source* domain's score,
+      ``inlink_count_external`` = source key differs from target key;
+    * the registry with every unseen domain key added (RJ-1).
+    """
+    recs = records.withColumn("__rid", F.monotonically_increasing_id())
+    src = with_shard_columns(recs.select("__rid", "url"), "url", whitelist, num_shards, overrides,
+                             shards_per_ingestor, rules)
+    links = recs.select("__rid", F.col("url").alias("discovered_from"),
+                        F.posexplode_outer("outlinks").alias("__pos", "__l")).filter(F.col("__l").isNotNull())
+    links = links.select("__rid", "discovered_from", "__pos", F.col("__l.url").alias("url"),
+                         F.col("__l.anchor").alias("anchor")).filter(F.col("url").isNotNull() & (F.col("url") != ""))
+    dst = with_shard_columns(links, "url", whitelist, num_shards, overrides, shards_per_ingestor, rules)
+    keys = (src.select(F.col("shard_key").alias("domain"), "shard_id")
+            .unionByName(dst.select(F.col("shard_key").alias("domain"), "shard_id")))
+    new_registry, resolved = resolve_domains(registry, keys)
+    r = resolved.select("domain", "domain_id", "domain_score")
+    src_r = src.join(r, src.shard_key == r.domain, "left").select(
+        "__rid", "shard_id", "ingestor_id", "domain_id", F.col("domain_score").alias("__src_score"),
+        F.col("shard_key").alias("__src_key"))
+    dst_r = dst.join(r, dst.shard_key == r.domain, "left")
+    link_records = dst_r.join(src_r.select("__rid", "__src_score", "__src_key"), "__rid").select(
+        "url", F.lit("new").alias("status"), "shard_id", "ingestor_id", "domain_id", "domain_score",
+        "discovered_from", F.lit(1).cast("short").alias("discovery_source_type"),
+        F.col("__src_score").alias("parent_page_score"), F.lit(1).alias("inlink_count_approx"),
+        (F.col("__src_key") != F.col("shard_key")).cast("int").alias("inlink_count_external"),
+        F.col("anchor").alias("anchor_text"), "__rid", "__pos")
+    routed_links = (dst_r.groupBy("__rid").agg(F.sort_array(F.collect_list(F.struct(
+        "__pos", "url", "domain_id", "anchor"))).alias("__ol")))
+    routed = (recs.join(src_r, "__rid", "left").join(routed_links, "__rid", "left")
+              .withColumn("outlinks", F.coalesce(F.transform("__ol", lambda x: F.struct(
+                  x["url"].alias("url"), x["domain_id"].alias("domain_id"), x["anchor"].alias("anchor"))),
+                  F.array().cast("array<struct<url:string,domain_id:bigint,anchor:string>>")))
+              .withColumn("content_hash", U.content_hash(F.col("status"), F.col("content")))
+              .drop("__ol", "__src_score", "__src_key"))
+    return routed, link_records, new_registry
+
+
+def dispatch(df: DataFrame, by: str = "ingestor_id") -> DataFrame:
+    """RJ-5: co-locate records of one ingestor (hash partitioning on the key);
+    write with ``partitionBy(by)`` to get one folder per ingestor."""
+    return df.repartition(by)
