@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, sharding
+from . import bpe, decontaminate, htmltext, linededup, minhash, quality, rules, sharding, toxicity
+from .labelled import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,3 +48,47 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE of every document and back, as digests."""
     return bpe.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+@register("op10_minhash", minhash.SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of the documents: five-word shingles, similarity 0.75."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op9_line_dedup", linededup.SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of lines with 50 words or more that repeat earlier text, deleted."""
+    return linededup.report(table(spark, sf_dir, "documents"))
+
+
+@register("op6_quality_rules")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base statistics and the verdict of the learned decision list for every document."""
+    docs = table(spark, sf_dir, "documents")
+    learned = rules.learn_rules(docs, table(spark, sf_dir, "labels"))
+    return rules.apply_rules(docs, learned).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@register("op5_quality")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; rows with crc32(doc_id) mod 5 = 0 are never learned from."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), where=~held_out("id", 5, 0))
+    return quality.score(docs, model).select(
+        "doc_id", held_out("doc_id", 5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@register("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; rows with crc32(doc_id) mod 3 = 1 are never learned from."""
+    found = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), where=~held_out("id", 3, 1))
+    return found.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "evidence")
+
+
+@register("op7_html_text")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = table(spark, sf_dir, "pages")
+    return htmltext.extract(pages, htmltext.fit(pages))
