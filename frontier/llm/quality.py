@@ -1,6 +1,7 @@
 """Quality classifier: supervised subword embeddings.
 
-A text is the bag of its words and of its character 3- and 4-grams, hashed into buckets.
+A text is the bag of its words and of its character 3- and 4-grams, hashed into buckets,
+and of a token for every word that repeats the first, second or third word before it.
 Every bucket has a learned vector; the mean of a text's vectors goes through a softmax
 layer. Vectors and layer are trained together by stochastic gradient descent in numpy on a
 bounded sample of labelled rows, with a step size per bucket that falls with its past
@@ -30,16 +31,29 @@ MAX_TRAIN = 3000
 BITS, DIM = 17, 10
 EPOCHS, STEP_SIZE, SEED = 12, 0.3, 11
 SIZES = (3, 4)
+#: Word distances that have a token for repeats.
+LAGS = (1, 2, 3)
 
 
 def _buckets(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> K.U64(64 - BITS)).astype(np.int64)
 
 
+def _repeats(t: Texts):
+    """(bucket, places of words) of the repeat tokens, by distance."""
+    doc, h = t.words.doc, t.words.hashes
+    for lag in LAGS:
+        same = (h[lag:] == h[:-lag]) & (doc[lag:] == doc[:-lag])
+        yield int(_buckets(K.mix(np.array([lag], K.U64)))[0]), np.flatnonzero(same) + lag
+
+
 def text_buckets(texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per text the distinct buckets and their counts."""
     t = Texts(texts)
     owner, bucket = [t.words.doc], [_buckets(t.words.hashes)]
+    for b, at in _repeats(t):
+        owner.append(t.words.doc[at])
+        bucket.append(np.full(len(at), b))
     for n in SIZES:
         hashes, valid = t.grams(n)
         at = np.flatnonzero(valid)
@@ -116,8 +130,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 def score_texts(texts: list[str | None], model: Model) -> np.ndarray:
     t = Texts(texts)
-    total = t.word_sums(model.weights[_buckets(t.words.hashes)])
-    count = np.diff(t.words.first).astype(float)
+    values, extra = model.weights[_buckets(t.words.hashes)].astype(float), np.ones(len(t.words.hashes))
+    for b, at in _repeats(t):
+        values[at] += model.weights[b]
+        extra[at] += 1
+    total, count = t.word_sums(values), t.word_sums(extra)
     for n in SIZES:
         hashes, valid = t.grams(n)
         total += t.sums(np.where(valid, model.weights[_buckets(hashes)], 0))

@@ -25,7 +25,7 @@ from .labelled import sample
 
 #: Labelled rows that the list is learned from.
 MAX_TRAIN = 20000
-#: Share of rejected rows that must be labelled low, on rows the rule wasn't grown on.
+#: Share of rejected rows that must be labelled low, on rows the rule wasn't grown on and over all.
 LEAST_PRECISION = 0.95
 MAX_RULES, MAX_CONDITIONS, MIN_COVER = 16, 4, 10
 
@@ -162,7 +162,8 @@ def learn(x: dict[str, np.ndarray], low: np.ndarray, seed: int = 7) -> list[list
         rule = _grow(*pick(grow))
         while len(rule) > 1 and _worth(rule[:-1], *pick(prune))[0] >= _worth(rule, *pick(prune))[0]:
             rule = rule[:-1]
-        if not rule or _worth(rule, *pick(prune))[1] < LEAST_PRECISION:
+        # on the pruning part it must be as pure as asked, and over both the smoothed precision must be
+        if not rule or (_worth(rule, *pick(prune))[0] + 1) / 2 < LEAST_PRECISION or _worth(rule, *pick(left))[1] < LEAST_PRECISION:
             break
         rules.append(rule)
         on = left.copy()

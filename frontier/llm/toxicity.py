@@ -33,7 +33,7 @@ from .labelled import sample
 #: Labelled rows in the sample, terms in the vocabulary (both bound what is broadcast).
 MAX_EXAMPLES, MAX_TERMS = 6000, 1024
 #: Least chi-square of a term: beyond what chance gives among millions of terms.
-LEAST_CHI2 = 40.0
+LEAST_CHI2 = 25.0
 GRAM, K_NEAREST, BLOCK_ROWS = 4, 15, 64
 #: Weight of the prior beside the neighbours' similarities.
 PRIOR_WEIGHT = 0.5
