@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, htmltext, linededup, minhash, quality, rules, sharding, toxicity
+from . import bpe, decontaminate, htmltext, linededup, minhash, quality, rules, sharding, toxicity, warc
 from .labelled import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     pages = table(spark, sf_dir, "pages")
     return htmltext.extract(pages, htmltext.fit(pages))
+
+
+@register("op1_warc")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata and conversion records of every page, taken as a crawler's response records."""
+    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
