@@ -13,6 +13,8 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .lookup import LookupTable, let
+
 # Groups of the URL split regex are 1 scheme, 2 netloc, 3 path,
 # 4 query, 5 fragment.
 URL_RE = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
@@ -25,12 +27,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def let(value, body) -> Column:
-    """Evaluate ``value`` once and pass it to ``body`` as a lambda variable
-    (keeps large sub-expressions from being copied into every reference)."""
-    return F.element_at(F.transform(F.array(_c(value)), body), 1)
-
-
 def clean_url(url) -> Column:
     """Strip leading C0/space characters and remove tab/CR/LF, as urlsplit does."""
     u = _c(url)
@@ -143,30 +139,17 @@ def bucket_key(url) -> Column:
 # Registrable domain (eTLD+1) from public-suffix rules (SC-3)
 # --------------------------------------------------------------------------
 
-# Default public-suffix rules (a short common subset of the public
-# suffix list; pass the full list with ``SuffixRules.from_psl``).
-DEFAULT_SUFFIXES = """
-com org net edu gov mil int info biz name pro io co ai app dev me tv us uk de fr es it nl
-be ch at se no dk fi pl cz ru ua jp cn kr in au ca br mx ar cl nz za ie pt gr tr il sg hk
-tw eu xyz online site top club shop blog news
-co.uk org.uk ac.uk gov.uk ltd.uk plc.uk me.uk net.uk
-com.au net.au org.au edu.au gov.au co.nz org.nz net.nz
-co.jp ne.jp or.jp ac.jp go.jp com.cn net.cn org.cn gov.cn edu.cn
-com.br net.br org.br gov.br com.mx org.mx com.ar com.tr org.tr co.in net.in org.in
-co.kr or.kr co.za org.za com.sg com.hk com.tw co.il github.io
-""".split()
-
-
 class SuffixRules:
     """Public-suffix rules as normal / wildcard / exception sets.
 
-    The rules are a bounded reference table (the full public suffix list has
-    about 10k entries), shipped inside the plan as one map literal, so the
-    lookup is a per-row hash probe with no join and no shuffle.
+    The rules are a reference table that the caller gives whole (the public
+    list has about 10k entries): there is no default, since a cut list merges
+    unrelated sites into one key.  They travel inside the plan as one bucketed
+    literal, so a lookup costs the same for 100 and for 10,000 rules, with no
+    join and no shuffle.
     """
 
     NORMAL, WILDCARD, EXCEPTION = 1, 2, 4
-    MAX_RULES = 200_000
 
     def __init__(self, normal: Iterable[str] = (), wildcard: Iterable[str] = (),
                  exception: Iterable[str] = ()):
@@ -176,9 +159,10 @@ class SuffixRules:
                 s = s.strip().lower().strip(".")
                 if s:
                     codes[s] = codes.get(s, 0) | bit
-        if len(codes) > self.MAX_RULES:
-            raise ValueError(f"suffix rule table too large: {len(codes)}")
+        if not codes:
+            raise ValueError("the suffix rule table is empty")
         self.codes = codes
+        self.table = LookupTable(codes, "int")
 
     @classmethod
     def from_lines(cls, lines: Iterable[str]) -> "SuffixRules":
@@ -201,50 +185,40 @@ class SuffixRules:
         with open(path, encoding="utf-8") as fh:
             return cls.from_lines(fh)
 
-    def map_column(self) -> Column:
-        """The rules as one MAP<STRING,INT> literal (built once, via SQL text)."""
-        if getattr(self, "_map_sql", None) is None:
-            def q(x: str) -> str:
-                return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
-            keys = sorted(self.codes)
-            self._map_sql = ("map_from_arrays(array(" + ",".join(q(k) for k in keys) + "), array("
-                             + ",".join(str(self.codes[k]) for k in keys) + "))")
-        return F.expr(self._map_sql)
-
 
-DEFAULT_RULES = SuffixRules(DEFAULT_SUFFIXES)
+def _need(rules: SuffixRules | None) -> SuffixRules:
+    if rules is None:
+        raise ValueError("pass the public-suffix rules (SuffixRules); there is no default list")
+    return rules
 
 
-def registrable_domain(host, rules: SuffixRules | None = None) -> Column:
+def registrable_domain(host, rules: SuffixRules | None) -> Column:
     """SC-3: eTLD+1 of a lower-case host, NULL when the host has no known
     public suffix or is itself a public suffix."""
-    rules = rules or DEFAULT_RULES
-    return let(host, lambda h: _registrable(h, rules))
+    rules = _need(rules)
+    return let(host, lambda h: let(F.split(h, r"\."), lambda labels: _registrable(h, labels, rules)))
 
 
-def _registrable(h: Column, rules: SuffixRules) -> Column:
-    labels = F.split(h, r"\.")
+def _registrable(h: Column, labels: Column, rules: SuffixRules) -> Column:
     n = F.size(labels)
-    m = rules.map_column()
     idx = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
-    # suffix starting at label i (1-based)
-    suffixes = F.transform(idx, lambda i: F.array_join(F.slice(labels, i, n - i + 1), "."))
-    codes = F.transform(suffixes, lambda s: F.coalesce(F.try_element_at(m, s), F.lit(0)))
+    # rule bits of the suffix that starts at label i (1-based)
+    bits = F.transform(idx, lambda i: F.coalesce(rules.table.get(F.array_join(F.slice(labels, i, n - i + 1), ".")), F.lit(0)))
+
+    def found(codes: Column) -> Column:
+        def has(i, bit):
+            return F.coalesce(F.try_element_at(codes, i), F.lit(0)).bitwiseAND(bit) != 0
 
-    def code_at(i):
-        return F.when(i <= n, F.element_at(codes, i)).otherwise(F.lit(0))
+        starts = F.sequence(F.lit(1), F.size(codes))
+        exc_start = F.array_min(F.filter(starts, lambda i: has(i, rules.EXCEPTION)))
+        match_start = F.array_min(F.filter(starts, lambda i: has(i, rules.NORMAL) | has(i + 1, rules.WILDCARD)))
+        return F.coalesce(exc_start + 1, match_start) - 1   # label before the public suffix
 
-    exc_start = F.array_min(F.filter(idx, lambda i: (code_at(i).bitwiseAND(4)) != 0))
-    match_start = F.array_min(F.filter(
-        idx, lambda i: ((code_at(i).bitwiseAND(1)) != 0)
-        | ((i < n) & ((code_at(i + 1).bitwiseAND(2)) != 0))))
-    ps_start = F.coalesce(exc_start + 1, match_start)   # first label of the public suffix
-    reg_start = ps_start - 1
-    return F.when((h.isNotNull()) & (h != "") & ps_start.isNotNull() & (reg_start >= 1),
-                  F.array_join(F.slice(labels, reg_start, n - reg_start + 1), "."))
+    return F.when(h.isNotNull() & (h != ""), let(let(bits, found), lambda reg: F.when(
+        reg >= 1, F.array_join(F.slice(labels, reg, n - reg + 1), "."))))
 
 
-def shard_key(host, split_hosts: Column | None = None, rules: SuffixRules | None = None) -> Column:
+def shard_key(host, split_hosts: Column | None = None, *, rules: SuffixRules | None) -> Column:
     """SC-4: whitelisted host -> itself; else eTLD+1; else the host;
     'unknown' for an empty host.  ``split_hosts`` is a boolean Column telling
     whether the host is on the split whitelist (see ``operators.routing``)."""
@@ -261,12 +235,15 @@ def md5_mod(key, n: int) -> Column:
     eight 16-bit chunks of the 128-bit digest, reduced mod n at every step."""
     if not 0 < n < 2 ** 31:
         raise ValueError("n out of range")
-    h = F.md5(_c(key))
-    r = F.lit(0).cast("long")
-    for i in range(8):
-        chunk = F.conv(F.substring(h, i * 4 + 1, 4), 16, 10).cast("long")
-        r = (r * F.lit(65536) + chunk) % F.lit(n)
-    return r.cast("int")
+
+    def horner(h):
+        r = F.lit(0).cast("long")
+        for i in range(8):
+            chunk = F.conv(F.substring(h, i * 4 + 1, 4), 16, 10).cast("long")
+            r = (r * F.lit(65536) + chunk) % F.lit(n)
+        return r.cast("int")
+
+    return let(F.md5(_c(key)), horner)
 
 
 def shard_id(key, num_shards: int = 256, overrides: Mapping[str, int] | None = None) -> Column:
@@ -380,34 +357,46 @@ def resolve_url(base, ref) -> Column:
     """RFC 3986 reference resolution (``urljoin``) for the common forms:
     absolute (with scheme), network-path (``//h``), absolute-path (``/p``),
     query-only, fragment-only and relative paths (with dot-segment removal)."""
-    b, r = _c(base), F.trim(_c(ref))
+    return let(F.struct(_c(base).alias("b"), F.trim(_c(ref)).alias("r")), lambda x: _resolve(x["b"], x["r"]))
+
+
+def _resolve(b: Column, r: Column) -> Column:
     b_scheme, b_netloc = url_part(b, "scheme"), url_part(b, "netloc")
     b_path, b_query = url_part(b, "path"), url_part(b, "query")
     b_has_q = b.rlike(r"^[^#]*\?")
     r_has_scheme = r.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:")
     prefix = F.concat(b_scheme, F.lit("://"), b_netloc)
-    base_dir = F.regexp_replace(b_path, r"[^/]*$", "")
-    base_dir = F.when(base_dir == "", F.lit("/")).otherwise(base_dir)
-    merged = _remove_dot_segments(F.concat(base_dir, F.regexp_extract(r, r"^([^?#]*)", 1)))
+    r_path = F.regexp_extract(r, r"^([^?#]*)", 1)
+    # segments of the base folder and of the reference; empty ones between them are dropped
+    folder = F.split(F.regexp_replace(b_path, r"[^/]*$", ""), "/")
+    folder = F.slice(folder, 1, F.greatest(F.size(folder) - 1, F.lit(1)))
+    joined = let(F.concat(folder, F.split(r_path, "/")), lambda s: F.concat(
+        F.slice(s, 1, 1), F.filter(F.slice(s, 2, F.greatest(F.size(s) - 2, F.lit(0))), lambda x: x != ""), F.slice(s, -1, 1)))
+    merged = _remove_dot_segments(joined)
     r_tail = F.regexp_extract(r, r"^[^?#]*(.*)$", 1)
     base_no_frag = F.concat(prefix, b_path, F.when(b_has_q, F.concat(F.lit("?"), b_query)).otherwise(F.lit("")))
     return (F.when(r == "", base_no_frag)
             .when(r_has_scheme, r)
             .when(r.startswith("//"), F.concat(b_scheme, F.lit(":"), r))
-            .when(r.startswith("/"), F.concat(prefix, _remove_dot_segments(F.regexp_extract(r, r"^([^?#]*)", 1)), r_tail))
+            .when(r.startswith("/"), F.concat(prefix, _remove_dot_segments(F.split(r_path, "/")), r_tail))
             .when(r.startswith("?"), F.concat(prefix, b_path, r))
             .when(r.startswith("#"), F.concat(base_no_frag, r))
             .otherwise(F.concat(prefix, merged, r_tail)))
 
 
-def _remove_dot_segments(path: Column) -> Column:
-    """Remove ``.`` and ``..`` segments (bounded rewrite, no Python)."""
-    p = path
-    p = F.regexp_replace(p, r"/\.(?=/|$)", "")           # '/./' -> '/'
-    for _ in range(8):                                     # collapse 'seg/..'
-        p = F.regexp_replace(p, r"/(?!\.\.(?:/|$))[^/]+/\.\.(?=/|$)", "")
-    p = F.regexp_replace(p, r"^(/\.\.)+(?=/|$)", "")
-    return F.when(p == "", F.lit("/")).otherwise(p)
+def _remove_dot_segments(segments: Column) -> Column:
+    """Path of the segments with ``.`` and ``..`` folded away: a stack, any number of them."""
+    def fold(stack, s):
+        return (F.when(s == "..", F.slice(stack, 1, F.greatest(F.size(stack) - 1, F.lit(0))))
+                .when(s == ".", stack).otherwise(F.concat(stack, F.array(s))))
+
+    def path(s):
+        kept = F.aggregate(s, F.array().cast("array<string>"), fold)
+        ends = F.element_at(s, -1).isin(".", "..")
+        text = F.concat(F.array_join(kept, "/"), F.when(ends & (F.size(kept) > 0), F.lit("/")).otherwise(F.lit("")))
+        return let(text, lambda t: F.when(t.startswith("/"), t).otherwise(F.concat(F.lit("/"), t)))
+
+    return let(segments, path)
 
 
 def url_extension(url) -> Column:

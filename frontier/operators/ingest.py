@@ -326,33 +326,40 @@ def merge_counters(counters: DataFrame, delta: DataFrame, add: tuple[str, ...] =
 
 
 def domain_pause(domain_state: DataFrame, folded: DataFrame, as_of) -> DataFrame:
-    """UM-9: domains with an ok result are reset (count 0, no pause) when
-    their count is > 0; otherwise a domain failing with a pausing reason and
-    not currently paused gets count + 1 and
-    ``paused_until = as_of + base * 2^least(old_count, 6)``.  The base used for
-    a domain failing with several reasons is the one whose first occurrence in
-    the shard's batch comes first.  Returns the changed domain rows."""
-    f = folded.select("domain_id", "shard_id", "seq", "is_ok",
-                      pause_base_minutes(F.col("record_fail_reason")).alias("base"))
-    first_by_interval = (f.filter(F.col("base").isNotNull() & ~F.col("is_ok"))
-                         .groupBy("shard_id", "base").agg(F.min("seq").alias("rank")))
-    fails = (f.filter(F.col("base").isNotNull() & ~F.col("is_ok")).select("domain_id", "shard_id", "base").distinct()
-             .join(first_by_interval, ["shard_id", "base"])
-             .groupBy("domain_id").agg(F.min_by("base", "rank").alias("base")))
-    oks = f.groupBy("domain_id").agg(F.max(F.col("is_ok").cast("int")).alias("any_ok"))
-    act = oks.join(fails, "domain_id", "left")
-    j = domain_state.join(act, "domain_id", "inner")
+    """UM-9: back-off of domains, record by record in ``seq`` order: a fail with a
+    pausing reason, of a domain that isn't paused, gives count + 1 and
+    ``paused_until = as_of + base * 2^least(old_count, 6)``; an ok result of a
+    domain with a count over 0 gives count 0 and no pause.
+
+    The order makes the result independent of how records are cut into batches
+    (given one ``as_of``).  No record-wise loop is needed: after the last ok
+    record only the first pausing fail behind it counts, and without an ok record
+    only the first pausing fail.  Returns the changed domain rows."""
+    f = folded.select("domain_id", "seq", "is_ok", pause_base_minutes(F.col("record_fail_reason")).alias("base"))
+    fail = ~F.col("is_ok") & F.col("base").isNotNull()
+    seen = f.groupBy("domain_id").agg(
+        F.max(F.when(F.col("is_ok"), F.col("seq"))).alias("last_ok"),
+        F.min(F.when(fail, F.struct("seq", "base"))).alias("first_fail"))
+    behind = (f.where(fail).join(seen.where("last_ok IS NOT NULL").select("domain_id", "last_ok"), "domain_id")
+              .where("seq > last_ok").groupBy("domain_id").agg(F.min(F.struct("seq", "base")).alias("behind")))
+    j = domain_state.join(seen, "domain_id").join(behind, "domain_id", "left")
     now = F.lit(as_of).cast("timestamp")
-    not_paused = F.col("crawl_paused_until").isNull() | (F.col("crawl_paused_until") < now)
-    fc = F.coalesce(F.col("domain_fail_count"), F.lit(0))
-    pause_now = (F.col("any_ok") == 0) & F.col("base").isNotNull() & not_paused
-    reset = (F.col("any_ok") == 1) & (fc > 0)
-    paused_until = now + F.make_dt_interval(mins=F.col("base")) * F.pow(F.lit(2), F.least(fc, F.lit(MAX_PAUSE_EXPONENT))).cast("int")
-    out = j.filter(pause_now | reset).select(
+    count = F.coalesce(F.col("domain_fail_count"), F.lit(0))
+    paused = F.coalesce(F.col("crawl_paused_until") >= now, F.lit(False))
+    any_ok = F.col("last_ok").isNotNull()
+    # the state that an ok record resets: a count from before, or from a fail before it
+    reset = any_ok & ((count > 0) | (~paused & F.coalesce(F.col("first_fail.seq") < F.col("last_ok"), F.lit(False))))
+    base = F.when(any_ok, F.col("behind.base")).otherwise(F.col("first_fail.base"))
+    pause = base.isNotNull() & (reset | ~paused)
+    old = F.when(reset, F.lit(0)).otherwise(count)
+    until = now + F.make_dt_interval(mins=base) * F.pow(F.lit(2), F.least(old, F.lit(MAX_PAUSE_EXPONENT))).cast("int")
+    out = j.select(
         "domain_id", "domain", "shard_id", "domain_score",
-        F.when(reset, F.lit(None).cast("timestamp")).otherwise(paused_until).alias("crawl_paused_until"),
-        F.when(reset, F.lit(0)).otherwise(fc + 1).cast("int").alias("domain_fail_count"))
-    return out
+        F.when(pause, until).when(reset, F.lit(None).cast("timestamp")).otherwise(F.col("crawl_paused_until")).alias("crawl_paused_until"),
+        F.when(pause, old + 1).otherwise(old).cast("int").alias("domain_fail_count"),
+        (~F.col("crawl_paused_until").eqNullSafe(F.when(pause, until).when(reset, F.lit(None).cast("timestamp")).otherwise(F.col("crawl_paused_until")))
+         | (count != F.when(pause, old + 1).otherwise(old))).alias("__changed"))
+    return out.where("__changed").drop("__changed")
 
 
 def merge_domains(domain_state: DataFrame, changed: DataFrame) -> DataFrame:

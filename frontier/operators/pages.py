@@ -13,18 +13,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import lookup as L
 from ..functions import urls as U
 
 # Link-extractor default denied extensions (archives, images,
 # audio, video, office documents, other binaries).
-IGNORED_EXTENSIONS = (
-    "7z 7zip bz2 rar tar tar.gz xz zip "
-    "mng pct bmp gif jpg jpeg png pst psp tif tiff ai drw dxf eps ps svg cdr ico webp "
-    "mp3 wma ogg wav ra aac mid au aiff "
-    "3gp asf asx avi mov mp4 mpg qt rm swf wmv m4a m4v flv webm "
-    "xls xlsx ppt pptx pps doc docx odt ods odg odp "
-    "css pdf exe bin rss dmg iso apk jar sh rb js hta bat cpl msi msp py"
-).split()
+IGNORED_EXTENSIONS = [
+    "7z", "7zip", "bz2", "rar", "tar", "tar.gz", "xz", "zip",
+    "mng", "pct", "bmp", "gif", "jpg", "jpeg", "png", "pst", "psp", "tif", "tiff", "ai", "drw", "dxf", "eps", "ps", "svg", "cdr", "ico", "webp",
+    "mp3", "wma", "ogg", "wav", "ra", "aac", "mid", "au", "aiff",
+    "3gp", "asf", "asx", "avi", "mov", "mp4", "mpg", "qt", "rm", "swf", "wmv", "m4a", "m4v", "flv", "webm",
+    "xls", "xlsx", "ppt", "pptx", "pps", "doc", "docx", "odt", "ods", "odg", "odp",
+    "css", "pdf", "exe", "bin", "rss", "dmg", "iso", "apk", "jar", "sh", "rb", "js", "hta", "bat", "cpl", "msi", "msp", "py",
+]
 
 # Accepted content types, schemes a link may have, length caps.
 ACCEPTED_CONTENT_TYPES = ("text/html", "application/xhtml+xml")
@@ -33,26 +34,37 @@ ANCHOR_MAX = 200
 TITLE_MAX = 500
 NON_HTML_REASON = "NonHTML content-type"
 
-_HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-_A_TAG = r"(?is)<(a|area)\b([^>]*)>"
-_ATTR = r"(?is)(?:^|\s){name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))"
+# Attributes of a tag: quoted values may hold ">".  All loops are possessive, and
+# what is left open runs to the end of the page, so a page is read once.
+_ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+_END = r"""(?:>|["'].*+|\z)"""
+_HIDDEN = (r"(?is)<!--.*?(?:-->|\z)|<(?:script(?=[\s/>])" + _ATTRS + _END + r".*?(?:</script(?=[\s/>])[^>]*+>?|\z)"
+           r"|style(?=[\s/>])" + _ATTRS + _END + r".*?(?:</style(?=[\s/>])[^>]*+>?|\z))|(</?[a-z]" + _ATTRS + _END + ")")
+_A_TAG = r"(?is)<(a|area)(?=[\s/>])(" + _ATTRS + ")" + _END
+# an element's text: up to its end tag or the next link tag, other tags stepped over whole
+_A_TEXT = (r"(?is)<(?:a|area)(?=[\s/>])" + _ATTRS + _END
+           + r"((?:[^<]++|<(?!/?a[\s/>]|area[\s/>])(?:/?[a-z]" + _ATTRS + _END + r")?+)*+)")
+_TAG = r"(?is)</?[a-z]" + _ATTRS + _END
+_LINK_TAG = r"(?is)<link(?=[\s/>])(" + _ATTRS + ")" + _END
+_BASE_TAG = r"(?is)<base(?=[\s/>])(" + _ATTRS + ")" + _END
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"']++[^\s>]*+)"""
+_SCRIPT_TAG = r"(?is)<script(?=[\s/>])(" + _ATTRS + ")" + _END
+
+html_unescape = L.html_unescape
 
 
-def html_unescape(s) -> Column:
-    """Decode the basic character references (&lt; &gt; &quot; &#39; &apos;
-    &nbsp; then &amp;)."""
-    c = U._c(s)
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                    ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return c
+def _attr(tag_attrs: Column, name: str) -> Column:
+    """Value of an attribute (references decoded), NULL without one; names inside
+    other values don't count, and the first of several wins."""
+    skip = r"(?:[\s/]++|(?!" + name + r"\s*+=)[^\s=>/\"']++(?:\s*+=\s*+" + _VALUE + r"?+)?+|[\"'=])*+"
+    pattern = r"(?is)^" + skip + name + r"\s*+=\s*+(" + _VALUE + ")"
 
+    def body(v):
+        quoted = F.substring(v, 1, 1).isin('"', "'")
+        value = F.when(quoted, F.substring(v, F.lit(2), F.length(v) - 2)).otherwise(v)
+        return F.when(v != "", html_unescape(value, attribute=True))
 
-def _attr(tag_attrs: Column, name: str) -> Column:
-    pat = _ATTR.format(name=name)
-    return F.when(tag_attrs.rlike(pat), F.concat(F.regexp_extract(tag_attrs, pat, 1),
-                                                 F.regexp_extract(tag_attrs, pat, 2),
-                                                 F.regexp_extract(tag_attrs, pat, 3)))
+    return L.let(F.regexp_extract(tag_attrs, pattern, 1), body)
 
 
 def _strip(c: Column) -> Column:
@@ -60,8 +72,9 @@ def _strip(c: Column) -> Column:
 
 
 def visible_html(html) -> Column:
-    """HTML with comments, scripts and styles blanked (they hold no links)."""
-    return F.regexp_replace(U._c(html), _HIDDEN, " ")
+    """HTML without comments, scripts and styles (they hold no links); other
+    tags are stepped over whole, so nothing inside an attribute counts."""
+    return F.regexp_replace(U._c(html), _HIDDEN, "$1")
 
 
 def page_title(html) -> Column:
@@ -70,7 +83,7 @@ def page_title(html) -> Column:
 
 
 def _title_from_vis(vis: Column) -> Column:
-    t = F.regexp_extract(vis, r"(?is)<title\b[^>]*>(.*?)</title", 1)
+    t = F.regexp_extract(vis, r"(?is)<title(?=[\s/>])" + _ATTRS + _END + r"(.*?)(?:</title|\z)", 1)
     t = F.substring(_strip(html_unescape(t)), 1, TITLE_MAX)
     return F.nullif(t, F.lit(""))
 
@@ -81,16 +94,16 @@ def hreflang_count(html) -> Column:
 
 
 def _hreflang_from_vis(vis: Column) -> Column:
-    tags = F.regexp_extract_all(vis, F.lit(r"(?is)<link\b[^>]*>"), 0)
+    tags = F.regexp_extract_all(vis, F.lit(_LINK_TAG), 1)
     return F.size(F.filter(tags, lambda t: F.array_contains(
         F.split(F.trim(F.regexp_replace(F.coalesce(_attr(t, "rel"), F.lit("")), r"\s+", " ")), " "),
-        "alternate") & t.rlike(r"(?is)\shreflang\s*=")))
+        "alternate") & _attr(t, "hreflang").isNotNull()))
 
 
 def has_json_ld(html) -> Column:
     """PX-4: any <script type="application/ld+json">."""
-    return U._c(html).rlike(
-        r"(?is)<script\b[^>]*\stype\s*=\s*(?:\"application/ld\+json\"|'application/ld\+json'|application/ld\+json(?=[\s/>]))")
+    tags = F.regexp_extract_all(U._c(html), F.lit(_SCRIPT_TAG), 1)
+    return F.exists(tags, lambda t: F.coalesce(F.lower(F.trim(_attr(t, "type"))) == "application/ld+json", F.lit(False)))
 
 
 def base_url(page_url, html) -> Column:
@@ -104,20 +117,19 @@ def _raw_links(vis: Column, base: Column) -> Column:
     canonical).  ``vis`` is :func:`visible_html`, ``base`` the base URL."""
     names = F.regexp_extract_all(vis, F.lit(_A_TAG), 1)
     attrs = F.regexp_extract_all(vis, F.lit(_A_TAG), 2)
-    # element text: everything up to the closing tag (or the next link tag)
-    texts = F.regexp_extract_all(vis, F.lit(r"(?is)<(?:a|area)\b[^>]*>((?:(?!</a\s*>|<a\b|<area\b).)*)"), 1)
+    texts = F.regexp_extract_all(vis, F.lit(_A_TEXT), 1)
     zipped = F.arrays_zip(names.alias("n"), attrs.alias("a"), texts.alias("t"))
     with_pos = F.transform(zipped, lambda z, i: F.struct(
         (i + 1).alias("pos"),
         _attr(z["a"], "href").alias("href"),
         F.when(F.lower(z["n"]) == "area", F.lit(""))
-         .otherwise(_strip(html_unescape(F.regexp_replace(z["t"], r"(?s)<[^>]*>", "")))).alias("anchor"),
+         .otherwise(_strip(html_unescape(F.regexp_replace(z["t"], _TAG, "")))).alias("anchor"),
         F.array_contains(F.split(F.regexp_replace(F.coalesce(_attr(z["a"], "rel"), F.lit("")), ",", " "),
                                  r"\s+"), "nofollow").alias("nofollow")))
     present = F.filter(with_pos, lambda x: x["href"].isNotNull())
     return F.transform(present, lambda x: F.struct(
         x["pos"].alias("pos"),
-        U.resolve_url(base, F.regexp_replace(x["href"], r"^[ \t\n\r\f]+|[ \t\n\r\f]+$", "")).alias("url"),
+        U.resolve_url(base, F.regexp_replace(x["href"], r"^[ \t\n\r\f]+|[ \t\n\r\f]+$|[\t\n\r]", "")).alias("url"),
         x["anchor"].alias("anchor"), x["nofollow"].alias("nofollow")))
 
 
@@ -136,8 +148,7 @@ def _first_per_key(by_key: Column) -> Column:
 
 
 def with_outlinks(df: DataFrame, page_url: str, vis: str, out: str = "outlinks",
-                  deny_extensions=IGNORED_EXTENSIONS, rules: U.SuffixRules | None = None,
-                  max_url_len: int = U.MAX_URL_LEN) -> DataFrame:
+                  deny_extensions=IGNORED_EXTENSIONS, *, rules: U.SuffixRules | None, max_url_len: int = U.MAX_URL_LEN) -> DataFrame:
     """PX-1: add ``array<struct<url, domain, anchor>>`` of followable links:
     scheme allowed, extension not denied, canonicalised, first occurrence of
     each canonical URL, nofollow dropped, <= 2500 characters, anchor stripped
@@ -161,13 +172,11 @@ def with_outlinks(df: DataFrame, page_url: str, vis: str, out: str = "outlinks",
 
 
 def _base_from_vis(page_url: Column, vis: Column) -> Column:
-    tag = F.regexp_extract(vis, r"(?is)<base\b([^>]*)>", 1)
-    href = _attr(tag, "href")
-    return F.when(href.isNotNull() & (F.trim(href) != ""), U.resolve_url(page_url, _strip(href))) \
-            .otherwise(page_url)
+    return L.let(_attr(F.regexp_extract(vis, _BASE_TAG, 1), "href"), lambda href: F.when(
+        href.isNotNull() & (F.trim(href) != ""), U.resolve_url(page_url, _strip(href))).otherwise(page_url))
 
 
-def spider_domain(host, rules: U.SuffixRules | None = None) -> Column:
+def spider_domain(host, rules: U.SuffixRules | None) -> Column:
     """Fetcher-side domain: eTLD+1, or the host when it has no known suffix."""
     return F.coalesce(U.registrable_domain(host, rules), U._c(host))
 
@@ -180,7 +189,7 @@ def is_html(content_type) -> Column:
 
 def extract_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html",
                   content_type_col: str | None = None, fetched_at: Column | None = None,
-                  keep: tuple[str, ...] = (), rules: U.SuffixRules | None = None,
+                  keep: tuple[str, ...] = (), *, rules: U.SuffixRules | None,
                   deny_extensions=IGNORED_EXTENSIONS) -> DataFrame:
     """PX-1..PX-6: build crawl-result records from raw pages.
 
@@ -194,7 +203,7 @@ def extract_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html"
         *[F.col(k) for k in keep], F.col(url_col).alias("__page_url"), html.alias("__html"),
         gate.alias("__gate"))
     staged = staged.withColumn("__vis", F.when(F.col("__gate"), visible_html(F.col("__html"))))
-    staged = with_outlinks(staged, "__page_url", "__vis", "__outlinks", deny_extensions, rules)
+    staged = with_outlinks(staged, "__page_url", "__vis", "__outlinks", deny_extensions, rules=rules)
     staged = staged.withColumn("__url", U.canonicalize_url(F.col("__page_url")))
     url = F.col("__url")
     g = F.col("__gate")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import urls as U
 
 # Valid DNS host name pattern.
-DNS_HOST_RE = r"^(?=.{1,253}$)([a-z0-9](?:[a-z0-9-]{0,61}[a-z0-9])?)(\.[a-z0-9](?:[a-z0-9-]{0,61}[a-z0-9])?)+$"
+DNS_HOST_RE = r"^[a-z0-9]([a-z0-9-]{0,62}[a-z0-9])?(\.[a-z0-9]([a-z0-9-]{0,62}[a-z0-9])?)*$"
 
 
 def is_dns_host(host) -> Column:
@@ -34,10 +34,14 @@ def parent_suffixes(host) -> Column:
 
 def under_parents(df: DataFrame, host_col: str, parents: DataFrame) -> DataFrame:
     """PF-11: rows whose host equals a parent or is a subdomain of it
-    (``host = p OR host LIKE '%.p'``) as an equi-join on exploded suffixes;
-    adds ``parent``."""
-    cand = df.withColumn("__sfx", F.explode(F.array_union(F.array(F.col(host_col)), parent_suffixes(F.col(host_col)))))
-    return cand.join(parents.select(F.col("parent").alias("__sfx")), "__sfx").withColumnRenamed("__sfx", "parent")
+    (``host = p OR host LIKE '%.p'``) as an equi-join of the distinct hosts'
+    suffixes with the parents; adds ``parent``, the longest one of a host that
+    lies below several, so that a row comes out once."""
+    hosts = df.select(F.col(host_col).alias("__h")).where(F.col(host_col).isNotNull()).distinct()
+    cand = hosts.withColumn("parent", F.explode(F.array_union(F.array("__h"), parent_suffixes(F.col("__h")))))
+    found = (cand.join(parents.select("parent").distinct(), "parent")
+             .groupBy("__h").agg(F.max_by("parent", F.length("parent")).alias("parent")))
+    return df.join(found, df[host_col] == found["__h"]).drop("__h")
 
 
 def host_counts(state: DataFrame, parent: str | None = None) -> DataFrame:
@@ -76,7 +80,7 @@ def projected_shards(counts: DataFrame, num_shards: int = 256,
 
 
 def whitelist_diff(counts: DataFrame, whitelist: DataFrame, robots: DataFrame, min_count: int,
-                   rules: U.SuffixRules | None = None) -> DataFrame:
+                   *, rules: U.SuffixRules | None) -> DataFrame:
     """SO-2: label scanned hosts ADD (count >= min, robots ok, not an apex
     domain, not listed), REMOVE (listed and robots blocked) or KEEP (listed,
     not blocked).  ``robots``: host, status ('ok' | 'blocked')."""
@@ -165,7 +169,7 @@ def merge_rows(rows: DataFrame, keys: list[str], rules: Mapping[str, str], order
     return rows.groupBy(*keys).agg(*aggs)
 
 
-def classify_domains(registry: DataFrame, rules: U.SuffixRules | None = None) -> DataFrame:
+def classify_domains(registry: DataFrame, rules: U.SuffixRules | None) -> DataFrame:
     """RK-6: clean (domain is its own eTLD+1), dirty (a subdomain: canonical =
     eTLD+1), unparseable (no eTLD+1), junk (not a DNS host)."""
     reg = U.registrable_domain(F.col("domain"), rules)

@@ -13,6 +13,10 @@ from .. import schema as SC
 from ..functions import urls as U
 from .registry import table
 
+# The public suffixes of the hosts in the driver tables: the rule table that the
+# registered queries pass (a deployment passes the whole public list).
+SUFFIX_RULES = U.SuffixRules(["com", "org", "net"])
+
 # The clock of the ingest fixtures (after the last event).
 AS_OF = "2024-02-01 00:00:00"
 AS_OF_SQL = "TIMESTAMP '2024-02-01 00:00:00'"

@@ -99,26 +99,29 @@ _PAUSE_CASE = " ".join(f"WHEN '{k}' THEN {v}" for k, v in IG.DOMAIN_PAUSE_BASE_M
 
 
 @register("ingest_domain_pause", oracle=f"""
-WITH f1 AS ({FX.F1_SQL}), dom AS ({FX.F5_SQL}),
-r AS (SELECT domain_id, seq, status = 'ok' AS is_ok,
+WITH RECURSIVE f1 AS ({FX.F1_SQL}), dom AS ({FX.F5_SQL}),
+r AS (SELECT domain_id, status = 'ok' AS is_ok,
         coalesce(CASE fail_reason {_PAUSE_CASE} END,
-                 CASE WHEN fail_reason LIKE 'HttpError 5%' THEN 30 END) AS base FROM f1),
-fails AS (SELECT DISTINCT domain_id, base FROM r WHERE NOT is_ok AND base IS NOT NULL),
-rk AS (SELECT base, min(seq) AS rnk FROM r WHERE NOT is_ok AND base IS NOT NULL GROUP BY base),
-pick AS (SELECT domain_id, arg_min(f.base, rk.rnk) AS base FROM fails f JOIN rk USING (base) GROUP BY domain_id),
-oks AS (SELECT domain_id, max(CASE WHEN is_ok THEN 1 ELSE 0 END) AS any_ok FROM r GROUP BY domain_id),
-act AS (SELECT o.domain_id, o.any_ok, p.base FROM oks o LEFT JOIN pick p USING (domain_id))
-SELECT d.domain_id, d.domain, d.shard_id, d.domain_score,
-  CASE WHEN a.any_ok = 1 THEN NULL ELSE {FX.AS_OF_SQL}
-    + to_minutes(CAST(a.base * power(2, least(coalesce(d.domain_fail_count, 0), 6)) AS BIGINT)) END AS crawl_paused_until,
-  CAST(CASE WHEN a.any_ok = 1 THEN 0 ELSE coalesce(d.domain_fail_count, 0) + 1 END AS INTEGER) AS domain_fail_count
-FROM dom d JOIN act a USING (domain_id)
-WHERE (a.any_ok = 0 AND a.base IS NOT NULL AND (d.crawl_paused_until IS NULL OR d.crawl_paused_until < {FX.AS_OF_SQL}))
-   OR (a.any_ok = 1 AND coalesce(d.domain_fail_count, 0) > 0)
+                 CASE WHEN fail_reason LIKE 'HttpError 5%' THEN 30 END) AS base,
+        row_number() OVER (PARTITION BY domain_id ORDER BY seq) AS k FROM f1 WHERE seq % 7 < 4 OR status <> 'ok'),
+st(domain_id, k, until, fails) AS (
+  SELECT domain_id, CAST(0 AS BIGINT), CAST(crawl_paused_until AS TIMESTAMP), CAST(domain_fail_count AS INTEGER) FROM dom
+  UNION ALL
+  SELECT st.domain_id, r.k,
+    CASE WHEN r.is_ok THEN CASE WHEN fails > 0 THEN NULL ELSE until END
+         WHEN base IS NOT NULL AND (until IS NULL OR until < {FX.AS_OF_SQL})
+           THEN {FX.AS_OF_SQL} + to_minutes(CAST(base * power(2, least(fails, 6)) AS BIGINT)) ELSE until END,
+    CASE WHEN r.is_ok THEN 0
+         WHEN base IS NOT NULL AND (until IS NULL OR until < {FX.AS_OF_SQL}) THEN fails + 1 ELSE fails END
+  FROM st JOIN r ON r.domain_id = st.domain_id AND r.k = st.k + 1),
+fin AS (SELECT domain_id, arg_max(struct_pack(u := until, f := fails), k) AS s FROM st GROUP BY domain_id)
+SELECT d.domain_id, d.domain, d.shard_id, d.domain_score, s.u AS crawl_paused_until, s.f AS domain_fail_count
+FROM dom d JOIN fin USING (domain_id) WHERE s.u IS DISTINCT FROM d.crawl_paused_until OR s.f <> d.domain_fail_count
 """)
 def ingest_domain_pause(spark, sf_dir):
-    """UM-9 / PF-8 / SC-22: domains paused or reset by a batch."""
-    f1 = FX.f1_fetches(spark, sf_dir)
+    """UM-9 / PF-8 / SC-22: domains paused or reset by a batch, record by record (the
+    oracle applies one record after the other)."""
+    f1 = FX.f1_fetches(spark, sf_dir).where("seq % 7 < 4 OR status <> 'ok'")
     folded = IG.fold_results(FX.f2_old_state(spark, f1), f1, FX.AS_OF)
     return IG.domain_pause(FX.f5_domain_state(spark, sf_dir), folded, FX.AS_OF)
 

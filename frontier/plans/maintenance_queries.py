@@ -10,6 +10,7 @@ from ..operators import golden as GD
 from ..operators import ingest as IG
 from ..operators import rekey as RK
 from . import fixtures as FX
+from . import sqlfrag as Q
 from .ingest_queries import _FOLD_SQL
 from .registry import register, table
 
@@ -64,7 +65,7 @@ def whitelist_diff(spark, sf_dir):
     num = F.regexp_extract("host", "^h([0-9]+)", 1).cast("int")
     wl = counts.filter(num % 4 == 0).select("host", F.lit(None).cast("timestamp").alias("migrated_at"))
     robots = counts.select("host", F.when(num % 3 == 0, "blocked").otherwise("ok").alias("status"))
-    return RK.whitelist_diff(counts, wl, robots, 150)
+    return RK.whitelist_diff(counts, wl, robots, 150, rules=FX.SUFFIX_RULES)
 
 
 _F12 = f"""
@@ -107,14 +108,23 @@ def split_apply(spark, sf_dir):
     return RK.rekey(st, mapping, "url").select("url", "domain_id", "shard_id")
 
 
+def _odd_domain():
+    """Registry values that aren't plain domains: one label, anchor text, labels at the length bound, a leading hyphen."""
+    p, digit = F.col("page_id").cast("string"), (F.col("page_id") % 10).cast("string")
+    return (F.when(F.col("page_id") % 5 == 0, F.concat(F.lit("localhost"), p)).when(F.col("page_id") % 5 == 1, F.concat(F.lit("read more: "), p))
+            .when(F.col("page_id") % 5 == 2, F.concat(F.lit("a" * 63), digit, F.lit(".com")))
+            .when(F.col("page_id") % 5 == 3, F.concat(F.lit("b" * 64), digit, F.lit(".com"))).otherwise(F.concat(F.lit("-x"), p, F.lit(".org"))))
+
+
 @register("classify_domains", oracle=f"""
 WITH dom AS ({FX.F5_SQL}),
 r AS (SELECT domain_id, domain FROM dom UNION ALL
-      SELECT 100000 + page_id, lower(regexp_extract(url, '^https?://([^/:]+)', 1)) FROM pages),
+      SELECT 100000 + page_id, lower(regexp_extract(url, '^https?://([^/:]+)', 1)) FROM pages UNION ALL
+      SELECT 200000 + page_id, CASE page_id % 5 WHEN 0 THEN 'localhost' || page_id WHEN 1 THEN 'read more: ' || page_id WHEN 2 THEN repeat('a', 63) || page_id % 10 || '.com'
+        WHEN 3 THEN repeat('b', 64) || page_id % 10 || '.com' ELSE '-x' || page_id || '.org' END FROM pages),
 k AS (SELECT *, nullif(regexp_extract(domain, '([^.]+\\.(?:com|org|net))$', 1), '') AS canonical FROM r)
 SELECT domain_id, domain, canonical,
-  CASE WHEN NOT regexp_full_match(domain, '([a-z0-9]([a-z0-9-]{{0,61}}[a-z0-9])?)(\\.[a-z0-9]([a-z0-9-]{{0,61}}[a-z0-9])?)+')
-         OR length(domain) > 253 THEN 'junk'
+  CASE WHEN NOT regexp_matches(domain, '^[a-z0-9]([a-z0-9-]{{0,62}}[a-z0-9])?(\\.[a-z0-9]([a-z0-9-]{{0,62}}[a-z0-9])?)*$') THEN 'junk'
        WHEN canonical IS NULL THEN 'unparseable' WHEN canonical = domain THEN 'clean' ELSE 'dirty' END AS kind
 FROM k
 """)
@@ -122,51 +132,96 @@ def classify_domains(spark, sf_dir):
     """RK-6 / PF-10: clean / dirty / unparseable / junk registry domains."""
     reg = FX.f5_domain_state(spark, sf_dir).select("domain_id", "domain").unionByName(
         table(spark, sf_dir, "pages").select((F.col("page_id") + 100000).alias("domain_id"),
-                                             F.lower(F.regexp_extract("url", "^https?://([^/:]+)", 1)).alias("domain")))
-    return RK.classify_domains(reg)
+                                             F.lower(F.regexp_extract("url", "^https?://([^/:]+)", 1)).alias("domain"))).unionByName(
+        table(spark, sf_dir, "pages").select((F.col("page_id") + 200000).alias("domain_id"), _odd_domain().alias("domain")))
+    return RK.classify_domains(reg, FX.SUFFIX_RULES)
 
 
+_HOST = Q.host("url")
 _F10 = f"""
 f3 AS ({FX.F3_SQL}),
+dom AS ({FX.F5_SQL}),
 mb AS (SELECT DISTINCT CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS id, date_trunc('month', o_orderdate) AS created_at FROM orders),
 mq AS (SELECT o_orderkey AS id, CAST(strftime(o_orderdate, '%Y%m') AS INTEGER) AS batch_id FROM orders),
-mu AS (SELECT l_orderkey AS query_id, dst AS url FROM f3),
-cand AS (SELECT DISTINCT url FROM mu WHERE query_id IN (SELECT id FROM mq WHERE batch_id IN
-          (SELECT id FROM mb WHERE created_at <= TIMESTAMP '1998-06-01' - INTERVAL 28 DAY))),
-old AS ({FX.F3_OLD_SQL})
+mu AS (SELECT l_orderkey AS query_id, CASE WHEN l_linenumber = 7 THEN 'http://localhost/' || l_orderkey
+         WHEN l_linenumber = 6 AND l_partkey % 10 = 0 THEN dst || repeat('x', 2500) ELSE dst END AS url FROM f3),
+cand AS (SELECT url, count(*) AS n FROM mu WHERE query_id IN (SELECT id FROM mq WHERE batch_id IN
+          (SELECT id FROM mb WHERE created_at <= TIMESTAMP '1998-06-01' - INTERVAL 28 DAY)) GROUP BY url),
+old AS ({FX.F3_OLD_SQL}),
+c AS (SELECT url, n, CASE WHEN length(url) <= 2500 THEN {Q.REG.format(h=_HOST)} END AS k, url IN (SELECT url FROM old) AS known FROM cand),
+newk AS (SELECT k, row_number() OVER (ORDER BY CAST(('0x' || right(md5(k), 2)) AS INTEGER), k) AS rn
+         FROM (SELECT DISTINCT k FROM c WHERE k IS NOT NULL) WHERE k NOT IN (SELECT domain FROM dom)),
+reg AS (SELECT domain AS k, domain_id, domain_score FROM dom
+        UNION ALL SELECT k, CAST((SELECT max(domain_id) FROM dom) + rn AS BIGINT), 0.0 FROM newk)
 """
+_OVERRIDES = {"example.net": 7}
 
 
-def _f10(spark, sf_dir):
+def _f10(spark, sf_dir, dry_run=False):
     o = table(spark, sf_dir, "orders")
     ym = F.date_format("o_orderdate", "yyyyMM").cast("int")
     mb = o.select(ym.alias("id"), F.date_trunc("month", F.col("o_orderdate").cast("timestamp")).alias("created_at")).distinct()
     mq = o.select(F.col("o_orderkey").alias("id"), ym.alias("batch_id"))
     f3 = FX.f3_links(spark, sf_dir)
-    mu = f3.select(F.col("l_orderkey").alias("query_id"), F.col("dst").alias("url"))
+    url = (F.when(F.col("l_linenumber") == 7, F.concat(F.lit("http://localhost/"), F.col("l_orderkey").cast("string")))
+           .when((F.col("l_linenumber") == 6) & (F.col("l_partkey") % 10 == 0), F.concat("dst", F.repeat(F.lit("x"), F.lit(2500))))
+           .otherwise(F.col("dst")))
+    mu = f3.select(F.col("l_orderkey").alias("query_id"), url.alias("url"))
     cand = GD.injectable_urls(mb, mq, mu, "1998-06-01 00:00:00", 28)
-    return GD.inject(FX.f3_old_state(spark, f3), cand, "1998-06-01 00:00:00")
+    return GD.inject(FX.f3_old_state(spark, f3), FX.f5_domain_state(spark, sf_dir), cand, "1998-06-01 00:00:00",
+                     overrides=_OVERRIDES, rules=FX.SUFFIX_RULES, dry_run=dry_run)
 
 
 @register("golden_inject_counts", oracle=f"""
 WITH {_F10}
-SELECT (SELECT count(*) FROM cand WHERE url NOT IN (SELECT url FROM old) AND length(url) <= 2500) AS injected,
-  (SELECT count(*) FROM cand WHERE url IN (SELECT url FROM old)) AS marked,
-  (SELECT count(*) FROM cand WHERE length(url) > 2500) AS failed
+SELECT CAST(count(*) FILTER (WHERE k IS NOT NULL AND NOT known) AS BIGINT) AS injected,
+  CAST(coalesce(sum(n) FILTER (WHERE k IS NOT NULL), 0) - count(*) FILTER (WHERE k IS NOT NULL AND NOT known) AS BIGINT) AS marked,
+  CAST(coalesce(sum(n) FILTER (WHERE k IS NULL), 0) AS BIGINT) AS failed FROM c
 """)
 def golden_inject_counts(spark, sf_dir):
-    """UM-12 / PF-12 / SS-10: injected / marked / failed counts."""
-    return _f10(spark, sf_dir)[2]
+    """UM-12 / PF-12 / SS-10: injected / marked / failed records (repeats, hosts without
+    a registrable domain and oversized URLs included)."""
+    return _f10(spark, sf_dir).counts
 
 
-@register("golden_inject_rows", oracle=f"""
+@register("golden_inject_dry_run", oracle=f"""
 WITH {_F10}
-SELECT url, CAST(1 AS SMALLINT) AS source, CAST(('0x' || right(md5(regexp_extract(url, '([^./]+\\.[^./]+)/', 1)), 2)) AS INTEGER) AS shard_id
-FROM cand WHERE url NOT IN (SELECT url FROM old)
+SELECT CAST(coalesce(sum(n) FILTER (WHERE k IS NOT NULL), 0) AS BIGINT) AS injected, CAST(0 AS BIGINT) AS marked,
+  CAST(coalesce(sum(n) FILTER (WHERE k IS NULL), 0) AS BIGINT) AS failed FROM c
 """)
+def golden_inject_dry_run(spark, sf_dir):
+    """UM-12 dry run: every record that doesn't fail would be injected."""
+    return _f10(spark, sf_dir, dry_run=True).counts
+
+
+_INSERTED = f"""SELECT url, CAST(1 AS SMALLINT) AS source, reg.domain_id, reg.domain_score,
+  CASE WHEN k = 'example.net' THEN 7 ELSE {Q.shard256('k')} END AS shard_id FROM c JOIN reg USING (k) WHERE NOT known"""
+
+
+@register("golden_inject_rows", oracle=f"WITH {_F10} {_INSERTED}")
 def golden_inject_rows(spark, sf_dir):
-    """UM-12: inserted golden URLs (source = 1, shard by eTLD+1)."""
-    return _f10(spark, sf_dir)[0].select("url", "source", "shard_id")
+    """UM-12: inserted golden URLs (source = 1; id, score and shard of the domain)."""
+    return _f10(spark, sf_dir).inserted.select("url", "source", "domain_id", "domain_score", "shard_id")
+
+
+@register("golden_inject_history", oracle=f"WITH {_F10} SELECT *, TIMESTAMP '1998-06-01' AS snapshot_at FROM ({_INSERTED})")
+def golden_inject_history(spark, sf_dir):
+    """UM-12: one history row per inserted URL, none for marked ones."""
+    return _f10(spark, sf_dir).history
+
+
+@register("golden_inject_marked", oracle=f"""
+WITH {_F10} SELECT c.url, CAST(1 AS SMALLINT) AS source, old.inlink_count_approx, old.anchor_text FROM c JOIN old USING (url) WHERE k IS NOT NULL
+""")
+def golden_inject_marked(spark, sf_dir):
+    """UM-12: known URLs keep their row and get source = 1."""
+    return _f10(spark, sf_dir).marked.select("url", "source", "inlink_count_approx", "anchor_text")
+
+
+@register("golden_inject_registry", oracle=f"WITH {_F10} SELECT k AS domain, domain_id FROM reg")
+def golden_inject_registry(spark, sf_dir):
+    """UM-12 / RJ-1: the registry after get-or-create of the injected domains."""
+    return _f10(spark, sf_dir).registry.select("domain", "domain_id")
 
 
 @register("link_graph_edges", oracle=f"""

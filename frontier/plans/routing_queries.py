@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import pages as PX
 from ..operators import routing as RT
+from ..session import cut_lineage
 from . import fixtures as FX
 from . import sqlfrag as Q
 from .registry import ORACLES, register, table
@@ -16,8 +17,9 @@ _PAGE_URL = """lower(regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.\\-]*://[^/?#]*)
 
 
 def _routed(spark, sf_dir):
-    recs = PX.extract_pages(table(spark, sf_dir, "pages"), keep=("page_id",))
-    return RT.route_results(recs, FX.f5_domain_state(spark, sf_dir))
+    """Pages extracted once (a written stage, as crawl records are in their files), then routed."""
+    recs = cut_lineage(PX.extract_pages(table(spark, sf_dir, "pages"), keep=("page_id",), rules=FX.SUFFIX_RULES))
+    return RT.route_results(recs, FX.f5_domain_state(spark, sf_dir), ["page_id"], rules=FX.SUFFIX_RULES)
 
 
 _KEYS = f"""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import urls as U
 from ..operators.routing import with_shard_columns
+from . import fixtures as FX
 from . import sqlfrag as Q
 from .registry import register, table
 
@@ -14,7 +15,7 @@ def pages_host_shard_counts(spark, sf_dir):
     """Flagship: pages -> host -> shard key -> shard id -> ingestor, with the
     page count per host (SC-1, SC-3..SC-6, AG-8).  One scan, one shuffle."""
     pages = table(spark, sf_dir, "pages").select("url")
-    routed = with_shard_columns(pages, "url")
+    routed = with_shard_columns(pages, "url", rules=FX.SUFFIX_RULES)
     return (routed.groupBy("host", "shard_key", "shard_id", "ingestor_id")
             .agg(F.count(F.lit(1)).alias("n_pages")))
 
@@ -37,7 +38,7 @@ FROM k GROUP BY 1
 """)
 def shard_page_counts(spark, sf_dir):
     """Per-shard page and shard-key counts (SC-5 distribution, AG-10 shape)."""
-    routed = with_shard_columns(table(spark, sf_dir, "pages").select("url"), "url")
+    routed = with_shard_columns(table(spark, sf_dir, "pages").select("url"), "url", rules=FX.SUFFIX_RULES)
     return routed.groupBy("shard_id").agg(F.countDistinct("shard_key").alias("n_keys"),
                                           F.count(F.lit(1)).alias("n_pages"))
 

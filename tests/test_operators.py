@@ -20,13 +20,13 @@ HTML = ('<html><head><title> A &amp; B </title><base href="http://b.example.com/
 
 def test_extract_page(spark):
     df = spark.createDataFrame([(1, "http://A.example.com/index.html", HTML)], "page_id long, url string, html string")
-    r = PX.extract_pages(df, keep=("page_id",)).first()
+    r = PX.extract_pages(df, keep=("page_id",), rules=U.SuffixRules(["com", "org"])).first()
     assert r.title == "A & B" and r.hreflang_count == 1 and r.has_json_ld and r.status == "ok"
     urls = [(o.url, o.anchor) for o in r.outlinks]
     assert urls == [("http://b.example.com/dir/p1", "One bold"), ("http://b.example.com/p1?a=1&b=2", "dup"),
                     ("http://c.org/z", "ext")]
     ct = spark.createDataFrame([(1, "http://a.com/", HTML, "application/pdf")], "page_id long, url string, html string, ct string")
-    r2 = PX.extract_pages(ct, content_type_col="ct").first()
+    r2 = PX.extract_pages(ct, content_type_col="ct", rules=U.SuffixRules(["com"])).first()
     assert r2.status == "fail" and r2.fail_reason == "NonHTML content-type" and r2.outlinks == []
 
 
