@@ -98,12 +98,14 @@ def ingest_counters(spark, sf_dir):
 _PAUSE_CASE = " ".join(f"WHEN '{k}' THEN {v}" for k, v in IG.DOMAIN_PAUSE_BASE_MINUTES.items())
 
 
-@register("ingest_domain_pause", oracle=f"""
+def pause_sql(where: str) -> str:
+    """DuckDB: domain back-off one record after the other, over the F1 records ``where`` holds for."""
+    return f"""
 WITH RECURSIVE f1 AS ({FX.F1_SQL}), dom AS ({FX.F5_SQL}),
 r AS (SELECT domain_id, status = 'ok' AS is_ok,
         coalesce(CASE fail_reason {_PAUSE_CASE} END,
                  CASE WHEN fail_reason LIKE 'HttpError 5%' THEN 30 END) AS base,
-        row_number() OVER (PARTITION BY domain_id ORDER BY seq) AS k FROM f1 WHERE seq % 7 < 4 OR status <> 'ok'),
+        row_number() OVER (PARTITION BY domain_id ORDER BY seq) AS k FROM f1 WHERE {where}),
 st(domain_id, k, until, fails) AS (
   SELECT domain_id, CAST(0 AS BIGINT), CAST(crawl_paused_until AS TIMESTAMP), CAST(domain_fail_count AS INTEGER) FROM dom
   UNION ALL
@@ -115,6 +117,11 @@ st(domain_id, k, until, fails) AS (
          WHEN base IS NOT NULL AND (until IS NULL OR until < {FX.AS_OF_SQL}) THEN fails + 1 ELSE fails END
   FROM st JOIN r ON r.domain_id = st.domain_id AND r.k = st.k + 1),
 fin AS (SELECT domain_id, arg_max(struct_pack(u := until, f := fails), k) AS s FROM st GROUP BY domain_id)
+"""
+
+
+@register("ingest_domain_pause", oracle=f"""
+{pause_sql("seq % 7 < 4 OR status <> 'ok'")}
 SELECT d.domain_id, d.domain, d.shard_id, d.domain_score, s.u AS crawl_paused_until, s.f AS domain_fail_count
 FROM dom d JOIN fin USING (domain_id) WHERE s.u IS DISTINCT FROM d.crawl_paused_until OR s.f <> d.domain_fail_count
 """)
