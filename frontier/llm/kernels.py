@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from frontier.session import ship_package
+
 U64 = np.uint64
 #: Odd multiplier of the polynomial hash, and its inverse modulo 2**64.
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -143,7 +145,9 @@ def row_groups(offsets: np.ndarray, budget: int = BLOCK) -> Iterator[tuple[int,
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Keep Arrow batches small, so that a task's memory doesn't follow the text length."""
+    """Before a job with Python functions: the package goes to the workers, and Arrow batches
+    stay small, so that a task's memory doesn't follow the text length."""
+    ship_package(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 

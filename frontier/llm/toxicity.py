@@ -1,8 +1,9 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are words and character 4-grams of lower-cased words. The vocabulary holds the terms
-that stand significantly more often in toxic rows of a bounded labelled sample (chi-square);
-document frequencies are counted over all documents. The sample's rows, as unit TF-IDF
+Terms are words and character n-grams (of 4, 6 and 8 characters, word borders included) of
+lower-cased words, so that inflected words meet in their stems. The vocabulary holds the terms
+that tell toxic rows of a bounded labelled sample apart: significantly more often there
+(chi-square), and in toxic rows for a good part of the time; document frequencies are counted over all documents. The sample's rows, as unit TF-IDF
 vectors, are the examples. They are put into blocks of similar rows; every block keeps its
 postings by term and the largest weight of every term. A query visits blocks by falling
 upper bound (query weights times largest weights) and stops when no block can reach its
@@ -32,9 +33,11 @@ from .labelled import sample
 
 #: Labelled rows in the sample, terms in the vocabulary (both bound what is broadcast).
 MAX_EXAMPLES, MAX_TERMS = 6000, 1024
-#: Least chi-square of a term: beyond what chance gives among millions of terms.
+#: Least chi-square of a term (beyond what chance gives among millions of terms), and least
+#: share of toxic rows among those that have it.
 LEAST_CHI2 = 25.0
-GRAM, K_NEAREST, BLOCK_ROWS = 4, 15, 64
+LEAST_SHARE = 0.3
+GRAMS, K_NEAREST, BLOCK_ROWS = (4, 6, 8), 15, 64
 #: Weight of the prior beside the neighbours' similarities.
 PRIOR_WEIGHT = 0.5
 _BITS = 20
@@ -43,9 +46,13 @@ _BITS = 20
 def _terms(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """(text, term hash) of every occurrence."""
     t = Texts(texts, lower=True)
-    hashes, valid = t.grams(GRAM)
-    at = np.flatnonzero(valid)
-    return np.concatenate([t.words.doc, t.owner(at)]), np.concatenate([t.words.hashes, hashes[at]])
+    doc, term = [t.words.doc], [t.words.hashes]
+    for n in GRAMS:
+        hashes, valid = t.grams(n)
+        at = np.flatnonzero(valid)
+        doc.append(t.owner(at))
+        term.append(hashes[at])
+    return np.concatenate(doc), np.concatenate(term)
 
 
 def _term_labels(texts: DataFrame) -> DataFrame:
@@ -78,7 +85,7 @@ def vocabulary(texts: DataFrame, n_toxic: int, n_other: int, max_terms: int = MA
     a, b, n = F.col("a").cast("double"), F.col("b").cast("double"), float(n_toxic + n_other)
     det = a * (n_other - b) - b * (n_toxic - a)
     chi2 = det * det * n / (n_toxic * n_other * (a + b) * F.greatest(n - a - b, F.lit(0.5)))
-    best = (_term_labels(texts).where(a * n_other > b * n_toxic).select("term", chi2.alias("chi2")).where(F.col("chi2") >= LEAST_CHI2)
+    best = (_term_labels(texts).where((a * n_other > b * n_toxic) & (a >= LEAST_SHARE * (a + b))).select("term", chi2.alias("chi2")).where(F.col("chi2") >= LEAST_CHI2)
             .orderBy(F.desc("chi2"), "term").limit(max_terms).collect())
     return np.sort(np.array([r.term for r in best], np.int64).view(K.U64))
 
@@ -185,13 +192,14 @@ class Index:
             return np.array([0.0, 1.0]), np.array([0.0, 1.0])
         votes = np.array([self.vote(*self.nearest(t, w, skip=i)) for i, (t, w) in enumerate(self.vectors)])
         order = np.argsort(votes, kind="stable")
-        pools: list[list[float]] = []  # sum, count, last vote
+        pools: list[list[float]] = []  # sum, count, first and last vote
         for v, y in zip(votes[order], self.labels[order], strict=True):
-            pools.append([y, 1.0, v])
+            pools.append([y, 1.0, v, v])
             while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
-                y, n, v = pools.pop()
-                pools[-1] = [pools[-1][0] + y, pools[-1][1] + n, v]
-        return np.array([p[2] for p in pools]), np.array([(p[0] + 0.5 * self.prior) / (p[1] + 0.5) for p in pools])
+                y, n, _, v = pools.pop()
+                pools[-1] = [pools[-1][0] + y, pools[-1][1] + n, pools[-1][2], v]
+        value = [(p[0] + 0.5 * self.prior) / (p[1] + 0.5) for p in pools]
+        return np.array([v for p in pools for v in p[2:]]), np.repeat(value, 2)
 
     def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
         if not len(terms) or not self.blocks:
