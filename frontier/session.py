@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -56,3 +58,18 @@ def cut_lineage(df):
     """Reliable checkpoint (never ``localCheckpoint``): survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers (once per context), so that jobs
+    with Python functions run wherever the driver was started from."""
+    sc = spark.sparkContext
+    if getattr(sc, "_frontier_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    path = os.path.join(tempfile.mkdtemp(prefix="frontier-code-"), "frontier.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, str(f.relative_to(root.parent)))
+    sc.addPyFile(path)
+    sc._frontier_shipped = True
