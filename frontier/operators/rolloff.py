@@ -36,20 +36,19 @@ def rolloff(state: DataFrame, counters: DataFrame, cutoff, as_of, limit: int | N
     keys = state.select("url", F.lit(True).alias("__cur"))
     tagged = picked.join(keys, "url", "left")
     processable = tagged.filter(F.col("__cur").isNotNull())
-    missing = tagged.filter(F.col("__cur").isNull())
     by_url = processable.groupBy("url").agg(*[F.sum(c).alias("d_" + c) for c, _ in _COUNTS])
     target = {state_col: c for c, state_col in _COUNTS}
     changed = state.join(by_url, "url", "inner").select(*[
         F.greatest(F.lit(0), F.coalesce(F.col(col), F.lit(0)) - F.col("d_" + target[col])).cast("int").alias(col)
         if col in target else F.col(col) for col in SC.URL_STATE.fieldNames()])
     history = changed.withColumn("snapshot_at", F.lit(as_of).cast("timestamp"))
-    marked_keys = (processable.select("url", "event_date").unionByName(missing.select("url", "event_date"))
-                   .withColumn("__m", F.lit(True)))
-    new_counters = counters.join(marked_keys, ["url", "event_date"], "left").withColumn(
-        "accounted", F.when(F.col("__m").isNotNull(), F.lit(False)).otherwise(F.col("accounted"))).drop("__m")
-    totals = (picked.agg(F.count(F.lit(1)).alias("picked"))
-              .crossJoin(processable.agg(F.count(F.lit(1)).alias("processed")))
-              .crossJoin(missing.agg(F.count(F.lit(1)).alias("missing")))
-              .crossJoin(by_url.agg(F.count(F.lit(1)).alias("history")))
-              .withColumn("marked", F.col("processed") + F.col("missing")))
+    if limit:
+        keys = picked.select("url", "event_date").withColumn("__m", F.lit(True))
+        new_counters = counters.join(keys, ["url", "event_date"], "left").withColumn(
+            "accounted", F.col("accounted") & F.col("__m").isNull()).drop("__m")
+    else:  # the picked rows are those of the predicate: no join
+        new_counters = counters.withColumn("accounted", F.when(F.col("event_date") <= cut, False).otherwise(F.col("accounted")))
+    here = F.col("__cur").isNotNull()
+    totals = tagged.agg(F.count("*").alias("picked"), F.count_if(here).alias("processed"), F.count_if(~here).alias("missing"),
+                        F.countDistinct(F.when(here, F.col("url"))).alias("history"), F.count("*").alias("marked"))
     return RolloffOutput(changed, history, new_counters, totals)
