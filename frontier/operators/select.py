@@ -155,7 +155,12 @@ def pop_batches(queue: DataFrame, limit: int = 0, in_flight: DataFrame | None =
 
 def claim_unscored(state: DataFrame, per_shard_limit: int) -> DataFrame:
     """WT-6 / PF-5: oldest unscored crawlable rows of every shard (first_seen
-    ascending, NULLs last, then url), at most ``per_shard_limit`` per shard."""
+    ascending, NULLs last, then url), at most ``per_shard_limit`` per shard.
+    Spark cuts each task's rows to the limit before the shuffle as long as the
+    limit is within its group-limit threshold, so the threshold is raised to it."""
+    conf, key = state.sparkSession.conf, "spark.sql.optimizer.windowGroupLimitThreshold"
+    if 0 <= int(conf.get(key, "1000")) < per_shard_limit:
+        conf.set(key, str(per_shard_limit))
     rows = state.filter(F.col("should_crawl") & F.col("url_score_updated_at").isNull())
     w = Window.partitionBy("shard_id").orderBy(F.col("first_seen").asc_nulls_last(), F.col("url"))
     return rows.withColumn("claim_rank", F.row_number().over(w)).filter(F.col("claim_rank") <= per_shard_limit)
@@ -178,3 +183,27 @@ def allocate_refill(queued_per_offerer: DataFrame, shard_demand: DataFrame, low_
     before = F.coalesce(F.sum("available").over(w), F.lit(0))
     take = F.greatest(F.lit(0), F.least(F.col("available"), F.col("slots") - before))
     return d.select("offerer_id", "shard_id", take.cast("long").alias("take")).filter(F.col("take") > 0)
+
+
+def scheduling_metrics(picked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """AG-7: of picked URLs (``shard_id, domain_id, url``), the URLs scheduled per domain, and
+    per shard its domains and URLs."""
+    domains = picked.groupBy("domain_id").agg(F.count("*").alias("num_scheduled"))
+    per = picked.groupBy("shard_id", "domain_id").agg(F.count("*").alias("n"))   # counted before the distinct
+    shards = per.groupBy("shard_id").agg(F.count("*").alias("domains"), F.sum("n").alias("num_scheduled"))
+    return domains, shards
+
+
+def scheduling_deltas(picked: DataFrame, generated_at, shards_per_offerer: int = 16, source: str = "offerer") -> DataFrame:
+    """SS-8: one stats-delta document (``value``) per offerer for its picked URLs, in the form
+    that the daily fold reads.  An offerer's maps hold what it picked in one refill, which
+    the selection caps bound."""
+    rows = picked.withColumn("offerer", F.floor(F.col("shard_id") / shards_per_offerer).cast("int"))
+    domains = (rows.groupBy("offerer", "domain_id").agg(F.count("*").alias("n")).groupBy("offerer")
+               .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col("domain_id").cast("string"), F.struct(F.col("n").alias("num_scheduled")))))).alias("domains"),
+                    F.sum("n").alias("total")))
+    shards = (scheduling_metrics(picked)[1].withColumn("offerer", F.floor(F.col("shard_id") / shards_per_offerer).cast("int")).groupBy("offerer")
+              .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col("shard_id").cast("string"), F.struct("domains", "num_scheduled"))))).alias("shards")))
+    stamp = F.date_format(F.lit(generated_at).cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    return domains.join(shards, "offerer").select(F.to_json(F.struct(
+        stamp.alias("generated_at"), F.lit(source).alias("source"), F.struct(F.col("total").alias("num_scheduled")).alias("counters"), "domains", "shards")).alias("value"))

@@ -15,9 +15,11 @@ def _win(ts: str, width: str, slide: str | None = None) -> Column:
     return F.window(F.col(ts).cast("timestamp"), width, slide) if slide else F.window(F.col(ts).cast("timestamp"), width)
 
 
-def event_rate(logs: DataFrame, width: str = "1 minute", by: str = "worker_id", seconds: int = 60) -> DataFrame:
-    """ST-5: events per second per ``by`` over tumbling windows."""
-    return (logs.groupBy(_win("ts", width).alias("w"), by)
+def event_rate(logs: DataFrame, width: str = "1 minute", by: str = "worker_id", seconds: int = 60,
+               slide: str | None = None) -> DataFrame:
+    """ST-5: events per second per ``by``.  With ``slide`` the windows trail: one ends at
+    every step and covers the ``width`` before it; without, they tumble."""
+    return (logs.groupBy(_win("ts", width, slide).alias("w"), by)
             .agg(F.count(F.lit(1)).alias("n"))
             .select(F.col("w.start").alias("window_start"), by, "n", (F.col("n") / seconds).alias("rate")))
 
@@ -29,27 +31,43 @@ def top_domains(logs: DataFrame, width: str = "1 minute", k: int = 10, seconds:
     return r.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def success_ratio(logs: DataFrame, width: str = "5 minutes") -> DataFrame:
+def success_ratio(logs: DataFrame, width: str = "5 minutes", slide: str | None = None) -> DataFrame:
     """ST-7: ok request ends (status < 400) over (ends + fails that are not
-    HTTP errors) per window; NULL when the denominator is 0."""
+    HTTP errors) per window (trailing with ``slide``); NULL when the denominator is 0."""
     end = F.col("event") == "request.end"
     ok = end & (F.col("status") < 400)
     fail = (F.col("event") == "request.fail") & ~F.coalesce(F.col("fail_reason"), F.lit("")).startswith("HttpError")
-    a = logs.groupBy(_win("ts", width).alias("w")).agg(
+    a = logs.groupBy(_win("ts", width, slide).alias("w")).agg(
         F.count_if(ok).alias("ok"), F.count_if(end).alias("ends"), F.count_if(fail).alias("fails"))
     return a.select(F.col("w.start").alias("window_start"), "ok", "ends", "fails",
                     F.try_divide(F.col("ok").cast("double"), F.nullif(F.col("ends") + F.col("fails"), F.lit(0)))
                     .alias("success_ratio"))
 
 
-def latency_quantiles(logs: DataFrame, width: str = "1 minute", qs=(0.5, 0.95, 0.99), exact: bool = True) -> DataFrame:
-    """ST-8: latency quantiles of request ends per worker (exact, interpolated;
-    ``exact=False`` uses the bounded-memory ``percentile_approx``)."""
-    ends = logs.filter(F.col("event") == "request.end")
-    fn = (lambda c, q: F.percentile(c, q)) if exact else (lambda c, q: F.percentile_approx(c, q, 10000))
-    a = ends.groupBy(_win("ts", width).alias("w"), "worker_id").agg(
-        *[fn(F.col("latency_ms").cast("double"), q).alias(f"p{int(round(q * 100))}") for q in qs])
-    return a.select(F.col("w.start").alias("window_start"), "worker_id", *[f"p{int(round(q * 100))}" for q in qs])
+def _ranked_counts(df: DataFrame, value: Column, by: list) -> DataFrame:
+    """``by``, ``__v``, ``__c``, ``__upto``, ``__n``: how often each value occurs, how many rows
+    have it or a smaller one, and all rows.  Rows are counted before any group is ordered,
+    so a group holds its distinct values only."""
+    counts = df.withColumn("__v", value).where("__v IS NOT NULL").groupBy(*by, "__v").agg(F.count("*").alias("__c"))
+    w = Window.partitionBy(*by)
+    return (counts.withColumn("__upto", F.sum("__c").over(w.orderBy("__v"))).withColumn("__n", F.sum("__c").over(w)))
+
+
+def latency_quantiles(logs: DataFrame, width: str = "1 minute", qs=(0.5, 0.95, 0.99)) -> DataFrame:
+    """ST-8: exact, interpolated latency quantiles of request ends per worker and window."""
+    ends = logs.filter(F.col("event") == "request.end").withColumn("window_start", _win("ts", width)["start"])
+    by = ["window_start", "worker_id"]
+    r = _ranked_counts(ends, F.col("latency_ms").cast("double"), by)
+
+    def at(rank: Column) -> Column:   # the value of a rank that counts from 0
+        return F.min(F.when(F.col("__upto") > rank, F.col("__v")))
+
+    aggs = []
+    for q in qs:
+        place = q * (F.col("__n") - 1)
+        part = F.max(place - F.floor(place))
+        aggs.append((at(F.floor(place)) + (at(F.ceil(place)) - at(F.floor(place))) * part).alias(f"p{int(round(q * 100))}"))
+    return r.groupBy(*by).agg(*aggs)
 
 
 GAUGES = ("inflight", "pending", "active_domains", "transferring", "slot_queue")
@@ -99,6 +117,14 @@ def shard_consumption(logs: DataFrame, event: str = "offer.refill_shard") -> Dat
                  F.sum("picked_domains").cast("long").alias("domains")))
 
 
+def shard_consumption_series(logs: DataFrame, width: str = "5 minutes", event: str = "offer.refill_shard") -> DataFrame:
+    """ST-14: offerer picks per shard over time."""
+    a = (logs.filter(F.col("event") == event).groupBy(_win("ts", width).alias("w"), "shard_id")
+         .agg(F.sum("picked_urls").cast("long").alias("urls"), F.count(F.lit(1)).alias("visits"),
+              F.sum("picked_domains").cast("long").alias("domains")))
+    return a.select(F.col("w.start").alias("window_start"), "shard_id", "urls", "visits", "domains")
+
+
 def parse_log_lines(lines: DataFrame, schema, col: str = "value") -> DataFrame:
     """ST-15: JSON log lines -> typed columns (unknown fields ignored,
     malformed lines give NULL fields)."""
@@ -131,13 +157,14 @@ def request_latency(starts: DataFrame, ends: DataFrame, key: str = "request_id",
 
 def distribution_stats(df: DataFrame, value: str, by: list[str], limit_col: str | None = None) -> DataFrame:
     """AG-11: mean (2 dp), nearest-rank p50 / p90, max and the number of
-    values at their limit, per group (``percentile_disc`` is nearest-rank)."""
-    v = F.col(value)
-    vtype = dict(df.dtypes)[value]
-    aggs = [F.round(F.avg(v), 2).alias("mean"),
-            F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{value}`)").cast(vtype).alias("p50"),
-            F.expr(f"percentile_disc(0.9) WITHIN GROUP (ORDER BY `{value}`)").cast(vtype).alias("p90"),
-            F.max(v).alias("max")]
-    if limit_col:
-        aggs.append(F.count_if(v >= F.col(limit_col)).alias("at_limit"))
-    return df.groupBy(*by).agg(*aggs)
+    values at their limit, per group."""
+    r = _ranked_counts(df, F.col(value), by)
+
+    def rank(q: float) -> Column:
+        return F.min(F.when(F.col("__upto") >= F.greatest(F.lit(1), F.ceil(q * F.col("__n"))), F.col("__v")))
+
+    out = r.groupBy(*by).agg(F.round(F.sum(F.col("__v") * F.col("__c")) / F.sum("__c"), 2).alias("mean"), rank(0.5).alias("p50"),
+                             rank(0.9).alias("p90"), F.max("__v").alias("max"))
+    if limit_col is None:
+        return out
+    return out.join(df.groupBy(*by).agg(F.count_if(F.col(value) >= F.col(limit_col)).alias("at_limit")), by)
