@@ -10,11 +10,14 @@ Classes meet in bands of their signatures. A bucket never gives all its pairs:
 
 1. every member is compared with the smallest and the largest id of its bucket, exactly;
 2. components of these links are formed; most buckets then lie in one component;
-3. in the other buckets, pairs from different components remain unless their set sizes or
-   their exact distances to a common member (a metric) rule them out; these pass the
-   signature check and are then confirmed exactly.
+3. where a bucket's smallest id has met classes of several components, these are compared
+   in blocks of bounded size, each two blocks in one task: pairs of different components
+   whose set sizes and exact distances to that id (a metric) allow a link, and whose
+   signatures agree enough, are confirmed on their sets, and only links leave the task.
 
 A pair inside one component needs no comparison: its link wouldn't change any component.
+Step 3 costs time by the square of the classes that met one id and aren't connected, but no
+rows, and no task holds more than two blocks.
 
 Defined results: rows with a null id are returned with a null component and kept; rows
 that repeat an id are judged by their own texts; null texts are empty; an empty table
@@ -33,6 +36,7 @@ from pyspark.sql import functions as F
 from frontier.session import cut_lineage
 
 from . import kernels as K
+from .removal import MAX_BROADCAST_IDS, without_ids
 
 SHINGLE_WORDS = 5
 #: A pair is linked when 100 * intersection >= PERCENT * union.
@@ -42,8 +46,8 @@ BANDS, ROWS = 40, 4
 #: The signature check lets a pair pass that agrees in this share of the minima: five
 #: standard deviations below the bound.
 LEAST_AGREEMENT = 0.58
-#: Ids that are broadcast to pick documents; beyond it they are joined by a shuffle.
-MAX_BROADCAST_IDS = 1 << 20
+#: Classes in one block of step 3.
+BLOCK_ROWS = 256
 
 _coefficients = np.random.default_rng(20240229).integers(0, 1 << 63, size=(2, BANDS * ROWS), dtype=np.uint64)
 _A, _B = _coefficients[0] * K.U64(2) + K.U64(1), _coefficients[1]
@@ -96,21 +100,20 @@ def _signed(sets: list[np.ndarray]) -> list[pa.Array]:
 
 
 def _bands(classes: DataFrame, id_kind: str) -> DataFrame:
-    """(bucket, id, n): one row for each band of every class."""
+    """(bucket, id): one row for each band of every class."""
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            signs = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint32).reshape(-1, BANDS, ROWS).astype(K.U64)
+            signs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, BANDS, ROWS).astype(K.U64)
             bucket = np.arange(BANDS, dtype=K.U64)[None, :] + K.U64(1)
             for r in range(ROWS):
                 bucket = K.mix(bucket * K.U64(K._BASE) + signs[:, :, r])
             at = pa.array(np.repeat(np.arange(batch.num_rows), BANDS))
-            yield pa.RecordBatch.from_arrays([pa.array(bucket.ravel().view(np.int64)), batch.column(0).take(at), batch.column(1).take(at)],
-                                             names=["bucket", "id", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(bucket.ravel().view(np.int64)), batch.column(0).take(at)], names=["bucket", "id"])
 
     K.bounded_batches(classes.sparkSession)
-    return classes.select("id", "n", "sig").mapInArrow(run, f"bucket bigint, id {id_kind}, n bigint")
+    return classes.select("id", "sig").mapInArrow(run, f"bucket bigint, id {id_kind}")
 
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -141,19 +144,82 @@ def _confirm(pairs: DataFrame, sets: DataFrame, id_kind: str) -> DataFrame:
     return rows.mapInArrow(run, f"a {id_kind}, b {id_kind}, both bigint, together bigint")
 
 
-def _agree(pairs: DataFrame, classes: DataFrame, id_kind: str) -> DataFrame:
-    """The pairs whose signatures agree in enough minima."""
+def _block_links(x: list[tuple], y: list[tuple] | None) -> list[tuple]:
+    """Links between rows (id, component, j, shingles, sig) of two blocks, or inside one, that
+    join different components; of the links that would join the same two, one."""
+    rows = x + (y or [])
+    sizes = np.array([len(r[3]) for r in rows])
+    near = np.array([np.nan if r[2] is None else r[2] for r in rows])
+    signs = np.stack([r[4] for r in rows])
+    parent = {r[1]: r[1] for r in rows}
+
+    def find(c):
+        while parent[c] != c:
+            c = parent[c]
+        return c
+
+    tokens = np.concatenate([r[3] for r in rows])
+    owner = np.repeat(np.arange(len(rows)), sizes)
+    order = np.argsort(tokens, kind="stable")
+    tokens, owner = tokens[order], owner[order]
+    links = []
+    for k in range(len(rows) if y is None else len(x)):
+        others = np.arange(k + 1, len(rows)) if y is None else np.arange(len(x), len(rows))
+        mine = find(rows[k][1])
+        others = others[[find(rows[i][1]) != mine for i in others]] if len(others) else others
+        if not len(others):
+            continue
+        low, high = np.minimum(sizes[others], sizes[k]), np.maximum(sizes[others], sizes[k])
+        apart = np.abs(near[others] - near[k])
+        others = others[(100 * low >= PERCENT * high) & ~(apart > 1 - PERCENT / 100 + 1e-9)]
+        others = others[(signs[others] == signs[k]).mean(axis=1) >= LEAST_AGREEMENT]
+        if not len(others):
+            continue
+        begin, end = np.searchsorted(tokens, rows[k][3], "left"), np.searchsorted(tokens, rows[k][3], "right")
+        count = end - begin
+        place = np.repeat(begin - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
+        both = np.bincount(owner[place], minlength=len(rows))[others]
+        for i in others[100 * both >= PERCENT * (sizes[others] + sizes[k] - both)]:
+            a, b = find(rows[k][1]), find(rows[i][1])
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+                links.append((rows[k][0], rows[i][0]))
+    return links
+
+
+def _in_blocks(groups: DataFrame, id_kind: str) -> DataFrame:
+    """Links (a, b) of ``groups`` (pivot, id, component, j, shingles, sig, blocks): the members
+    of a pivot are dealt into ``blocks`` by hash, and each two blocks meet in one task."""
+    own = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    dealt = (groups.withColumn("block", own).withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+             .select("pivot", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "id", "component", "j", "shingles", "sig"))
+    key = ["pivot", "lo", "hi"]
+
+    def links(rows: list[tuple]) -> list[tuple]:
+        lo, hi = rows[0][0][1:]
+        parts = [[r[2:] for r in rows if r[1] == b] for b in ((lo,) if lo == hi else (lo, hi))]
+        return _block_links(parts[0], None if lo == hi else parts[1]) if all(parts) else []
+
     def run(batches):
+        held: list[tuple] = []
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(batch.num_rows, -1) for i in (2, 3))
-            keep = pa.array((x == y).mean(axis=1) >= LEAST_AGREEMENT)
-            yield batch.select([0, 1]).filter(keep)
+            found = []
+            for pivot, lo, hi, block, i, c, j, shingles, sig in zip(*(batch.column(k) for k in range(9)), strict=True):
+                at = (pivot.as_py(), lo.as_py(), hi.as_py())
+                if held and held[0][0] != at:
+                    found += links(held)
+                    held = []
+                held.append((at, block.as_py(), i.as_py(), c.as_py(), j.as_py(), np.frombuffer(shingles.as_buffer(), K.U64), np.frombuffer(sig.as_buffer(), np.uint32)))
+            yield _pairs(found, batch.schema.field(4).type)
+            last = batch.schema.field(4).type
+        if held:
+            yield _pairs(links(held), last)
+
+    return dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, f"a {id_kind}, b {id_kind}")
+
 
-    left = classes.select(F.col("id").alias("a"), F.col("sig").alias("xs"))
-    right = classes.select(F.col("id").alias("b"), F.col("sig").alias("ys"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "xs", "ys").mapInArrow(run, f"a {id_kind}, b {id_kind}")
+def _pairs(found: list[tuple], kind: pa.DataType) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in found], kind) for k in (0, 1)], names=["a", "b"])
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -184,7 +250,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     base = cut_lineage(_map_sets(texts, "n bigint, key binary, sig binary", _signed))
     reps = base.where("n > 0 AND id IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"))
-    classes = cut_lineage(base.join(reps, ["id", "key"]).select("id", "n", "sig").dropDuplicates(["id"]))
+    classes = cut_lineage(base.join(reps, ["id", "key"]).select("id", "sig").dropDuplicates(["id"]))
 
     # 1. buckets with two classes or more; every member against the smallest and the largest id
     bands = _bands(classes, id_kind)
@@ -193,8 +259,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = members.select("id").distinct()
     if wanted.count() <= MAX_BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    sets = cut_lineage(_map_sets(texts.join(wanted, "id", "left_semi"), "shingles binary",
-                                 lambda found: [pa.array([s.tobytes() for s in found], pa.binary())]))
+    sets = cut_lineage(_map_sets(texts.join(wanted, "id", "left_semi"), "shingles binary, sig binary", lambda found: [
+        pa.array([s.tobytes() for s in found], pa.binary()), pa.array([signature(s).tobytes() for s in found], pa.binary())]))
     pairs = (members.where("id <> lo").select(F.col("lo").alias("a"), F.col("id").alias("b"))
              .unionByName(members.where("id <> hi AND id <> lo").select(F.col("id").alias("a"), F.col("hi").alias("b"))).distinct())
     tested = cut_lineage(_confirm(pairs, sets, id_kind))
@@ -202,24 +268,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = tested.where(linked).select("a", "b")
     found = cut_lineage(connected_components(links))
 
-    # 2. buckets that still hold several components
-    named = members.join(found.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_ = named.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("bucket")
-    share = (F.col("both") / F.col("together")).alias("share")
-    left = named.join(open_, "bucket", "left_semi")
-    for end in ("lo", "hi"):
-        a, b = ("a", "b") if end == "lo" else ("b", "a")
-        known = tested.groupBy(F.col(a).alias(end), F.col(b).alias("id")).agg(F.max(share).alias(f"j_{end}"))
-        left = left.join(known, [end, "id"], "left").withColumn(f"j_{end}", F.when(F.col("id") == F.col(end), 1.0).otherwise(F.col(f"j_{end}")))
-    left = cut_lineage(left.select("bucket", "id", "n", "component", "j_lo", "j_hi"))
-    bound = 1 - PERCENT / 100 + 1e-9
-    other = left.select("bucket", *[F.col(c).alias(f"{c}_2") for c in ("id", "n", "component", "j_lo", "j_hi")])
-    near = lambda c: F.coalesce(F.abs(F.col(c) - F.col(f"{c}_2")) <= bound, F.lit(True))
-    rest = (left.join(other, "bucket")
-            .where((F.col("component") < F.col("component_2")) & (100 * F.least("n", "n_2") >= PERCENT * F.greatest("n", "n_2")) & near("j_lo") & near("j_hi"))
-            .select(F.least("id", "id_2").alias("a"), F.greatest("id", "id_2").alias("b")).distinct())
-    rest = _agree(rest.join(tested.select("a", "b"), ["a", "b"], "left_anti"), classes, id_kind)
-    more = _confirm(rest, sets, id_kind).where(linked).select("a", "b")
+    # 2. smallest ids of buckets that have met several components: compare those in blocks
+    met = members.select(F.col("lo").alias("pivot"), "id").distinct()
+    met = met.join(found.select(F.col("node").alias("id"), "component"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    open_ = (met.groupBy("pivot").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"))
+             .where("x < y AND n > 2").select("pivot", F.ceil(F.col("n") / BLOCK_ROWS).alias("blocks")))
+    share = tested.groupBy(F.col("a").alias("pivot"), F.col("b").alias("id")).agg(F.max(F.col("both") / F.col("together")).alias("j"))
+    left = met.join(open_, "pivot").join(share, ["pivot", "id"], "left").withColumn("j", F.when(F.col("id") == F.col("pivot"), 1.0).otherwise(F.col("j")))
+    more = _in_blocks(left.join(sets, "id").select("pivot", "id", "component", "j", "shingles", "sig", "blocks"), id_kind)
 
     found = connected_components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     of_class = reps.join(found, reps["id"] == found["node"], "left").select("key", F.coalesce("component", "id").alias("component_id"))
@@ -233,8 +289,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest id. All columns
     stay as they are; rows with a null id stay."""
-    gone = near_duplicates(docs, id_col, text_col).where("NOT kept").select(F.col(id_col).alias("__llm_id")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__llm_id"], "left_anti")
+    return without_ids(docs, near_duplicates(docs, id_col, text_col).where("NOT kept").select(id_col), id_col)
 
 
 #: DuckDB SQL of the registered query: exact links by a join on shingles.
