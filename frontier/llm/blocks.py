@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 #: Fixed values of the HTML standard: elements without end tag, elements whose content is
@@ -29,6 +30,8 @@ _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 _ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|hidden|aria-hidden|style|href|data-[a-z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _PART = re.compile(r"[a-z]+")
+#: Innermost open elements that a block's path names (deeper nesting stays linear).
+MAX_PATH = 64
 #: White space inside a block (HTML white space and the vertical tab); a no-break space is a character.
 _BLANK = re.compile(r"[ \t-\r]+")
 
@@ -79,6 +82,7 @@ def _tokens(attributes: str) -> tuple[str, ...]:
 def read(text: str) -> list[Block]:
     """The blocks of a page in order. Inline elements don't part a block, ``br`` does."""
     stack: list[Element] = []
+    opened: Counter[str] = Counter()
     blocks: list[Block] = []
     block = _Open()
 
@@ -94,16 +98,22 @@ def read(text: str) -> list[Block]:
         if not block.parts:
             if not part.strip():
                 return
-            block.path = tuple(stack)
+            block.path = tuple(stack[-MAX_PATH:])
         block.parts.append(part)
         if any(e.name == "a" for e in stack[-3:]):
             block.link_chars += len(part)
 
+    def close(k: int) -> None:
+        opened.subtract(e.name for e in stack[k:])
+        del stack[k:]
+
     def leave(names: set[str]) -> None:
         """Close the innermost open element of these names, within its list or table."""
+        if not any(opened[n] for n in names):
+            return
         for k in range(len(stack) - 1, -1, -1):
             if stack[k].name in names:
-                del stack[k:]
+                close(k)
                 return
             if stack[k].name in _SCOPE:
                 return
@@ -141,23 +151,22 @@ def read(text: str) -> list[Block]:
         if name not in INLINE:
             flush()
         if tag[1]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].name == name:
-                    del stack[k:]
-                    break
+            if opened[name]:
+                close(next(k for k in range(len(stack) - 1, -1, -1) if stack[k].name == name))
             continue
         if name in RAW:
             if not tag[3].endswith("/"):
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(text, at)
-                close = -1 if end is None else text.find(">", end.start())
-                at = n if close < 0 else close + 1
+                after_end = -1 if end is None else text.find(">", end.start())
+                at = n if after_end < 0 else after_end + 1
             continue
         if name in VOID:
             continue
-        if name in ENDS_P and any(e.name == "p" for e in stack):
+        if name in ENDS_P:
             leave({"p"})
         if name in ENDS_OWN:
             leave(ENDS_OWN[name])
         stack.append(Element(name, _tokens(tag[3])))
+        opened[name] += 1
     flush()
     return blocks

@@ -113,12 +113,12 @@ class BpeModel:
         self.lookahead = self.sufficient_lookahead()
         made = {self.byte_id[b] for b in range(256)}
         self.proper = all(i >= 0 for i in self.byte_id)
-        for (a, b), (_, ab) in self.rules.items():  # parts exist before, and every token is made by one rule
+        for (a, b), (_, ab) in self.rules.items():  # parts exist before a rule, and every token is made by one rule
             self.proper &= a in made and b in made and ab not in made
             made.add(ab)
         self.by_bytes = {self.bytes[i]: i for i in made if i >= 0}
         self.longest = max(map(len, self.by_bytes), default=1)
-        self.pairs = _Pairs(self)
+        self.pairs, self.alone = _Pairs(self), _ALONE
         self.split_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.pieces = re.compile(PIECES)
         self.cut = re.compile(rf"(?<=[^{_SPACE}])[{_SPACE}]")
@@ -157,7 +157,7 @@ class BpeModel:
             size = min(most, n - pos)
             while size:
                 token = get(data[pos:pos + size])
-                if token is not None and pos + size not in dead and (not out or pairs[out[-1] << 32 | token]):
+                if token is not None and pos + size not in dead and pairs[(out[-1] << 32 if out else self.alone) | token]:
                     break
                 size -= 1
             if size:
@@ -196,9 +196,13 @@ class BpeModel:
         return [t for t in ids if t >= 0]
 
 
+#: Stands for no token in front.
+_ALONE = 0xFFFFFFFF << 32
+
+
 class _Pairs(dict):
-    """Whether two tokens side by side are the segmentation of their bytes. Filled on
-    demand and emptied at a fixed size."""
+    """Whether two tokens side by side (or one with none in front) are the segmentation of
+    their bytes. Filled on demand and emptied at a fixed size."""
 
     def __init__(self, model: BpeModel):
         super().__init__()
@@ -208,7 +212,8 @@ class _Pairs(dict):
         a, b = key >> 32, key & 0xFFFFFFFF
         if len(self) >= MEMO_ENTRIES:
             self.clear()
-        good = self[key] = self.model.merge(self.model.bytes[a] + self.model.bytes[b]) == [a, b]
+        pair = [b] if a == 0xFFFFFFFF else [a, b]
+        good = self[key] = self.model.merge(b"".join(self.model.bytes[t] for t in pair)) == pair
         return good
 
 

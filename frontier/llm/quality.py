@@ -106,7 +106,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         where: Column | None = None, max_train: int = MAX_TRAIN) -> Model:
     """The model of at most ``max_train`` labelled rows (those for which ``where`` holds)."""
     chosen = sample(labels, id_col, label_col, max_train, where)
-    texts = docs.select(F.col(id_col).alias("id"), text_col).join(F.broadcast(chosen), "id").select("id", "label", text_col)
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").select("id", "label", "text")
 
     def run(batches):
         for batch in batches:

@@ -188,9 +188,8 @@ def learn_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
                 max_train: int = MAX_TRAIN) -> list[list[Condition]]:
     """The decision list from at most ``max_train`` labelled rows (1 is good, 0 is low)."""
     chosen = sample(labels, id_col, label_col, max_train)
-    train = docs.select(id_col, text_col).join(F.broadcast(chosen), F.col(id_col) == F.col("id"), "left_semi")
-    stats = statistics(train, id_col, text_col)
-    rows = stats.join(F.broadcast(chosen), F.col(id_col) == F.col("id")).orderBy("id", *COUNTS).select("label", *COUNTS).toPandas()
+    train = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id", "left_semi")
+    rows = statistics(train, "id", "text").join(F.broadcast(chosen), "id").orderBy("id", *COUNTS).select("label", *COUNTS).toPandas()
     if rows["label"].nunique() < 2:
         return []
     x = feature_arrays({c: rows[c].to_numpy() for c in COUNTS})
