@@ -291,7 +291,8 @@ QUERY_SAFE = r"[A-Za-z0-9\-._~]"
 def percent_encode(s, safe_class: str, space_plus: bool = False) -> Column:
     """Percent-encode every character outside ``safe_class`` as upper-case
     UTF-8 ``%XX`` (optionally space as '+')."""
-    chars = F.regexp_extract_all(_c(s), F.lit("(?s)."), 0)
+    text = _c(s)
+    chars = F.regexp_extract_all(text, F.lit("(?s)."), 0)
 
     def enc(ch):
         hexed = F.regexp_replace(F.hex(F.encode(ch, "UTF-8")), "(..)", "%$1")
@@ -299,7 +300,8 @@ def percent_encode(s, safe_class: str, space_plus: bool = False) -> Column:
             hexed = F.when(ch == " ", F.lit("+")).otherwise(hexed)
         return F.when(ch.rlike("^" + safe_class + "$"), ch).otherwise(hexed)
 
-    return F.array_join(F.transform(chars, enc), "")
+    # most texts need nothing: only the others are taken apart
+    return F.when(text.rlike("^" + safe_class + "*$"), text).otherwise(F.array_join(F.transform(chars, enc), ""))
 
 
 def percent_decode(s, plus_space: bool = False) -> Column:
@@ -307,7 +309,8 @@ def percent_decode(s, plus_space: bool = False) -> Column:
     c = _c(s)
     protected = c if plus_space else F.replace(c, F.lit("+"), F.lit("%2B"))
     protected = F.regexp_replace(protected, r"%(?![0-9A-Fa-f]{2})", "%25")
-    return F.coalesce(F.try_url_decode(protected), c)
+    coded = c.contains("%") | c.contains("+") if plus_space else c.contains("%")
+    return F.when(coded, F.coalesce(F.try_url_decode(protected), c)).otherwise(c)
 
 
 def _canonical_path(path: Column) -> Column:
@@ -357,31 +360,35 @@ def resolve_url(base, ref) -> Column:
     """RFC 3986 reference resolution (``urljoin``) for the common forms:
     absolute (with scheme), network-path (``//h``), absolute-path (``/p``),
     query-only, fragment-only and relative paths (with dot-segment removal)."""
-    return let(F.struct(_c(base).alias("b"), F.trim(_c(ref)).alias("r")), lambda x: _resolve(x["b"], x["r"]))
+    return let(base_parts(base), lambda p: let(F.trim(_c(ref)), lambda r: resolve_with(p, r)))
 
 
-def _resolve(b: Column, r: Column) -> Column:
-    b_scheme, b_netloc = url_part(b, "scheme"), url_part(b, "netloc")
-    b_path, b_query = url_part(b, "path"), url_part(b, "query")
-    b_has_q = b.rlike(r"^[^#]*\?")
+def base_parts(base) -> Column:
+    """What resolving needs of a base URL, to be worked out once per page."""
+    b = _c(base)
+    path = url_part(b, "path")
+    folder = F.split(F.regexp_replace(path, r"[^/]*$", ""), "/")
+    query = F.when(b.rlike(r"^[^#]*\?"), F.concat(F.lit("?"), url_part(b, "query"))).otherwise(F.lit(""))
+    return F.struct(url_part(b, "scheme").alias("scheme"), F.concat(url_part(b, "scheme"), F.lit("://"), url_part(b, "netloc")).alias("prefix"),
+                    path.alias("path"), query.alias("query"), F.slice(folder, 1, F.greatest(F.size(folder) - 1, F.lit(1))).alias("folder"))
+
+
+def resolve_with(p: Column, r: Column) -> Column:
+    """:func:`resolve_url` of a trimmed reference against :func:`base_parts`."""
     r_has_scheme = r.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:")
-    prefix = F.concat(b_scheme, F.lit("://"), b_netloc)
     r_path = F.regexp_extract(r, r"^([^?#]*)", 1)
     # segments of the base folder and of the reference; empty ones between them are dropped
-    folder = F.split(F.regexp_replace(b_path, r"[^/]*$", ""), "/")
-    folder = F.slice(folder, 1, F.greatest(F.size(folder) - 1, F.lit(1)))
-    joined = let(F.concat(folder, F.split(r_path, "/")), lambda s: F.concat(
+    joined = let(F.concat(p["folder"], F.split(r_path, "/")), lambda s: F.concat(
         F.slice(s, 1, 1), F.filter(F.slice(s, 2, F.greatest(F.size(s) - 2, F.lit(0))), lambda x: x != ""), F.slice(s, -1, 1)))
-    merged = _remove_dot_segments(joined)
     r_tail = F.regexp_extract(r, r"^[^?#]*(.*)$", 1)
-    base_no_frag = F.concat(prefix, b_path, F.when(b_has_q, F.concat(F.lit("?"), b_query)).otherwise(F.lit("")))
+    base_no_frag = F.concat(p["prefix"], p["path"], p["query"])
     return (F.when(r == "", base_no_frag)
             .when(r_has_scheme, r)
-            .when(r.startswith("//"), F.concat(b_scheme, F.lit(":"), r))
-            .when(r.startswith("/"), F.concat(prefix, _remove_dot_segments(F.split(r_path, "/")), r_tail))
-            .when(r.startswith("?"), F.concat(prefix, b_path, r))
+            .when(r.startswith("//"), F.concat(p["scheme"], F.lit(":"), r))
+            .when(r.startswith("/"), F.concat(p["prefix"], _remove_dot_segments(F.split(r_path, "/")), r_tail))
+            .when(r.startswith("?"), F.concat(p["prefix"], p["path"], r))
             .when(r.startswith("#"), F.concat(base_no_frag, r))
-            .otherwise(F.concat(prefix, merged, r_tail)))
+            .otherwise(F.concat(p["prefix"], _remove_dot_segments(joined), r_tail)))
 
 
 def _remove_dot_segments(segments: Column) -> Column:

@@ -127,10 +127,10 @@ def _raw_links(vis: Column, base: Column) -> Column:
         F.array_contains(F.split(F.regexp_replace(F.coalesce(_attr(z["a"], "rel"), F.lit("")), ",", " "),
                                  r"\s+"), "nofollow").alias("nofollow")))
     present = F.filter(with_pos, lambda x: x["href"].isNotNull())
-    return F.transform(present, lambda x: F.struct(
+    return L.let(U.base_parts(base), lambda p: F.transform(present, lambda x: F.struct(
         x["pos"].alias("pos"),
-        U.resolve_url(base, F.regexp_replace(x["href"], r"^[ \t\n\r\f]+|[ \t\n\r\f]+$|[\t\n\r]", "")).alias("url"),
-        x["anchor"].alias("anchor"), x["nofollow"].alias("nofollow")))
+        L.let(F.trim(F.regexp_replace(x["href"], r"[\t\n\r\f]", "")), lambda r: U.resolve_with(p, r)).alias("url"),
+        x["anchor"].alias("anchor"), x["nofollow"].alias("nofollow"))))
 
 
 def _sorted_by_key(links: Column, key: str = "url") -> Column:

@@ -4,6 +4,7 @@ map merge and sweeps."""
 from pyspark.sql import functions as F
 
 from frontier import schema as SC
+from frontier.functions import urls as U
 from frontier.operators import pages as PX
 from frontier.operators import rekey as RK
 from frontier.operators import rolloff as RO
@@ -73,3 +74,40 @@ def test_oversize_sweep_bytes(spark):
     rows = RK.oversize_sweep({"url_state": t}).collect()
     assert [(r.table, r.shard_id, r.oversized) for r in rows] == [("url_state", 1, 2)]
     assert RK.drop_oversize(t).count() == 1
+
+
+RULES = U.SuffixRules(["com", "org"])
+
+
+def _links(spark, html):
+    df = spark.createDataFrame([(1, "http://a.com/d/i.html", html)], "page_id long, url string, html string")
+    return [(o.url, o.anchor) for o in PX.extract_pages(df, keep=("page_id",), rules=RULES).first().outlinks]
+
+
+def test_links_of_hard_markup(spark):
+    assert _links(spark, '<a title="a > b" href="/q1">x</a>') == [("http://a.com/q1", "x")]
+    assert _links(spark, '<a href="/s?a=1&amp;b=2">x</a><a href="/p?x=&#38;z">y</a>') == [("http://a.com/s?a=1&b=2", "x"), ("http://a.com/p?x=&z=", "y")]
+    assert _links(spark, "<a data-h='href=\"/no\"' href=/yes>k</a><!-- <a href=/c>c</a>") == [("http://a.com/yes", "k")]
+    assert _links(spark, '<base href="/b&#47;x/"><a href="p">It&#8217;s</a>') == [("http://a.com/b/x/p", "It\u2019s")]
+    assert _links(spark, "<a href=/1>one<a href=/2>two <b title='</a>'>b</b></a>") == [("http://a.com/1", "one"), ("http://a.com/2", "two b")]
+
+
+def test_hostile_pages_are_linear(spark):
+    import time
+    pages = ["<script " * 27000, "<!--" * 55000, "<a title='" * 22000, "<a href=/x>" * 20000, "<title " * 30000, "</p>" * 55000]
+    df = spark.createDataFrame([(k, "http://a.com/", h) for k, h in enumerate(pages)], "page_id long, url string, html string")
+    begin = time.perf_counter()
+    PX.extract_pages(df, keep=("page_id",), rules=RULES).write.format("noop").mode("overwrite").save()
+    assert time.perf_counter() - begin < 20
+
+
+def test_under_parents_once(spark):
+    df = spark.createDataFrame([(1, "x.y.a.com"), (2, "a.com"), (3, "ba.com"), (4, None)], "k long, h string")
+    parents = spark.createDataFrame([("a.com",), ("y.a.com",), ("a.com",)], "parent string")
+    assert sorted((r.k, r.parent) for r in RK.under_parents(df, "h", parents).collect()) == [(1, "y.a.com"), (2, "a.com")]
+
+
+def test_dns_names(spark):
+    cases = {"localhost": True, "a" * 64 + ".com": True, "a" * 65 + ".com": False, "read more": False, "-a.com": False, "a..b": False, "A.com": False}
+    df = spark.createDataFrame([(h,) for h in cases], "h string")
+    assert {r.h: r.d for r in df.select("h", RK.is_dns_host("h").alias("d")).collect()} == cases

@@ -1,10 +1,19 @@
 """URL functions against Python's own urllib/hashlib on hand-made inputs."""
 
 import hashlib
-from urllib.parse import urlparse, urlsplit, urlunsplit
+import html
+import random
+import time
+from email.utils import parsedate_to_datetime
+from datetime import timezone
+from urllib.parse import urljoin, urlparse, urlsplit, urlunsplit
+
+import pytest
 
 from pyspark.sql import functions as F
 
+from frontier.functions import fetch as FT
+from frontier.functions import lookup as L
 from frontier.functions import urls as U
 
 URLS = ["http://ththre.example.com/fr/825?page=2&ref=x", "https://User@M.Th.Example.NET:8080/en/25#top", "",
@@ -83,3 +92,54 @@ def test_resolve(spark):
         U.resolve_url(F.lit("http://a.com/x/y"), F.lit("//c.org/z")).alias("c"),
         U.resolve_url(F.lit("http://a.com/x/y"), F.lit("?k")).alias("d")).first()
     assert (r.a, r.b, r.c, r.d) == ("http://a.com/x/b", "http://a.com/p?x=1", "http://c.org/z", "http://a.com/x/y?k")
+
+
+def test_resolve_matches_the_library(spark):
+    rng = random.Random(4)
+    bases = ["http://a.com", "http://a.com/", "http://a.com/1/2/3/4/5/6/7/8/9/10/11/12/f?q=1", "http://a.com/x/y/", "http://a.com/x//y/z", "http://a.com/x/y?p=/1"]
+    refs = ["../" * 11 + "t", "../" * 40 + "t", "..", ".", "./", "../", "a/./b/../c", "/a/b/../../../c/.", "//h.org/p", "g?y#z", "?y", "#s", "", "../..", "/./x", "a//b"]
+    refs += ["/".join(rng.choice(["..", ".", "a", "b"]) for _ in range(rng.randint(1, 9))) for _ in range(60)]
+    rows = [(b, r) for b in bases for r in refs]
+    got = spark.createDataFrame(rows, "b string, r string").select("b", "r", U.resolve_url("b", "r").alias("u")).collect()
+    plain = lambda u: u.rstrip("#")
+    assert [(r.b, r.r, plain(r.u)) for r in got] == [(b, r, plain(urljoin(b, r))) for b, r in rows]
+
+
+def test_character_references_match_the_library(spark):
+    cases = ["It&#8217;s caf&eacute;", "&amp;&lt;&gt;&quot;&#39;&apos;&nbsp;", "&#x1F600; &#128512", "&copy 2", "&notit; &notin;", "&unknown; & &;", "&#0; &#xD800; &#x110000;",
+             "&#150;&#x80;", "&ampamp;", "&AMP", "no refs", "", "&&amp;&", "&CounterClockwiseContourIntegral;", "x&#38;z"]
+    df = spark.createDataFrame([(c,) for c in cases], "c string")
+    got = {r.c: r.d for r in df.select("c", L.html_unescape("c").alias("d")).collect()}
+    assert got == {c: html.unescape(c) for c in cases}
+    q = spark.createDataFrame([("/s?a=1&copy=2&amp;b=3&lt;&para",)], "c string")
+    assert q.select(L.html_unescape("c", attribute=True).alias("d")).first().d == "/s?a=1&copy=2&b=3<\u00b6"
+
+
+def test_suffix_rules_are_required():
+    with pytest.raises(ValueError):
+        U.registrable_domain(F.col("h"), None)
+    with pytest.raises(ValueError):
+        U.SuffixRules([])
+
+
+def test_suffix_lookup_does_not_follow_the_rule_count(spark):
+    hosts = spark.range(20000).select(F.concat(F.lit("h"), "id", F.lit(".a.b"), (F.col("id") % 90).cast("string"), F.lit(".com")).alias("h"))
+    few = U.SuffixRules(["com"] + [f"x{k}.y" for k in range(99)])
+    many = U.SuffixRules(["com"] + [f"x{k}.y" for k in range(9999)])
+    took = []
+    for rules in (few, few, many):
+        begin = time.perf_counter()
+        assert hosts.select(F.count_if(U.registrable_domain("h", rules).endswith(".com"))).first()[0] == 20000
+        took.append(time.perf_counter() - begin)
+    assert took[2] < 3 * took[1] + 3
+
+
+def test_http_dates(spark):
+    good = ["Wed, 21 Oct 2015 07:28:00 GMT", "21 Oct 2015 07:28:00 +0200", "Wednesday, 21-Oct-15 07:28:00 GMT", "Wed, 1 Jan 1997 00:00 PST", "Wed, 21 Oct 2015 07:28:00 -0930"]
+    bad = ["", "yesterday", "32 Foo 2015 07:28:00 GMT", "Wed, 31 Feb 2015 07:28:00 GMT", None]
+    df = spark.createDataFrame([(x,) for x in good + bad], "x string")
+    got = {r.x: r.d for r in df.select("x", FT.iso_utc(FT.http_date("x")).alias("d")).collect()}
+    for x in good:
+        assert got[x] == parsedate_to_datetime(x).astimezone(timezone.utc).isoformat()
+    assert all(got[x] is None for x in bad)
+    assert spark.createDataFrame([("Wed Oct 21 07:28:00 2015",)], "x string").select(FT.iso_utc(FT.http_date("x"))).first()[0] == "2015-10-21T07:28:00+00:00"
