@@ -54,6 +54,7 @@ def _positions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
              .select("id", "th", F.expr(f"filter(transform(lines, (x, i) -> struct(i AS i, x AS x, regexp_count(x, r'{_WORD}') AS w)), s -> s.w > 0)").alias("lines"))
              .select("id", "th", F.posexplode("lines").alias("k", "s"))
              .select("id", "th", "k", "s.i", "s.w", F.xxhash64("s.x").alias("h1"), F.hash("s.x").alias("h2")))
+    lines = cut_lineage(lines)   # hashes and counts of lines: the texts are read once
     ids = _ranked(lines, ["h1", "h2"], "r")
     return cut_lineage(lines.join(ids, ["h1", "h2"]).select("id", "th", "k", "i", "w", "r").dropDuplicates(["id", "th", "k"]))
 
