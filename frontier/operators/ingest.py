@@ -236,7 +236,7 @@ def upsert_links(state: DataFrame, links_agg: DataFrame, as_of, scores: DataFram
     """UM-7: insert unseen URLs (with domain score, provenance, inline score
     if given); for existing URLs add inlink counters and fill the anchor only
     where it is NULL.  Returns ``(changed_rows, inserted_history, results)``:
-    ``results`` has ``url, inserted`` per aggregated link."""
+    ``results`` is the changed rows with ``inserted``, one per aggregated link."""
     lk = links_agg
     if scores is not None:
         lk = lk.join(scores.select("url", F.col("url_score").alias("__score"),
@@ -282,8 +282,7 @@ def upsert_links(state: DataFrame, links_agg: DataFrame, as_of, scores: DataFram
         out.append(F.when(ins, ins_v).otherwise(upd_v).cast(f.dataType).alias(c))
     changed = j.select(*out, ins.alias("inserted"))
     hist = changed.filter("inserted").drop("inserted").withColumn("snapshot_at", F.lit(as_of).cast("timestamp"))
-    results = changed.select("url", "inserted", "domain_id")
-    return changed.drop("inserted"), hist, results
+    return changed.drop("inserted"), hist, changed
 
 
 # --------------------------------------------------------------------------

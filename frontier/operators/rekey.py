@@ -126,18 +126,18 @@ def plan_split(state: DataFrame, pending: DataFrame, num_shards: int = 256,
 
 
 def rekey(state: DataFrame, mapping: DataFrame, key: str) -> DataFrame:
-    """RK-2..RK-5 core: replace ``domain_id``/``shard_id`` of rows matched by
-    ``key`` (a column of both inputs) with the mapping's ``new_domain_id``,
-    ``new_shard_id``.  Target-wins: when a moved URL already exists under the
-    target, the existing row is kept and the moved one discarded."""
+    """RK-2 core: replace ``domain_id``/``shard_id`` of rows matched by ``key`` (a column of
+    both inputs, once in ``mapping``) with the mapping's ``new_domain_id``, ``new_shard_id``.
+    Target-wins: a moved URL that a row which doesn't move already has is discarded; of two
+    moved rows of one URL the one with the smallest (old shard, old domain) stays.  Rows that
+    don't move only pass an anti join on the mapped keys."""
     m = mapping.select(key, "new_domain_id", "new_shard_id")
-    j = state.join(m, key, "left")
-    moved = F.col("new_domain_id").isNotNull()
-    out = j.withColumn("__moved", moved).withColumn(
-        "domain_id", F.when(moved, F.col("new_domain_id")).otherwise(F.col("domain_id"))).withColumn(
-        "shard_id", F.when(moved, F.col("new_shard_id")).otherwise(F.col("shard_id"))).drop("new_domain_id", "new_shard_id")
-    w = Window.partitionBy("url").orderBy(F.col("__moved").asc())  # unmoved (target) row first
-    return out.withColumn("__r", F.row_number().over(w)).filter(F.col("__r") == 1).drop("__r", "__moved")
+    stay = state.join(m.select(key), key, "left_anti").select(*state.columns)
+    order = Window.partitionBy("url").orderBy("__shard", "__domain")
+    moved = (state.join(m, key).withColumn("__shard", F.col("shard_id")).withColumn("__domain", F.col("domain_id"))
+             .withColumn("domain_id", F.col("new_domain_id")).withColumn("shard_id", F.col("new_shard_id"))
+             .withColumn("__r", F.row_number().over(order)).where("__r = 1").select(*state.columns))
+    return stay.unionByName(moved.join(stay.select("url"), "url", "left_anti").select(*state.columns))
 
 
 def follow_counters(counters: DataFrame, moved_state: DataFrame) -> DataFrame:

@@ -84,13 +84,13 @@ SELECT 'https://s' || l_suppkey || '.example.org/o/' || l_orderkey AS src,
        ELSE 'https://p' || (l_partkey % 97) || '.example.net/i/' || l_partkey END AS dst,
   CASE WHEN l_partkey % 2 = 0 THEN 0 ELSE 1 END AS ext,
   CASE WHEN l_linenumber % 3 = 0 THEN '' ELSE p_name END AS anchor,
-  l_orderkey, l_linenumber, l_partkey, l_suppkey
+  l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate
 FROM lineitem JOIN part ON l_partkey = p_partkey
 """
 
 
 def f3_links(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name")
     j = li.join(p, li.l_partkey == p.p_partkey)
     even = F.col("l_partkey") % 2 == 0
@@ -103,7 +103,7 @@ def f3_links(spark, sf_dir):
                              F.col("l_partkey").cast("string"))).alias("dst"),
         F.when(even, 0).otherwise(1).alias("ext"),
         F.when(F.col("l_linenumber") % 3 == 0, F.lit("")).otherwise(F.col("p_name")).alias("anchor"),
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
 
 
 F3_LINK_RECORDS_SQL = """

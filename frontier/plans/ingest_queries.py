@@ -178,8 +178,8 @@ def links_upsert(spark, sf_dir):
     f3 = FX.f3_links(spark, sf_dir)
     state = FX.f3_old_state(spark, f3)
     agg = IG.aggregate_links(FX.f3_link_records(spark, sf_dir))
-    changed, _, res = IG.upsert_links(state, agg, FX.AS_OF)
-    return changed.join(res.select("url", "inserted"), "url").select(
+    _, _, res = IG.upsert_links(state, agg, FX.AS_OF)
+    return res.select(
         "url", "inserted", "inlink_count_approx", "inlink_count_external", "anchor_text", "domain_score",
         "discovered_from", "domain_id")
 

@@ -96,16 +96,25 @@ def split_plan(spark, sf_dir):
 
 
 @register("split_apply", oracle=f"""
-WITH {_F12}
-SELECT url, CASE WHEN lower(regexp_extract(url, '^https?://([^/:]+)', 1)) IN (SELECT host FROM pend)
-  THEN domain_id + 100000 ELSE domain_id END AS domain_id, shard_id FROM st
+WITH {_F12},
+al AS (SELECT url, domain_id, shard_id, 'old' AS title FROM st UNION ALL
+       SELECT url, domain_id + 100000, (shard_id + 1) % 256, 'target' FROM st WHERE CAST(regexp_extract(url, '([0-9]+)$', 1) AS BIGINT) % 10 = 0),
+mv AS (SELECT *, domain_id < 100000 AND lower(regexp_extract(url, '^https?://([^/:]+)', 1)) IN (SELECT host FROM pend) AS moves FROM al)
+SELECT url, domain_id, shard_id, title FROM mv WHERE NOT moves
+UNION ALL SELECT url, domain_id + 100000, (CAST(('0x' || right(md5(lower(regexp_extract(url, '^https?://([^/:]+)', 1))), 2)) AS INTEGER) + 1) % 256, title FROM mv
+WHERE moves AND url NOT IN (SELECT url FROM mv WHERE NOT moves)
 """)
 def split_apply(spark, sf_dir):
-    """RK-2: re-key moved rows to (new domain id, host shard); others untouched."""
+    """RK-2: rows of split hosts move to (new domain id, new shard) unless the target has the
+    URL already; others are untouched."""
     st, pend = _f12(spark, sf_dir)
-    plan = RK.plan_split(st, pend)
-    mapping = plan.select("url", (F.col("domain_id") + 100000).alias("new_domain_id"), "new_shard_id")
-    return RK.rekey(st, mapping, "url").select("url", "domain_id", "shard_id")
+    number = F.regexp_extract("url", "([0-9]+)$", 1).cast("long")
+    st = st.withColumn("title", F.lit("old"))
+    target = st.where(number % 10 == 0).withColumn("domain_id", F.col("domain_id") + 100000).withColumn(
+        "shard_id", ((F.col("shard_id") + 1) % 256).cast("int")).withColumn("title", F.lit("target"))
+    mapping = RK.plan_split(st, pend).select("domain_id", (F.col("domain_id") + 100000).alias("new_domain_id"),
+                                             ((F.col("new_shard_id") + 1) % 256).cast("int").alias("new_shard_id")).distinct()
+    return RK.rekey(st.unionByName(target), mapping, "domain_id").select("url", "domain_id", "shard_id", "title")
 
 
 def _odd_domain():
@@ -225,18 +234,18 @@ def golden_inject_registry(spark, sf_dir):
 
 
 @register("link_graph_edges", oracle=f"""
-WITH f3 AS ({FX.F3_SQL}), s AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate FROM lineitem)
-SELECT src, dst, md5(anchor) AS anchor_md5, min(l_shipdate) AS first_seen, max(l_shipdate) AS last_seen
-FROM f3 JOIN s USING (l_orderkey, l_linenumber, l_partkey, l_suppkey) GROUP BY 1, 2, 3
+WITH f3 AS ({FX.F3_SQL}),
+al AS (SELECT src, dst, anchor, CAST(l_shipdate AS TIMESTAMP) AS a, CAST(l_shipdate AS TIMESTAMP) AS b FROM f3 UNION ALL
+       SELECT src, dst, anchor, CAST(l_shipdate AS TIMESTAMP) - INTERVAL 400 DAY, CAST(l_shipdate AS TIMESTAMP) - INTERVAL 300 DAY FROM f3 WHERE l_linenumber = 1 AND l_orderkey % 4 = 0)
+SELECT src, dst, md5(anchor) AS anchor_md5, min(a) AS first_seen, max(b) AS last_seen FROM al GROUP BY 1, 2, 3
 """)
 def link_graph_edges(spark, sf_dir):
-    """UM-13: link-graph edges keyed by (src, dst, md5(anchor))."""
+    """UM-13: new sightings upserted into stored link-graph edges, keyed by (src, dst, md5(anchor))."""
     f3 = FX.f3_links(spark, sf_dir)
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                                                  F.col("l_shipdate").cast("timestamp").alias("seen_at"))
-    links = f3.join(li, ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
-    empty = links.sparkSession.createDataFrame([], "src string, dst string, anchor_md5 binary, first_seen timestamp, last_seen timestamp")
-    e = GD.link_edges(empty, links)
+    day = F.col("l_shipdate").cast("timestamp")
+    old = f3.where("l_linenumber = 1 AND l_orderkey % 4 = 0").select(
+        "src", "dst", F.unhex(F.md5("anchor")).alias("anchor_md5"), (day - F.expr("INTERVAL 400 DAY")).alias("first_seen"), (day - F.expr("INTERVAL 300 DAY")).alias("last_seen"))
+    e = GD.link_edges(old, f3.withColumn("seen_at", day))
     return e.select("src", "dst", F.lower(F.hex("anchor_md5")).alias("anchor_md5"), "first_seen", "last_seen")
 
 
