@@ -23,45 +23,56 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
+from .removal import without_ids
 
-#: Largest benchmark text that is broadcast as one hash set (bytes). A larger benchmark
-#: is cut into sets of this size, and the documents are scanned once for each.
-MAX_SET_BYTES = 64 << 20
+#: Largest benchmark text in one broadcast hash set (bytes; the arrays take about seven times
+#: that in every worker). A larger benchmark is cut into sets of at most this size by hash, the
+#: documents are scanned once for each, and the hits of a document are put together.
+MAX_SET_BYTES = 16 << 20
 _BITS = 20
 
 
 @dataclass
 class GramSet:
-    """Windows of the items: per size sorted hashes, and per hash the texts and item ids."""
+    """Windows of the items as arrays: per size the sorted hashes and the first word of each
+    window; the words' places in the folded text, their item, and the items' ids."""
 
-    sizes: list[int]
     hashes: dict[int, np.ndarray]
+    at: dict[int, np.ndarray]
     bitmap: np.ndarray
-    texts: dict[tuple[int, int], dict[bytes, list[str]]]
+    starts: np.ndarray
+    ends: np.ndarray
+    owner: np.ndarray
+    text: bytes
+    ids: list[str | None]
+
+    def items(self, size: int, window: int, words: list[bytes]) -> tuple[bool, set[str]]:
+        """Whether some item has exactly these words (their hash is ``window``), and the ids."""
+        known = self.hashes[size]
+        lo, hi = np.searchsorted(known, K.U64(window), "left"), np.searchsorted(known, K.U64(window), "right")
+        found, ids = False, set()
+        for w in self.at[size][lo:hi].tolist():
+            if all(self.text[a:b] == x for a, b, x in zip(self.starts[w:w + size].tolist(), self.ends[w:w + size].tolist(), words, strict=True)):
+                found = True
+                if self.ids[self.owner[w]] is not None:
+                    ids.add(self.ids[self.owner[w]])
+        return found, ids
 
 
 def gram_set(items: list[tuple[object, str | None]], n: int) -> GramSet:
-    texts: dict[tuple[int, int], dict[bytes, list[str]]] = {}
     data, offsets = K.text_bytes(pa.array([t for _, t in items], pa.string()))
     words = K.find_words(data, offsets, K.ALNUM, K.LOWER)
-    folded = K.LOWER[data].tobytes()
-    counts = np.diff(words.first)
-    for size in sorted({min(n, int(c)) for c in counts if c}):
-        hashes, inside = K.windows(words, size)
-        owner = words.doc[:len(hashes)]
-        wanted = inside & ((counts[owner] == size) if size < n else (counts[owner] >= n))
-        for i in np.flatnonzero(wanted):
-            word_texts = [folded[a:b] for a, b in zip(words.starts[i:i + size], words.ends[i:i + size], strict=True)]
-            item = items[owner[i]][0]
-            ids = texts.setdefault((size, int(hashes[i])), {}).setdefault(b" ".join(word_texts), [])
-            if item is not None and str(item) not in ids:
-                ids.append(str(item))
-    sizes = sorted({size for size, _ in texts})
-    sets = {size: np.array(sorted(h for s, h in texts if s == size), dtype=K.U64) for size in sizes}
+    counts, owner = np.diff(words.first), words.doc
+    hashes, at = {}, {}
     bitmap = np.zeros(1 << _BITS, bool)
-    for hashes in sets.values():
-        bitmap[(hashes >> K.U64(64 - _BITS)).astype(np.int64)] = True
-    return GramSet(sizes, sets, bitmap, texts)
+    for size in sorted({min(n, int(c)) for c in counts if c}):
+        found, inside = K.windows(words, size)
+        mine = counts[owner[:len(found)]]
+        wanted = np.flatnonzero(inside & ((mine == size) if size < n else (mine >= n)))
+        order = np.argsort(found[wanted], kind="stable")
+        hashes[size], at[size] = found[wanted][order], wanted[order].astype(np.int32)
+        bitmap[(hashes[size] >> K.U64(64 - _BITS)).astype(np.int64)] = True
+    return GramSet(hashes, at, bitmap, words.starts, words.ends, owner, K.LOWER[data].tobytes(), [None if i is None else str(i) for i, _ in items])
 
 
 def scan(data: np.ndarray, offsets: np.ndarray, grams: GramSet):
@@ -70,68 +81,80 @@ def scan(data: np.ndarray, offsets: np.ndarray, grams: GramSet):
     hit = np.zeros(len(words.hashes) + 1, np.int32)
     items: dict[int, set[str]] = {}
     doc = words.doc
-    for size in grams.sizes:
+    for size, known in grams.hashes.items():
         hashes, inside = K.windows(words, size)
         maybe = np.flatnonzero(inside & grams.bitmap[(hashes >> K.U64(64 - _BITS)).astype(np.int64)])
-        known = grams.hashes[size]
         at = np.minimum(np.searchsorted(known, hashes[maybe]), len(known) - 1)
-        for i in maybe[known[at] == hashes[maybe]]:
+        for i in maybe[known[at] == hashes[maybe]].tolist():
             spans = zip(words.starts[i:i + size], words.ends[i:i + size], strict=True)
-            text = b" ".join(K.LOWER[data[a:b]].tobytes() for a, b in spans)
-            ids = grams.texts[size, int(hashes[i])].get(text)
-            if ids is not None:
+            found, ids = grams.items(size, int(hashes[i]), [K.LOWER[data[a:b]].tobytes() for a, b in spans])
+            if found:
                 hit[i] += 1
                 hit[i + size] -= 1
                 items.setdefault(int(doc[i]), set()).update(ids)
     return words, np.cumsum(hit)[:-1] > 0, items
 
 
-def _grams(benchmark: DataFrame, n: int, item_col: str, text_col: str) -> list[GramSet]:
-    """The hash sets: usually one; more where the benchmark is over :data:`MAX_SET_BYTES`."""
+def _parts(benchmark: DataFrame, n: int, item_col: str, text_col: str):
+    """The hash sets, one at a time: usually one; more where the benchmark is over the bound."""
     rows = benchmark.select(F.col(item_col).alias("i"), F.col(text_col).alias("t")).where("t is not null")
-    total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    if total <= MAX_SET_BYTES:
-        return [gram_set([(r.i, r.t) for r in rows.collect()], n)]
-    parts = -(-2 * total // MAX_SET_BYTES)
-    sets = []
-    for p in range(parts):  # each part is about half the bound, and is sent on before the next is read
-        part = rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == p)
-        sets.append(gram_set([(r.i, r.t) for r in part.collect()], n))
-    return sets
-
-
-def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_id", text_col: str = "text",
-                  item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """One row per document: ``id_col``, ``n_words``, ``n_hit``, ``items`` (sorted ids as
-    strings) and ``spans`` (hit runs as character ranges ``[begin, end)`` of the text)."""
-    spark = docs.sparkSession
-    shared = [spark.sparkContext.broadcast(g) for g in _grams(benchmark, n, item_col, item_text_col)]
+    size = rows.agg(F.sum(F.octet_length("t")).alias("all"), F.max(F.octet_length("t")).alias("one")).first()
+    total = size["all"] or 0
+    if (size["one"] or 0) > MAX_SET_BYTES:
+        raise ValueError(f"a benchmark item over {MAX_SET_BYTES} bytes")
+    parts = 1 if total <= MAX_SET_BYTES else -(-2 * total // MAX_SET_BYTES)   # half full on average
+    for p in range(parts):
+        part = rows if parts == 1 else rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == p)
+        yield gram_set([(r.i, r.t) for r in part.collect()], n)
+
+
+def _scanned(docs: DataFrame, grams: GramSet, id_col: str, text_col: str) -> DataFrame:
+    """Per row: id, ``key`` (hash of the text), n_words, ``hits`` (places of hit words), items, spans."""
+    shared = docs.sparkSession.sparkContext.broadcast(grams)
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"{id_col} {kind}, n_words bigint, n_hit bigint, items array<string>, spans array<struct<begin:bigint,end:bigint>>"
+    span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        data, offsets = K.text_bytes(batch.column(1))
-        n_words, n_hit, items, spans = [], [], [], []
+        data, offsets = K.text_bytes(batch.column(2))
+        n_words, hits, items, spans = [], [], [], []
         for lo, hi in K.row_groups(offsets):
             part = offsets[lo:hi + 1]
-            hit, found = None, {}
-            for grams in shared:
-                words, more, ids = scan(data, part, grams.value)
-                hit = more if hit is None else hit | more
-                for d, x in ids.items():
-                    found.setdefault(d, set()).update(x)
-            total = np.concatenate([[0], np.cumsum(hit)])
+            words, hit, found = scan(data, part, shared.value)
             n_words += np.diff(words.first).tolist()
-            n_hit += (total[words.first[1:]] - total[words.first[:-1]]).tolist()
             for d in range(hi - lo):
+                places = np.flatnonzero(hit[words.first[d]:words.first[d + 1]])
+                hits.append(places.astype(np.int32))
                 items.append(sorted(found.get(d, ())))
-                spans.append(_spans(data, words, hit, d, int(part[d])) if n_hit[lo + d] else [])
+                spans.append(_spans(data, words, hit, d, int(part[d])) if len(places) else [])
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())),
-             pa.array(spans, pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))],
-            names=[id_col, "n_words", "n_hit", "items", "spans"])
+            [batch.column(0), batch.column(1), pa.array(n_words, pa.int64()), pa.array(hits, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string())),
+             pa.array(spans, span)], names=[id_col, "key", "n_words", "hits", "items", "spans"])
+
+    return K.text_map(docs.select(id_col, F.xxhash64(text_col).alias("key"), text_col), run,
+                      f"{id_col} {kind}, key bigint, n_words bigint, hits array<int>, items array<string>, spans array<struct<begin:bigint,end:bigint>>")
+
 
-    return K.text_map(docs.select(id_col, text_col), run, schema)
+def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: str = "doc_id", text_col: str = "text",
+                  item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """One row per document: ``id_col``, ``n_words``, ``n_hit``, ``items`` (sorted ids as
+    strings) and ``spans`` (hit runs as character ranges ``[begin, end)`` of the text, in
+    order; of several sets they may overlap)."""
+    scans = [_scanned(docs, grams, id_col, text_col) for grams in _parts(benchmark, n, item_col, item_text_col)]
+    if len(scans) == 1:
+        return scans[0].select(id_col, "n_words", F.size("hits").cast("bigint").alias("n_hit"), "items", "spans")
+    rows = scans[0]
+    hits = scans[0].where("size(hits) > 0")
+    for more in scans[1:]:
+        hits = hits.unionByName(more.where("size(hits) > 0"))
+    whole = hits.groupBy(F.col(id_col).alias("__i"), F.col("key").alias("__k")).agg(
+        F.size(F.array_distinct(F.flatten(F.collect_list("hits")))).cast("bigint").alias("n_hit"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
+    base = rows.select(id_col, "key", "n_words")
+    return base.join(whole, F.col(id_col).eqNullSafe(F.col("__i")) & (F.col("key") == F.col("__k")), "left").select(
+        id_col, "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        F.coalesce("spans", F.array().cast("array<struct<begin:bigint,end:bigint>>")).alias("spans"))
 
 
 def _spans(data: np.ndarray, words: K.Words, hit: np.ndarray, d: int, base: int) -> list[dict[str, int]]:
@@ -156,14 +179,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, action: st
         raise ValueError("action is 'documents' or 'spans'")
     found = contamination(docs, benchmark, n, id_col, text_col).where("n_hit > 0")
     if action == "documents":
-        bad = found.select(F.col(id_col).alias("__llm_id")).distinct()
-        return docs.join(bad, docs[id_col] == bad["__llm_id"], "left_anti")
+        return without_ids(docs, found.select(id_col), id_col)
     cuts = found.groupBy(F.col(id_col).alias("__llm_id")).agg(F.first("spans").alias("__llm_spans"))
     joined = docs.join(cuts, docs[id_col] == cuts["__llm_id"], "left")
     keep = F.aggregate(
         "__llm_spans", F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at")),
-        lambda acc, s: F.struct(F.concat(acc["out"], F.substring(F.col(text_col), (acc["at"] + 1).cast("int"), (s["begin"] - acc["at"]).cast("int"))).alias("out"),
-                                s["end"].alias("at")),
+        lambda acc, s: F.struct(F.concat(acc["out"], F.substring(F.col(text_col), (acc["at"] + 1).cast("int"), F.greatest(s["begin"] - acc["at"], F.lit(0)).cast("int"))).alias("out"),
+                                F.greatest(acc["at"], s["end"]).alias("at")),
         lambda acc: F.concat(acc["out"], F.substring(F.col(text_col), (acc["at"] + 1).cast("int"), F.lit(2**31 - 1))))
     text = F.when(F.col("__llm_id").isNull(), F.col(text_col)).otherwise(keep)
     return joined.select(*[text.alias(c) if c == text_col else docs[c] for c in docs.columns])

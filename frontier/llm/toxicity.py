@@ -30,6 +30,7 @@ from frontier.session import cut_lineage
 from . import kernels as K
 from .grams import Texts
 from .labelled import sample
+from .removal import without_ids
 
 #: Labelled rows in the sample, terms in the vocabulary (both bound what is broadcast).
 MAX_EXAMPLES, MAX_TERMS = 6000, 1024
@@ -214,7 +215,10 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           where: Column | None = None, max_examples: int = MAX_EXAMPLES) -> DataFrame:
     """``id_col``, ``score`` (0 to 1) and ``evidence`` (nearest examples: id, similarity, label)
     of every row of ``docs``; examples come from the labelled rows for which ``where`` holds."""
-    chosen = cut_lineage(sample(labels, id_col, label_col, max_examples, where))
+    own_id = id_col
+    docs = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
+    id_col, text_col = "doc", "text"
+    chosen = cut_lineage(sample(labels, own_id, label_col, max_examples, where))
     counts = chosen.agg(F.sum("label").alias("t"), F.count("*").alias("n")).first()
     toxic, n = int(counts.t or 0), int(counts.n)
     picked = F.broadcast(chosen)
@@ -249,14 +253,14 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(scores, pa.float64()),
                  pa.array(evidence, pa.list_(pa.struct([("id", id_type), ("similarity", pa.float64()), ("label", pa.int32())])))],
-                names=[id_col, "score", "evidence"])
+                names=[own_id, "score", "evidence"])
 
     id_sql = "bigint" if id_type == pa.int64() else "string"
-    return vectors.mapInArrow(run, f"{id_col} {kind}, score double, evidence array<struct<id:{id_sql},similarity:double,label:int>>")
+    return vectors.mapInArrow(run, f"{own_id} {kind}, score double, evidence array<struct<id:{id_sql},similarity:double,label:int>>")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text",
                where: Column | None = None) -> DataFrame:
     """``docs`` without the rows that score ``threshold`` or more; rows with a null id stay."""
-    bad = score(docs, labels, id_col, text_col, where=where).where(F.col("score") >= threshold).select(F.col(id_col).alias("__llm_id")).distinct()
-    return docs.join(bad, docs[id_col] == bad["__llm_id"], "left_anti")
+    bad = score(docs, labels, id_col, text_col, where=where).where(F.col("score") >= threshold)
+    return without_ids(docs, bad.select(id_col), id_col)
