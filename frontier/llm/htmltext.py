@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from . import kernels as K
 from .blocks import Block, read
+from .labelled import smallest
 
 #: Pages that are learned from, their altered forms, and the longest such page (bytes).
 MAX_TRAIN, FORMS, MAX_TRAIN_BYTES = 240, 4, 1 << 17
@@ -362,10 +363,11 @@ def label(model: Model | None, pages: list[list[Block]], group: int = 64) -> lis
 
 
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_train: int = MAX_TRAIN) -> Model | None:
-    """The labeller of at most ``max_train`` pages (those with the smallest hash of their text)."""
-    rows = (pages.select(F.col(html_col).alias("h")).where(F.col("h").isNotNull() & (F.octet_length("h") <= MAX_TRAIN_BYTES))
-            .select("h", F.xxhash64("h").alias("k")).orderBy("k", "h").limit(max_train).collect())
-    return train([r.h for r in rows])
+    """The labeller of at most ``max_train`` different pages (those with the smallest hash)."""
+    rows = pages.select(F.col(html_col).alias("h")).where(F.col("h").isNotNull() & (F.octet_length("h") <= MAX_TRAIN_BYTES))
+    keys = smallest(rows.select(F.xxhash64("h").alias("k")).distinct(), "k", max_train)
+    chosen = rows.withColumn("k", F.xxhash64("h")).join(F.broadcast(keys), "k").groupBy("k").agg(F.min("h").alias("h"))
+    return train([r.h for r in chosen.orderBy("k").collect()])
 
 
 def extract(pages: DataFrame, model: Model | None, id_col: str = "page_id", html_col: str = "html", extra: tuple[str, ...] = ("url",)) -> DataFrame:
