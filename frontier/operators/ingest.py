@@ -8,24 +8,25 @@
 * :func:`batch_metrics`    AG-4
 * :func:`ingest_batch`     UM-8  links, then results, in one job
 
-Design: a batch is joined to the current state once on ``url`` (one shuffle
-of each side); every window then uses ``partitionBy("url")`` so Spark reuses
-that partitioning (sorts only).  Repeated fetches of one URL in a batch are
-successive upserts: the window fold reproduces them exactly (ordered by a
-strict ``seq``).  A hot URL holding a third of a batch is one window
-partition; the fold is a streaming pass over its sorted rows (no collect),
-and the link path pre-aggregates with partial aggregation before any
-shuffle.  No output row is dropped.
+Design: repeated fetches of one URL in a batch are successive upserts; the
+fold reproduces them exactly (ordered by a strict ``seq``) with running
+aggregates.  These run over blocks of the batch sorted by (url, seq), with
+carries between blocks (:mod:`.running`), so a URL that holds a third of a
+batch is spread over many tasks.  The batch is joined to the current state on
+``url`` once, and the link path pre-aggregates before any shuffle.  No output
+row is dropped.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as SC
+from ..session import cut_lineage
+from . import running as RUN
 
 # Robots classification.
 ROBOTS_UNKNOWN, ROBOTS_ALLOWED, ROBOTS_DISALLOWED = 0, 1, 2
@@ -125,46 +126,41 @@ def fold_results(state: DataFrame, results: DataFrame, as_of) -> DataFrame:
     b = decode_results(results, as_of)
     old_cols = [c for c in SC.URL_STATE.fieldNames() if c != "url"]
     old = state.select("url", *[F.col(c).alias("o_" + c) for c in old_cols], F.lit(True).alias("o_exists"))
-    j = b.join(old, "url", "left")
-    w = Window.partitionBy("url").orderBy("seq")
-    wc = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wp = w.rowsBetween(Window.unboundedPreceding, -1)
     o = lambda c: F.col("o_" + c)
     has_old = F.coalesce(F.col("o_exists"), F.lit(False))
-
-    j = j.withColumn("__rn", F.row_number().over(w)) \
-         .withColumn("__prev_hash", F.coalesce(
-             F.last(F.when(F.col("is_ok"), F.col("content_hash")), ignorenulls=True).over(wp), o("content_hash")))
-    j = j.withColumn("is_upd", F.col("is_ok") & F.col("content_hash").isNotNull()
-                     & ~F.col("content_hash").eqNullSafe(F.col("__prev_hash")))
-    j = j.withColumn("__inc_upd", F.col("is_upd").cast("int"))
-    last_ok_rn = F.max(F.when(F.col("is_ok"), F.col("__rn"))).over(wc)
-    first_insert_hash = F.first(F.col("content_hash")).over(wc)  # insert stores any hash
+    is_ok, when = F.col("is_ok"), F.when
+    # first pass: what doesn't depend on updates; second pass: updates, which need the hash before each record
+    j = RUN.run(RUN.in_blocks(b, "url", "seq"), "url", "seq", [
+        RUN.Running("__prev", "last", when(is_ok, F.col("content_hash")), before=True), RUN.Running("__ok", "sum", F.col("inc_ok")),
+        RUN.Running("__fail", "sum", F.col("inc_fail")), RUN.Running("__ok_at", "last", when(is_ok, F.col("fetched_at"))),
+        RUN.Running("__domain", "first", F.col("domain_id")), RUN.Running("__hash", "first", F.col("content_hash")),
+        RUN.Running("__robots", "last", when(F.col("robots_bits") != 0, F.col("robots_bits"))),
+        *[RUN.Running(f"__l_{c}", "last", F.col(c)) for c in _FOLD_COALESCE]])
+    j = j.join(old, "url", "left")
+    j = j.withColumn("is_upd", is_ok & F.col("content_hash").isNotNull() & ~F.col("content_hash").eqNullSafe(F.coalesce("__prev", o("content_hash"))))
+    j = cut_lineage(j.withColumn("__inc_upd", F.col("is_upd").cast("int")).withColumnRenamed("__rn", "__place").withColumnRenamed("__final", "__last"))
+    j = RUN.run(j, "url", "seq", [
+        RUN.Running("__upd", "sum", F.col("__inc_upd")), RUN.Running("__upd_at", "last", when(F.col("is_upd"), F.col("fetched_at"))),
+        RUN.Running("__upd_hash", "last", when(F.col("is_upd"), F.col("content_hash"))),
+        RUN.Running("__ok_place", "last", when(is_ok, F.col("__place")))])
     cur = {
-        "domain_id": F.when(has_old, o("domain_id")).otherwise(F.first("domain_id").over(wc)),
-        "first_seen": F.when(has_old, o("first_seen")).otherwise(F.lit(as_of).cast("timestamp")),
-        "last_fetch_ok": F.coalesce(F.last(F.when(F.col("is_ok"), F.col("fetched_at")), ignorenulls=True).over(wc),
-                                    o("last_fetch_ok")),
-        "last_content_update": F.coalesce(
-            F.last(F.when(F.col("is_upd"), F.col("fetched_at")), ignorenulls=True).over(wc), o("last_content_update")),
-        "num_fetch_ok_90d": (F.coalesce(o("num_fetch_ok_90d"), F.lit(0)) + F.sum("inc_ok").over(wc)).cast("int"),
-        "num_fetch_fail_90d": (F.coalesce(o("num_fetch_fail_90d"), F.lit(0)) + F.sum("inc_fail").over(wc)).cast("int"),
-        "num_content_update_90d": (F.coalesce(o("num_content_update_90d"), F.lit(0))
-                                   + F.sum("__inc_upd").over(wc)).cast("int"),
-        "num_consecutive_fail": F.when(last_ok_rn.isNull(),
-                                       F.coalesce(o("num_consecutive_fail"), F.lit(0)) + F.col("__rn"))
-                                 .otherwise(F.col("__rn") - last_ok_rn).cast("int"),
-        "last_fail_reason": F.when(~F.col("is_ok"), F.col("fail_reason")),
-        "content_hash": F.coalesce(
-            F.last(F.when(F.col("is_upd"), F.col("content_hash")), ignorenulls=True).over(wc),
-            F.when(has_old, o("content_hash")).otherwise(first_insert_hash)),
+        "domain_id": when(has_old, o("domain_id")).otherwise(F.col("__domain")),
+        "first_seen": when(has_old, o("first_seen")).otherwise(F.lit(as_of).cast("timestamp")),
+        "last_fetch_ok": F.coalesce(F.col("__ok_at"), o("last_fetch_ok")),
+        "last_content_update": F.coalesce(F.col("__upd_at"), o("last_content_update")),
+        "num_fetch_ok_90d": (F.coalesce(o("num_fetch_ok_90d"), F.lit(0)) + F.col("__ok")).cast("int"),
+        "num_fetch_fail_90d": (F.coalesce(o("num_fetch_fail_90d"), F.lit(0)) + F.col("__fail")).cast("int"),
+        "num_content_update_90d": (F.coalesce(o("num_content_update_90d"), F.lit(0)) + F.col("__upd")).cast("int"),
+        "num_consecutive_fail": when(F.col("__ok_place").isNull(), F.coalesce(o("num_consecutive_fail"), F.lit(0)) + F.col("__place"))
+                                .otherwise(F.col("__place") - F.col("__ok_place")).cast("int"),
+        "last_fail_reason": when(~is_ok, F.col("fail_reason")),
+        # an insert stores any hash
+        "content_hash": F.coalesce(F.col("__upd_hash"), when(has_old, o("content_hash")).otherwise(F.col("__hash"))),
         "should_crawl": F.lit(False),
-        "robots_bits": F.coalesce(
-            F.last(F.when(F.col("robots_bits") != 0, F.col("robots_bits")), ignorenulls=True).over(wc),
-            o("robots_bits"), F.lit(0)).cast("short"),
+        "robots_bits": F.coalesce(F.col("__robots"), o("robots_bits"), F.lit(0)).cast("short"),
     }
     for c in _FOLD_COALESCE:
-        cur[c] = F.coalesce(F.last(c, ignorenulls=True).over(wc), o(c))
+        cur[c] = F.coalesce(F.col(f"__l_{c}"), o(c))
     defaults = SC.URL_STATE_DEFAULTS
     cols = []
     for f in SC.URL_STATE.fields:
@@ -178,10 +174,9 @@ def fold_results(state: DataFrame, results: DataFrame, as_of) -> DataFrame:
             cols.append(F.when(has_old, o(f.name)).otherwise(F.lit(defaults[f.name])).cast(f.dataType).alias(f.name))
         else:
             cols.append(o(f.name).cast(f.dataType).alias(f.name))
-    n_in_url = F.count(F.lit(1)).over(Window.partitionBy("url"))
     return j.select(*cols, "seq", "is_ok", "is_upd", F.col("fail_reason").alias("record_fail_reason"),
-                    (~has_old & (F.col("__rn") == 1)).alias("new_link"),
-                    (F.col("__rn") == n_in_url).alias("is_last"),
+                    (~has_old & (F.col("__place") == 1)).alias("new_link"),
+                    F.col("__last").alias("is_last"),
                     F.col("inc_ok"), F.col("inc_fail"), F.col("__inc_upd").alias("inc_upd"))
 
 
@@ -420,7 +415,6 @@ def ingest_batch(state: DataFrame, counters: DataFrame, domain_state: DataFrame,
 
     The link-updated state is cut from its lineage with a reliable
     checkpoint before the result fold reads it."""
-    from ..session import cut_lineage
     b = batch.filter(F.col("url").isNotNull() & (F.length("url") <= MAX_URL_LEN))
     links = b.filter(F.col("status") == "new")
     results = b.filter(F.coalesce(F.col("status"), F.lit("")) != "new")

@@ -10,6 +10,7 @@ from frontier import schema as SC
 from frontier.functions import urls as U
 from frontier.operators import ingest as IG
 from frontier.operators import migrate as MG
+from frontier.operators import running as RUN
 from frontier.operators import score as SCR
 from frontier.sources import buckets, store
 from frontier.streaming import jobs as JB
@@ -136,3 +137,22 @@ def test_quantiles_of_small_groups(spark):
     df = spark.createDataFrame(rows, "ts timestamp, event string, worker_id int, latency_ms long")
     got = {r.worker_id: (r.p50, round(r.p95, 6), round(r.p99, 6)) for r in LG.latency_quantiles(df).collect()}
     assert got == {1: (5.0, 8.6, 8.92), 2: (4.0, 4.0, 4.0)}
+
+
+def test_running_aggregates_of_a_hot_key(spark):
+    """One key with half of the rows covers several blocks; results as in one pass."""
+    rng = random.Random(2)
+    rows = [("hot" if rng.random() < 0.5 else f"k{rng.randint(0, 30)}", k, rng.randint(0, 5), rng.choice([None, "a", "b"])) for k in range(2000)]
+    df = RUN.in_blocks(spark.createDataFrame(rows, "key string, seq long, n int, v string"), "key", "seq")
+    assert df.where("key = 'hot'").select("__block").distinct().count() > 1
+    got = RUN.run(df, "key", "seq", [RUN.Running("total", "sum", F.col("n")), RUN.Running("last", "last", F.col("v")), RUN.Running("prev", "last", F.col("v"), before=True),
+                                     RUN.Running("first", "first", F.col("v"))]).collect()
+    seen, last_of = {}, {}
+    for key, seq, _, _ in rows:
+        last_of[key] = seq
+    want = {}
+    for key, seq, n, v in rows:
+        place, total, last, first = seen.get(key, (0, 0, None, v))
+        want[seq] = (place + 1, total + n, v or last, last, first, last_of[key] == seq)
+        seen[key] = (place + 1, total + n, v or last, first)
+    assert {r.seq: (r["__rn"], r.total, r["last"], r.prev, r.first, r["__final"]) for r in got} == want
