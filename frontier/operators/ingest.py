@@ -397,6 +397,11 @@ def batch_metrics(folded: DataFrame, link_results: DataFrame | None = None):
     return g, per_domain, reasons
 
 
+def global_reasons(reasons: DataFrame) -> DataFrame:
+    """AG-4: fail-reason counts of the batch, over all domains."""
+    return reasons.groupBy("reason").agg(F.sum("n").alias("n"))
+
+
 @dataclass
 class IngestOutput:
     state: DataFrame          # new url_state (all rows)

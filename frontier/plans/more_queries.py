@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 from .. import schema as SC
 from ..functions import fetch as FT
+from ..operators import golden as GD
 from ..operators import ingest as IG
 from ..operators import pages as PX
 from ..operators import rekey as RK
 from ..operators import rolloff as RO
+from ..operators import routing as RT
 from ..operators import select as SL
 from ..operators import stats as STS
 from ..session import ensure_checkpoint_dir
@@ -20,8 +22,9 @@ from ..sources import buckets
 from ..streaming import logs as LG
 from . import fixtures as FX
 from .accounting_queries import _F8, f8_delta_json
+from .ingest_queries import _FOLD_SQL, _LINK_AGG_SQL
 from .registry import register, table
-from .select_queries import _ELIGIBLE, _URL_ORDER, CAP, MAX_DOMAINS, _inputs
+from .select_queries import _ELIGIBLE, _PICKED_EXAMPLE, _URL_ORDER, CAP, MAX_DOMAINS, _inputs
 
 
 def _folder(spark, name):
@@ -344,3 +347,81 @@ def log_request_latency(spark, sf_dir):
     ends = e.where("request_id % 9 > 0").select("request_id", F.timestamp_micros(F.unix_micros("ts") + gap * 1000).alias("ts"),
                                                  F.floor("value").cast("long").alias("download_latency_ms"))
     return LG.request_latency(e.select("request_id", "ts"), ends)
+
+
+# ------------------------------------------------------------ the rest of ingest, queue and routing outputs
+
+def _folded(spark, sf_dir):
+    f1 = FX.f1_fetches(spark, sf_dir)
+    return IG.fold_results(FX.f2_old_state(spark, f1), f1, FX.AS_OF)
+
+
+@register("ingest_metrics_with_links", oracle=f"""
+WITH {_FOLD_SQL}, {_LINK_AGG_SQL}, lold AS ({FX.F3_OLD_SQL})
+SELECT CAST((SELECT count(*) FROM fold WHERE new_link) + (SELECT count(*) FROM agg WHERE url NOT IN (SELECT url FROM lold)) AS BIGINT) AS new_links,
+  CAST((SELECT count(*) FROM fold WHERE is_ok) AS BIGINT) AS num_fetch_ok, CAST((SELECT count(*) FROM fold WHERE NOT is_ok) AS BIGINT) AS num_fetch_fail,
+  CAST((SELECT count(*) FROM fold WHERE is_upd) AS BIGINT) AS num_content_update
+""")
+def ingest_metrics_with_links(spark, sf_dir):
+    """AG-4: metrics of a batch of results and links: URLs that either inserted count as new."""
+    f3 = FX.f3_links(spark, sf_dir)
+    _, _, results = IG.upsert_links(FX.f3_old_state(spark, f3), IG.aggregate_links(FX.f3_link_records(spark, sf_dir)), FX.AS_OF)
+    return IG.batch_metrics(_folded(spark, sf_dir), results)[0]
+
+
+@register("ingest_global_reasons", oracle=f"""
+WITH f1 AS ({FX.F1_SQL}) SELECT fail_reason AS reason, count(*) AS n FROM f1 WHERE fail_reason IS NOT NULL GROUP BY 1
+""")
+def ingest_global_reasons(spark, sf_dir):
+    """AG-4: fail reasons of a batch over all domains."""
+    return IG.global_reasons(IG.batch_metrics(_folded(spark, sf_dir))[2])
+
+
+@register("queue_remaining", oracle=f"""
+WITH {_PICKED_EXAMPLE}, qb AS (SELECT DISTINCT domain_id, domain_id % 97 AS m FROM picked),
+pop AS (SELECT domain_id FROM qb WHERE domain_id % 7 <> 0 ORDER BY m, domain_id LIMIT 25)
+SELECT domain_id FROM qb WHERE domain_id NOT IN (SELECT domain_id FROM pop)
+""")
+def queue_remaining(spark, sf_dir):
+    """WT-7: what a limited pop leaves in the queue, batches of domains in flight included."""
+    qb = SL.queue_batches(_picked(spark, sf_dir), FX.AS_OF).withColumn(
+        "generated_at", (F.lit("2024-01-31").cast("timestamp") + F.make_dt_interval(mins=(F.col("domain_id") % 97).cast("int"))).cast("string"))
+    return SL.pop_batches(qb, 25, SL.queued_domains(qb).where("domain_id % 7 = 0"))[1].select("domain_id")
+
+
+@register("select_counters_conflict", oracle=f"""
+WITH {_PICKED_EXAMPLE}, old AS (SELECT url, CAST(o_orderkey % 4 AS INTEGER) AS n, o_orderkey % 3 = 0 AS accounted FROM
+  (SELECT *, CAST(regexp_extract(url, '([0-9]+)$', 1) AS BIGINT) AS o_orderkey FROM st) WHERE o_orderkey % 2 = 0)
+SELECT coalesce(o.url, p.url) AS url, CAST(coalesce(o.n, 0) + CASE WHEN p.url IS NULL THEN 0 ELSE 1 END AS INTEGER) AS num_scheduled,
+  CAST(coalesce(o.n, 0) * 10 AS INTEGER) AS num_fetch_ok, CASE WHEN p.url IS NULL THEN o.accounted ELSE true END AS accounted FROM old o FULL JOIN picked p ON p.url = o.url
+""")
+def select_counters_conflict(spark, sf_dir):
+    """UM-11: counters of a day that some picked URLs have already: scheduled adds one and the
+    row counts as accounted again, the other counters stay."""
+    st, dom, q = _inputs(spark, sf_dir)
+    k = F.regexp_extract("url", "([0-9]+)$", 1).cast("long")
+    old = SC.conform(st.where(k % 2 == 0).select("url", F.to_date(F.lit(FX.AS_OF)).alias("event_date"), (k % 4).alias("num_scheduled"), (k % 4 * 10).alias("num_fetch_ok"),
+                                                 (k % 3 == 0).alias("accounted"), "shard_id"), SC.URL_EVENT_COUNTER, SC.COUNTER_DEFAULTS)
+    delta = SL.apply_selection(st, SL.select_by_domain(st, dom, q, "example", CAP, MAX_DOMAINS, FX.AS_OF), FX.AS_OF).counter_delta
+    return SL.merge_schedule_counters(old, delta).select("url", "num_scheduled", "num_fetch_ok", "accounted")
+
+
+@register("feature_history", oracle=f"""
+WITH f1 AS ({FX.F1_SQL}) SELECT url, domain_id, fetched_at, CAST(seq % 1000 AS INTEGER) AS content_length, content_hash FROM f1 WHERE status = 'ok'
+""")
+def feature_history(spark, sf_dir):
+    """UM-10: every feature record goes to history, repeats of a URL included."""
+    rec = FX.f1_fetches(spark, sf_dir).where("status = 'ok'").withColumn("content_length", (F.col("seq") % 1000).cast("int")).withColumn("num_links", F.lit(0))
+    return GD.upsert_features(SC.empty(spark, SC.CONTENT_FEATURE), rec)[1].select("url", "domain_id", "fetched_at", "content_length", "content_hash")
+
+
+@register("dispatch_results", oracle="""
+WITH k AS (SELECT page_id, CASE WHEN host = '' THEN 'unknown' ELSE coalesce(nullif(regexp_extract(host, '([^.]+\\.[^.]+)$', 1), ''), host) END AS k FROM
+  (SELECT page_id, lower(regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1), ':.*$', '')) AS host FROM pages))
+SELECT CAST(CAST(('0x' || right(md5(k), 2)) AS INTEGER) // 16 AS INTEGER) AS ingestor_id, CAST(1 AS BIGINT) AS n_partitions, count(*) AS n FROM k GROUP BY 1
+""")
+def dispatch_results(spark, sf_dir):
+    """RJ-5: records of one ingestor lie in one partition."""
+    routed = RT.with_shard_columns(table(spark, sf_dir, "pages").select("page_id", "url"), "url", rules=FX.SUFFIX_RULES)
+    return (RT.dispatch(routed).withColumn("p", F.spark_partition_id()).groupBy("ingestor_id")
+            .agg(F.countDistinct("p").alias("n_partitions"), F.count("*").alias("n")))
