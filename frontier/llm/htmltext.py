@@ -243,6 +243,36 @@ HOLDERS = ["<main>", '<div class="content">', '<div id="content">', '<div class=
            '<div class="article-body">', '<div role="main">', '<main><div>', "<article><div>", '<main class="main"><article>', "<div>"]
 
 
+#: Elements and wraps that furniture of any name comes in, and what an article may hold beside paragraphs.
+_BOXES = ["div", "section", "aside", "ul", "ol", "header", "footer"]
+_WRAPS = ["p", "div", "a", "li", "ul", "label"]
+_BODY = ["<ul><li>{}</li></ul>", "<ol><li>{}</li></ol>", "<blockquote><p>{}</p></blockquote>", "<blockquote>{}</blockquote>", "<h2>{}</h2>", "<h3>{}</h3>", "<pre>{}</pre>",
+         "<div>{}</div>", '<div class="row"><p>{}</p></div>', '<p class="lead">{}</p>', "<section><p>{}</p></section>", "<table><tr><td>{}</td></tr></table>",
+         "<figure><figcaption>{}</figcaption></figure>", "<p><em>{}</em></p>", "<p><span>{}</span></p>", "<dl><dd>{}</dd></dl>"]
+
+
+def _named(rng: np.random.Generator) -> tuple[str, str]:
+    """Furniture that says what it is by one of the known names, alone or in a longer one."""
+    names = sorted(OTHER_NAMES)
+    name = names[int(rng.integers(0, len(names)))]
+    form = ["{}", "site-{}", "{}-box", "page-{} x", "c-{}__inner"][int(rng.integers(0, 5))].format(name)
+    return f'<{_BOXES[int(rng.integers(0, len(_BOXES)))]} {"class" if rng.random() < 0.6 else "id"}="{form}">', _WRAPS[int(rng.integers(0, len(_WRAPS)))]
+
+
+def _rebuilt(inner: str, rng: np.random.Generator) -> str:
+    """An article's markup with some paragraphs as other elements, and links in some."""
+    def one(m: re.Match) -> str:
+        roll = rng.random()
+        if roll < 0.25:
+            return _BODY[int(rng.integers(0, len(_BODY)))].format(m[1])
+        if roll < 0.35:
+            words = m[1].split(" ")
+            at = int(rng.integers(0, len(words)))
+            return "<p>" + " ".join([*words[:at], f'<a href="/r">{words[at]}</a>', *words[at + 1:]]) + "</p>"
+        return m[0]
+    return re.sub(r"<p>([^<]+)</p>", one, inner)
+
+
 def _fill(kind: tuple[str, str], words: list[str], rng: np.random.Generator) -> str:
     """A piece of furniture with words of the page: a few short entries, or one to four texts."""
     opening, wrap = kind
@@ -271,9 +301,11 @@ def altered(page: str, rng: np.random.Generator) -> tuple[str, list[bool]] | Non
     inner, words = page[begin.end():end], re.sub(r"<[^>]*>", " ", page[begin.end():end]).split()
     if not words:
         return None
-    pick = lambda n: [FURNITURE[int(k)] for k in rng.integers(0, len(FURNITURE), n)]
+    pick = lambda n: [FURNITURE[int(k)] if k < len(FURNITURE) else _named(rng) for k in rng.integers(0, 2 * len(FURNITURE), n)]
     mark = "x" + "q" * 9  # stands for furniture until the labels are read
     piece = lambda kind: f'<div data-{mark}="">{_fill(kind, words, rng)}</div>'
+    if rng.random() < 0.7:
+        inner = _rebuilt(inner, rng)
     gaps = [m.start() for m in re.finditer(r"<p\b", inner)][1:]
     for at in sorted((int(rng.choice(gaps)) for _ in range(int(rng.integers(0, 3)))) if gaps else [], reverse=True):
         inner = inner[:at] + piece(pick(1)[0]) + inner[at:]
