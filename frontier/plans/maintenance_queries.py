@@ -274,3 +274,17 @@ def feature_upsert(spark, sf_dir):
         F.lit(None).cast("int").alias("num_links"), F.lit(None).cast("int").alias("shard_id"))
     new, _ = GD.upsert_features(cur, rec)
     return new.drop("shard_id")
+
+
+@register("split_counters", oracle=f"""
+WITH {_F12}
+SELECT url, CAST(CAST(first_seen AS DATE) AS VARCHAR) AS event_date, num_scheduled_90d AS num_scheduled,
+  CAST(('0x' || right(md5(lower(regexp_extract(url, '^https?://([^/:]+)', 1))), 2)) AS INTEGER) AS shard_id
+FROM st WHERE lower(regexp_extract(url, '^https?://([^/:]+)', 1)) IN (SELECT host FROM pend)
+""")
+def split_counters(spark, sf_dir):
+    """RK-2: counter rows of moved URLs take the shard of their host."""
+    st, pend = _f12(spark, sf_dir)
+    counters = st.select("url", F.to_date("first_seen").alias("event_date"), F.col("num_scheduled_90d").alias("num_scheduled"), F.lit(300).alias("shard_id"))
+    moved = RK.plan_split(st, RK.pending_hosts(pend)).select("url", F.col("new_shard_id").alias("shard_id"))
+    return RK.follow_counters(counters, moved).select("url", F.col("event_date").cast("string").alias("event_date"), "num_scheduled", "shard_id")
