@@ -1,23 +1,29 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over all terms.
 
 Terms are words and character n-grams (of 4, 6 and 8 characters, word borders included) of
-lower-cased words, so that inflected words meet in their stems. The vocabulary holds the terms
-that tell toxic rows of a bounded labelled sample apart: significantly more often there
-(chi-square), and in toxic rows for a good part of the time; document frequencies are counted over all documents. The sample's rows, as unit TF-IDF
-vectors, are the examples. They are put into blocks of similar rows; every block keeps its
-postings by term and the largest weight of every term. A query visits blocks by falling
-upper bound (query weights times largest weights) and stops when no block can reach its
-``k``-th best example, so the neighbours are exact. Their votes weigh by similarity, with a
-prior, and an isotonic fit on the examples' own leave-one-out votes turns them into
-probabilities. The neighbours are returned as evidence.
-
-Defined results: a text without a vocabulary term (null and empty ones too) gets the toxic
-share of the examples without one; ties between examples go to the smaller id; repeated rows
-get equal scores; without toxic or without other labelled rows every score is that share.
+lower-cased words, so that inflected words meet in their stems; they are known by hashes of 52
+bits. The rows of a bounded labelled sample, as unit TF-IDF vectors of all their terms, are the
+examples; document frequencies of the examples' terms are counted over all documents. A query
+is the vector of all its terms too: one that no example has adds to its norm as a term that no
+other document has. Rare terms keep postings, frequent ones are rows of a matrix; similarities
+by single precision choose candidates, whose similarities are then summed in double precision,
+so the neighbours are exact. They are returned as evidence.
+
+Whole texts tell mostly what a text is about. So a second vote is taken from the terms that
+tell toxic examples apart (significantly more often there, by chi-square, and in toxic rows for
+a good part of the time), by a block-max index over the vectors of these terms alone. Votes
+weigh by similarity, with a prior. A logistic fit on the examples' own leave-one-out votes
+makes one probability of both, and of the first where a text has none of the telling terms.
+
+Defined results: a text that shares no term with an example (null and empty ones too) gets the
+toxic share of the examples without a term, or of all if there are none; ties between examples
+go to the smaller id; repeated rows get equal scores; without toxic or without other labelled
+rows every score is that share.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,16 +38,22 @@ from .grams import Texts
 from .labelled import sample
 from .removal import without_ids
 
-#: Labelled rows in the sample, terms in the vocabulary (both bound what is broadcast).
+#: Labelled rows in the sample (bounds what is broadcast), and telling terms of the second vote.
 MAX_EXAMPLES, MAX_TERMS = 6000, 1024
-#: Least chi-square of a term (beyond what chance gives among millions of terms), and least
-#: share of toxic rows among those that have it.
+#: Least chi-square of a telling term (beyond what chance gives among millions of terms), and
+#: least share of toxic rows among those that have it.
 LEAST_CHI2 = 25.0
 LEAST_SHARE = 0.3
 GRAMS, K_NEAREST, BLOCK_ROWS = (4, 6, 8), 15, 64
 #: Weight of the prior beside the neighbours' similarities.
 PRIOR_WEIGHT = 0.5
-_BITS = 20
+#: Share of the examples from which on a term is a row of the matrix; texts that are multiplied
+#: with it together, groups of like examples by which texts are brought together, and postings
+#: that are summed at once. They change the time, not the results.
+MATRIX_SHARE, TOGETHER, GROUPS, POSTINGS = 0.1, 256, 8, 1 << 16
+#: More than the error of a similarity in single precision.
+_SLACK = 1e-5
+_BITS, _DOC_BITS, _CHUNK = 22, 12, 1 << 14
 
 
 def _terms(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -56,69 +68,131 @@ def _terms(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(doc), np.concatenate(term)
 
 
-def _term_labels(texts: DataFrame) -> DataFrame:
-    """(term, toxic rows, other rows) over the labelled texts ``label, text``."""
+def bags(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, term, count) of at most 4096 texts, in this order; terms are the hashes' high bits."""
+    doc, term = _terms(texts)
+    low = K.U64(64 - _DOC_BITS)
+    key = np.sort((doc.astype(K.U64) << low) | (term >> K.U64(_DOC_BITS)))
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    begin = np.flatnonzero(new)
+    count = np.diff(np.append(begin, len(key)))
+    key = key[begin]
+    return (key >> low).astype(np.int64), key & ((K.U64(1) << low) - K.U64(1)), count
+
+
+def _groups(column: pa.Array):
+    """Consecutive texts of a column as lists, with their first row."""
+    _, offsets = K.text_bytes(column)
+    for lo, hi in K.row_groups(offsets, 4 * K.BLOCK):
+        for at in range(lo, hi, 1 << _DOC_BITS):
+            yield at, column.slice(at, min(hi - at, 1 << _DOC_BITS)).to_pylist()
+
+
+class Terms:
+    """Places of terms in a sorted array."""
+
+    def __init__(self, terms: np.ndarray):
+        self.terms = terms
+        self.first = np.searchsorted(terms, np.arange((1 << _BITS) + 1, dtype=K.U64) << K.U64(64 - _DOC_BITS - _BITS)).astype(np.int32)
+
+    def find(self, terms: np.ndarray) -> np.ndarray:
+        """The place of every term, or -1."""
+        slot = (terms >> K.U64(64 - _DOC_BITS - _BITS)).astype(np.int64)
+        at, end = self.first[slot], self.first[slot + 1]
+        out = np.full(len(terms), -1, np.int64)
+        open_ = np.flatnonzero(at < end)
+        while len(open_):
+            same = self.terms[at[open_]] == terms[open_]
+            out[open_[same]] = at[open_[same]]
+            open_ = open_[~same]
+            at[open_] += 1
+            open_ = open_[at[open_] < end[open_]]
+        return out
+
+
+def _known(rows: DataFrame) -> Terms:
+    """The terms of ``rows`` (id, label, text); tasks make their own distinct."""
     def run(batches):
+        found = [np.zeros(0, K.U64)]
         for batch in batches:
-            _, offsets = K.text_bytes(batch.column(1))
-            labels = batch.column(0).to_numpy()
-            for lo, hi in K.row_groups(offsets, 4 * K.BLOCK):
-                doc, term = _terms(batch.column(1).slice(lo, hi - lo).to_pylist())
-                order = np.lexsort((doc, term))
-                doc, term = doc[order], term[order]
-                new = np.ones(len(doc), bool)
-                new[1:] = (term[1:] != term[:-1]) | (doc[1:] != doc[:-1])
-                doc, term = doc[new], term[new]
-                if not len(term):
-                    continue
-                begin = np.flatnonzero(np.concatenate([[True], term[1:] != term[:-1]]))
-                toxic = np.add.reduceat((labels[lo:hi][doc] == 1).astype(np.int64), begin)
-                total = np.diff(np.append(begin, len(term)))
-                yield pa.RecordBatch.from_arrays([pa.array(term[begin].view(np.int64)), pa.array(toxic), pa.array(total - toxic)],
-                                                 names=["term", "a", "b"])
-
-    K.bounded_batches(texts.sparkSession)
-    return texts.mapInArrow(run, "term bigint, a bigint, b bigint").groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-
-
-def vocabulary(texts: DataFrame, n_toxic: int, n_other: int, max_terms: int = MAX_TERMS) -> np.ndarray:
-    """Sorted hashes of the terms with the largest chi-square, among those of toxic rows."""
-    a, b, n = F.col("a").cast("double"), F.col("b").cast("double"), float(n_toxic + n_other)
-    det = a * (n_other - b) - b * (n_toxic - a)
-    chi2 = det * det * n / (n_toxic * n_other * (a + b) * F.greatest(n - a - b, F.lit(0.5)))
-    best = (_term_labels(texts).where((a * n_other > b * n_toxic) & (a >= LEAST_SHARE * (a + b))).select("term", chi2.alias("chi2")).where(F.col("chi2") >= LEAST_CHI2)
-            .orderBy(F.desc("chi2"), "term").limit(max_terms).collect())
-    return np.sort(np.array([r.term for r in best], np.int64).view(K.U64))
+            for _, texts in _groups(batch.column(0)):
+                found.append(np.unique(bags(texts)[1]))
+        yield pa.RecordBatch.from_arrays([pa.array([np.unique(np.concatenate(found)).tobytes()], pa.binary())], names=["terms"])
+
+    K.bounded_batches(rows.sparkSession)
+    parts = rows.select("text").mapInArrow(run, "terms binary").collect()
+    return Terms(np.unique(np.concatenate([np.zeros(0, K.U64), *(np.frombuffer(bytes(r.terms), K.U64) for r in parts)])))
 
 
-def sparse(docs: DataFrame, terms: np.ndarray, id_col: str, text_col: str) -> DataFrame:
-    """``id_col``, ``terms`` and ``counts``: the vocabulary terms of every row, over whole texts."""
-    bitmap = np.zeros(1 << _BITS, bool)
-    bitmap[(terms >> K.U64(64 - _BITS)).astype(np.int64)] = True
-    shared = docs.sparkSession.sparkContext.broadcast((terms, bitmap))
-    kind = docs.schema[id_col].dataType.simpleString()
+def _examples(rows: DataFrame, terms: Terms) -> list[tuple[object, int, np.ndarray, bytes]]:
+    """id, label, places of terms and packed counts of ``rows``, over whole texts."""
+    shared = rows.sparkSession.sparkContext.broadcast(terms)
+    kind = rows.schema["id"].dataType.simpleString()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        terms, bitmap = shared.value
-        _, offsets = K.text_bytes(batch.column(1))
-        cuts, ids, counts, base = [np.zeros(1, np.int64)], [], [], 0
-        for lo, hi in K.row_groups(offsets):
-            doc, term = _terms(batch.column(1).slice(lo, hi - lo).to_pylist())
-            maybe = np.flatnonzero(bitmap[(term >> K.U64(64 - _BITS)).astype(np.int64)]) if len(terms) else np.zeros(0, np.int64)
-            doc, term = doc[maybe], term[maybe]
-            at = np.minimum(np.searchsorted(terms, term), max(0, len(terms) - 1))
-            real = terms[at] == term if len(terms) else np.zeros(0, bool)
-            key, count = np.unique(doc[real] * (len(terms) + 1) + at[real], return_counts=True)
-            ids.append(key % (len(terms) + 1))
-            counts.append(count)
-            cuts.append(base + np.searchsorted(key, np.arange(1, hi - lo + 1) * (len(terms) + 1)))
-            base += len(key)
-        cut = pa.array(np.concatenate(cuts).astype(np.int32))
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.ListArray.from_arrays(cut, pa.array(np.concatenate(ids).astype(np.int32))),
-             pa.ListArray.from_arrays(cut, pa.array(np.concatenate(counts).astype(np.int32)))], names=[id_col, "terms", "counts"])
+        at, counts = [], []
+        for _, texts in _groups(batch.column(2)):
+            doc, term, count = bags(texts)
+            place, cut = shared.value.find(term).astype(np.int32), np.searchsorted(doc, np.arange(len(texts) + 1))
+            at += [place[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)]
+            counts += [zlib.compress(count[a:b].astype(np.int32).tobytes()) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(at, pa.binary()), pa.array(counts, pa.binary())],
+                                          names=["id", "label", "terms", "counts"])
+
+    found = K.text_map(rows, run, f"id {kind}, label int, terms binary, counts binary").toLocalIterator()
+    return [(x, y, np.frombuffer(at, np.int32), c) for x, y, at, c in sorted((r.id, r.label, bytes(r.terms), bytes(r.counts)) for r in found)]
+
+
+def _unpacked(counts: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(counts), np.int32)
+
+
+def telling(total: np.ndarray, toxic: np.ndarray, n_toxic: int, n_other: int, max_terms: int = MAX_TERMS) -> np.ndarray:
+    """Sorted places of the terms with the largest chi-square, among those of toxic rows, from
+    the number of examples and of toxic examples that have each term."""
+    a, b, n = toxic.astype(float), (total - toxic).astype(float), float(n_toxic + n_other)
+    if not n_toxic or not n_other:
+        return np.zeros(0, np.int64)
+    det = a * (n_other - b) - b * (n_toxic - a)
+    chi2 = det * det * n / (n_toxic * n_other * np.maximum(a + b, 0.5) * np.maximum(n - a - b, 0.5))
+    good = np.flatnonzero((a * n_other > b * n_toxic) & (a >= LEAST_SHARE * (a + b)) & (chi2 >= LEAST_CHI2))
+    return np.sort(good[np.argsort(-chi2[good], kind="stable")[:max_terms]])
+
+
+def frequencies(docs: DataFrame, terms: Terms) -> tuple[np.ndarray, int]:
+    """The number of documents with each term, and of all documents."""
+    shared, n = docs.sparkSession.sparkContext.broadcast(terms), len(terms.terms)
+
+    def count(batches):
+        found = np.zeros(n + 1, np.int64)
+        for batch in batches:
+            at = [np.zeros(0, np.int64)]
+            for _, texts in _groups(batch.column(0)):
+                place = shared.value.find(bags(texts)[1])
+                at.append(place[place >= 0])
+            found += np.bincount(np.concatenate(at), minlength=n + 1)
+            found[n] += batch.num_rows
+        if found[n]:
+            starts = range(0, n + 1, _CHUNK)
+            yield pa.RecordBatch.from_arrays([pa.array(starts, pa.int32()), pa.array([found[a:a + _CHUNK].astype(np.int32).tobytes() for a in starts], pa.binary())],
+                                             names=["start", "n"])
+
+    def add(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for start, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                sums[start] = sums.get(start, 0) + np.frombuffer(part, np.int32).astype(np.int64)
+        if sums:
+            yield pa.RecordBatch.from_arrays([pa.array(sums.keys(), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], names=["start", "n"])
 
-    return K.text_map(docs.select(id_col, text_col), run, f"{id_col} {kind}, terms array<int>, counts array<int>")
+    K.bounded_batches(docs.sparkSession)
+    parts = docs.select("text").mapInArrow(count, "start int, n binary").repartition("start").mapInArrow(add, "start int, n binary")
+    out = np.zeros(n + 1, np.int64)
+    for r in parts.collect():
+        part = np.frombuffer(bytes(r.n), np.int64)
+        out[r.start:r.start + len(part)] = part
+    return out[:n], int(out[n])
 
 
 @dataclass
@@ -139,17 +213,17 @@ class Index:
         """``rows``: id, label, terms, counts."""
         self.idf = idf
         filled = [r for r in rows if len(r[2])]
-        empty = [r for r in rows if not len(r[2])]
-        self.empty_share = (sum(r[1] for r in empty) + 0.5) / (len(empty) + 1.0) if empty or not filled else (sum(r[1] for r in filled) + 0.5) / (len(filled) + 1.0)
+        places = [i for i, r in enumerate(rows) if len(r[2])]
         vectors = [self.unit(r[2], r[3]) for r in filled]
         # similar rows share a block: by their heaviest term, then the next
         order = sorted(range(len(filled)), key=lambda i: (*filled[i][2][np.argsort(-vectors[i], kind="stable")][:2].tolist(), filled[i][0]))
+        self.places = [places[i] for i in order]
         self.ids = [filled[i][0] for i in order]
         self.labels = np.array([filled[i][1] for i in order], float)
         self.vectors = [(filled[i][2], vectors[i]) for i in order]
         rank = {x: k for k, x in enumerate(sorted(set(self.ids)))}
         self.rank = np.array([rank[x] for x in self.ids], np.int64)
-        self.prior = float(self.labels.mean()) if len(order) else self.empty_share
+        self.prior = float(self.labels.mean()) if len(order) else 0.5
         self.blocks: list[Block] = []
         for at in range(0, len(order), BLOCK_ROWS):
             part = self.vectors[at:at + BLOCK_ROWS]
@@ -160,7 +234,6 @@ class Index:
         self.most = np.zeros((len(idf), len(self.blocks)))
         for k, b in enumerate(self.blocks):
             np.maximum.at(self.most[:, k], b.terms, b.weights)
-        self.x, self.y = self._calibrate()
 
     def unit(self, terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
         w = (1 + np.log(counts)) * self.idf[terms]
@@ -187,76 +260,212 @@ class Index:
     def vote(self, places: np.ndarray, sims: np.ndarray) -> float:
         return float((sims @ self.labels[places] + PRIOR_WEIGHT * self.prior) / (sims.sum() + PRIOR_WEIGHT))
 
-    def _calibrate(self) -> tuple[np.ndarray, np.ndarray]:
-        """Isotonic fit (pool adjacent violators) of labels on leave-one-out votes."""
-        if len(self.labels) < 20 or self.labels.min() == self.labels.max():
-            return np.array([0.0, 1.0]), np.array([0.0, 1.0])
-        votes = np.array([self.vote(*self.nearest(t, w, skip=i)) for i, (t, w) in enumerate(self.vectors)])
-        order = np.argsort(votes, kind="stable")
-        pools: list[list[float]] = []  # sum, count, first and last vote
-        for v, y in zip(votes[order], self.labels[order], strict=True):
-            pools.append([y, 1.0, v, v])
-            while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
-                y, n, _, v = pools.pop()
-                pools[-1] = [pools[-1][0] + y, pools[-1][1] + n, pools[-1][2], v]
-        value = [(p[0] + 0.5 * self.prior) / (p[1] + 0.5) for p in pools]
-        return np.array([v for p in pools for v in p[2:]]), np.repeat(value, 2)
-
-    def score(self, terms: np.ndarray, counts: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        if not len(terms) or not self.blocks:
-            return self.empty_share, np.zeros(0, np.int64), np.zeros(0)
-        places, sims = self.nearest(terms, self.unit(terms, counts))
-        vote = self.vote(places, sims)
-        # a small share of the vote itself keeps the order inside a pool
-        return float(np.clip(0.98 * np.interp(vote, self.x, self.y) + 0.02 * vote, 0, 1)), places, sims
+
+def _logit(p: np.ndarray | float) -> np.ndarray:
+    p = np.clip(p, 1e-4, 1 - 1e-4)
+    return np.log(p / (1 - p))
+
+
+class Examples:
+    """The examples by all their terms, beside their :class:`Index` by the telling ones."""
+
+    def __init__(self, rows: list[tuple[object, int, np.ndarray, bytes]], terms: Terms, df: np.ndarray, total: int):
+        self.terms = terms
+        self.idf = np.log((1 + total) / (1 + df)) + 1
+        self.new_idf = float(np.log((1 + total) / 2) + 1)
+        empty = [r[1] for r in rows if not len(r[2])]
+        rows = [r for r in rows if len(r[2])]
+        every = empty or [r[1] for r in rows]
+        self.empty_share = (sum(every) + 0.5) / (len(every) + 1.0)
+        self.ids, self.labels = [r[0] for r in rows], np.array([r[1] for r in rows], float)
+        n = len(rows)
+        rank = {x: k for k, x in enumerate(sorted(set(self.ids)))}
+        self.rank = np.array([rank[x] for x in self.ids], np.int64)
+        self.prior = float(self.labels.mean()) if n else self.empty_share
+        have, toxic = np.zeros(len(self.idf), np.int64), np.zeros(len(self.idf), np.int64)
+        for _, y, at, _ in rows:
+            have[at] += 1
+            toxic[at] += y == 1
+        n_toxic = int((self.labels == 1).sum())
+        told = telling(have, toxic, n_toxic, n - n_toxic)
+        self.told = np.full(len(self.idf), -1, np.int32)
+        self.told[told] = np.arange(len(told))
+        self.index = Index([(x, y, *self._told(at, _unpacked(c))) for x, y, at, c in rows], self.idf[told])
+        frequent = np.flatnonzero(have > max(8, MATRIX_SHARE * n))
+        self.line = np.full(len(self.idf), -1, np.int32)
+        self.line[frequent] = np.arange(len(frequent))
+        self.first = np.concatenate([[0], np.cumsum(np.where(self.line < 0, have, 0))])
+        self.matrix = np.zeros((len(frequent), n), np.float32)
+        self.rows, self.weights = np.zeros(self.first[-1], np.int32), np.zeros(self.first[-1], np.float32)
+        free = self.first[:-1].copy()
+        for i, (_, _, at, c) in enumerate(rows):
+            w, line = self._weights(np.zeros(len(at), np.int64), at, _unpacked(c), 1), self.line[at]
+            self.matrix[line[line >= 0], i] = w[line >= 0]
+            place = free[at[line < 0]]
+            self.rows[place], self.weights[place] = i, w[line < 0]
+            free[at[line < 0]] += 1
+        self.centres = self._centres()
+        self.fit = self._fit(rows) if n >= 20 and 0 < n_toxic < n else None
+
+    def _weights(self, doc: np.ndarray, at: np.ndarray, counts: np.ndarray, n: int) -> np.ndarray:
+        """Weights of the unit vectors of texts; ``at`` is -1 for a term that no example has."""
+        w = (1 + np.log(counts)) * np.where(at >= 0, self.idf[at], self.new_idf) if len(self.idf) else (1 + np.log(counts)) * self.new_idf
+        return w / np.sqrt(np.bincount(doc, w * w, n))[doc]
+
+    def _told(self, at: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        told = self.told[at]
+        return told[told >= 0].astype(np.int64), counts[told >= 0].astype(float)
+
+    def _centres(self) -> np.ndarray:
+        """Mean vectors of groups of like examples, by the terms of the matrix."""
+        if not self.matrix.size:
+            return np.zeros((len(self.matrix), 1), np.float32)
+        centre = self.matrix.mean(axis=1, keepdims=True)
+        picks = [int(np.argmin(centre[:, 0] @ self.matrix))]
+        near = np.zeros(self.matrix.shape[1], np.float32)
+        for _ in range(GROUPS - 1):
+            near = np.maximum(near, self.matrix[:, picks[-1]] @ self.matrix)
+            picks.append(int(np.argmin(near)))
+        centres = self.matrix[:, picks]
+        for _ in range(4):
+            mine = np.argmax(centres.T @ self.matrix, axis=0)
+            centres = np.stack([self.matrix[:, mine == g].mean(axis=1) if (mine == g).any() else centres[:, g] for g in range(GROUPS)], axis=1)
+            centres /= np.maximum(np.sqrt((centres**2).sum(axis=0)), 1e-12)
+        return centres
+
+    def _rare(self, at: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Similarities with all examples by the terms outside the matrix."""
+        out = np.zeros(len(self.ids))
+        size = self.first[at + 1] - self.first[at]
+        ends = np.cumsum(size)
+        lo = 0
+        while lo < len(at):
+            before = int(ends[lo - 1]) if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, before + POSTINGS, "right")))
+            k = size[lo:hi]
+            place = np.repeat(self.first[at[lo:hi]] - (ends[lo:hi] - k), k) + np.arange(before, int(ends[hi - 1]))
+            out += np.bincount(self.rows[place], np.repeat(q[lo:hi], k) * self.weights[place], len(out))
+            lo = hi
+        return out
+
+    def nearest(self, cut: np.ndarray, at: np.ndarray, q: np.ndarray, skip: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Places and similarities of the most similar examples with a shared term, for texts
+        with the terms ``at`` and weights ``q`` between their ``cut`` places; ``skip`` names an
+        example that each text leaves out."""
+        n, out = len(cut) - 1, [(np.zeros(0, np.int64), np.zeros(0))] * (len(cut) - 1)
+        if not self.ids:
+            return out
+        line = self.line[at]
+        doc = np.repeat(np.arange(n), np.diff(cut))
+        frequent = np.flatnonzero(line >= 0)
+        like = np.zeros((n, self.centres.shape[1]))
+        for g in range(like.shape[1]):
+            like[:, g] = np.bincount(doc[frequent], q[frequent] * self.centres[line[frequent], g], n)
+        group = np.argmax(like, axis=1)
+        for part in (p[lo:lo + TOGETHER] for p in (np.flatnonzero(group == g) for g in range(like.shape[1])) for lo in range(0, len(p), TOGETHER)):
+            place = np.full(n, -1)
+            place[part] = np.arange(len(part))
+            mine = frequent[place[doc[frequent]] >= 0]
+            lines, col = np.unique(line[mine], return_inverse=True)
+            dense = np.zeros((len(part), len(lines)), np.float32)
+            dense[place[doc[mine]], col] = q[mine]
+            about = np.concatenate([dense @ self.matrix[lines, a:a + 1024] for a in range(0, len(self.ids), 1024)], axis=1)
+            for j, d in enumerate(part):
+                a, l, w = at[cut[d]:cut[d + 1]], line[cut[d]:cut[d + 1]], q[cut[d]:cut[d + 1]]
+                rare = self._rare(a[l < 0], w[l < 0])
+                s = rare + about[j]
+                if skip is not None:
+                    s[skip[d]] = -1
+                least = np.partition(s, len(s) - K_NEAREST)[len(s) - K_NEAREST] if len(s) > K_NEAREST else 0.0
+                here = np.flatnonzero(s >= max(least - _SLACK, -_SLACK))
+                used, v = l[l >= 0], w[l >= 0]
+                sims = rare[here] + (v[:, None] * self.matrix[used[:, None], here]).sum(axis=0)
+                here, sims = here[sims > 0], sims[sims > 0]
+                best = np.lexsort((self.rank[here], -np.round(sims, 12)))[:K_NEAREST]
+                out[d] = here[best], sims[best]
+        return out
+
+    def vote(self, places: np.ndarray, sims: np.ndarray) -> float:
+        return float((sims @ self.labels[places] + PRIOR_WEIGHT * self.prior) / (sims.sum() + PRIOR_WEIGHT))
+
+    def _fit(self, rows: list[tuple[object, int, np.ndarray, bytes]]) -> np.ndarray:
+        """Logistic fit of labels on leave-one-out votes."""
+        n, own = len(rows), []
+        for lo in range(0, n, TOGETHER):
+            part = rows[lo:lo + TOGETHER]
+            cut = np.cumsum([0, *(len(r[2]) for r in part)])
+            at = np.concatenate([r[2] for r in part])
+            q = self._weights(np.repeat(np.arange(len(part)), np.diff(cut)), at, np.concatenate([_unpacked(r[3]) for r in part]), len(part))
+            own += [self.vote(*x) for x in self.nearest(cut, at, q, np.arange(lo, lo + len(part)))]
+        ix = self.index
+        told = {}
+        for i, (t, w) in enumerate(ix.vectors):
+            told[ix.places[i]] = ix.vote(*ix.nearest(t, w, skip=i))
+        x = np.array([self._features(own[i], told.get(i)) for i in range(n)])
+        fit = np.zeros(x.shape[1])
+        for _ in range(30):
+            p = 1 / (1 + np.exp(-np.clip(x @ fit, -30, 30)))
+            ridge = 0.1 * np.array([0.0, 1, 1, 1, 1])
+            hessian = (x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge + 1e-6)
+            fit += np.clip(np.linalg.solve(hessian, x.T @ (self.labels - p) - ridge * fit), -2, 2)
+        return fit
+
+    def _features(self, own: float, told: float | None) -> list[float]:
+        """One set of numbers where telling terms vote, and one where none is there."""
+        x = float(_logit(own) - _logit(self.prior))
+        return [1.0, 0.0, 0.0, 1.0, x] if told is None else [1.0, x, float(_logit(told)), 0.0, 0.0]
+
+    def score(self, texts: list[str | None]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """Score, and places and similarities of the neighbours, of every text."""
+        doc, term, counts = bags(texts)
+        at = self.terms.find(term)
+        q = self._weights(doc, at, counts, len(texts))
+        known = np.flatnonzero(at >= 0)
+        doc, at, counts, q = doc[known], at[known], counts[known], q[known]
+        cut = np.searchsorted(doc, np.arange(len(texts) + 1))
+        out = []
+        for d, (places, sims) in enumerate(self.nearest(cut, at, q)):
+            if not len(places):
+                out.append((self.empty_share, places, sims))
+                continue
+            own = self.vote(places, sims)
+            if self.fit is None:
+                out.append((self.empty_share if self.prior in (0.0, 1.0) else own, places, sims))
+                continue
+            t, c = self._told(at[cut[d]:cut[d + 1]], counts[cut[d]:cut[d + 1]])
+            told = self.index.vote(*self.index.nearest(t, self.index.unit(t, c))) if len(t) else None
+            out.append((float(1 / (1 + np.exp(-np.clip(np.dot(self._features(own, told), self.fit), -30, 30)))), places, sims))
+        return out
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           where: Column | None = None, max_examples: int = MAX_EXAMPLES) -> DataFrame:
     """``id_col``, ``score`` (0 to 1) and ``evidence`` (nearest examples: id, similarity, label)
     of every row of ``docs``; examples come from the labelled rows for which ``where`` holds."""
-    own_id = id_col
     docs = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    id_col, text_col = "doc", "text"
-    chosen = cut_lineage(sample(labels, own_id, label_col, max_examples, where))
-    counts = chosen.agg(F.sum("label").alias("t"), F.count("*").alias("n")).first()
-    toxic, n = int(counts.t or 0), int(counts.n)
-    picked = F.broadcast(chosen)
-    if 0 < toxic < n:
-        parts = 1 + n // 500
-        terms = vocabulary(docs.join(picked, F.col(id_col) == F.col("id")).select("label", text_col).repartition(parts), toxic, n - toxic)
-    else:
-        terms = np.zeros(0, K.U64)
-    vectors = cut_lineage(sparse(docs, terms, id_col, text_col))
-    total = vectors.count()
-    found = vectors.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect()
-    df = np.zeros(len(terms))
-    for r in found:
-        df[r.t] = r.n
-    idf = np.log((1 + total) / (1 + df)) + 1
-    rows = vectors.join(picked, F.col(id_col) == F.col("id")).select("id", "label", "terms", "counts").collect()
-    rows = sorted(((r.id, r.label, np.array(r.terms, np.int64), np.array(r.counts, float)) for r in rows), key=lambda r: (r[0], r[2].tolist()))
-    index = docs.sparkSession.sparkContext.broadcast(Index(rows, idf))
-    kind = docs.schema[id_col].dataType.simpleString()
+    chosen = cut_lineage(sample(labels, id_col, label_col, max_examples, where))
+    picked = docs.join(F.broadcast(chosen), F.col("doc") == F.col("id")).select("id", "label", "text")
+    rows = cut_lineage(picked.repartition(1 + chosen.count() // 500))
+    terms = _known(rows)
+    df, total = frequencies(docs, terms)
+    examples = docs.sparkSession.sparkContext.broadcast(Examples(_examples(rows, terms), terms, df, total))
+    kind = docs.schema["doc"].dataType.simpleString()
     id_type = pa.int64() if kind in ("bigint", "int") else pa.string()
 
-    def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            ix = index.value
-            scores, evidence = [], []
-            for t, c in zip(batch.column(1), batch.column(2), strict=True):
-                s, places, sims = ix.score(t.values.to_numpy().astype(np.int64), c.values.to_numpy().astype(float))
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        ex = examples.value
+        scores, evidence = [], []
+        for _, texts in _groups(batch.column(1)):
+            for s, places, sims in ex.score(texts):
                 scores.append(s)
-                evidence.append([{"id": ix.ids[p], "similarity": float(x), "label": int(ix.labels[p])} for p, x in zip(places, sims, strict=True)])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(scores, pa.float64()),
-                 pa.array(evidence, pa.list_(pa.struct([("id", id_type), ("similarity", pa.float64()), ("label", pa.int32())])))],
-                names=[own_id, "score", "evidence"])
+                evidence.append([{"id": ex.ids[p], "similarity": float(x), "label": int(ex.labels[p])} for p, x in zip(places, sims, strict=True)])
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(scores, pa.float64()),
+             pa.array(evidence, pa.list_(pa.struct([("id", id_type), ("similarity", pa.float64()), ("label", pa.int32())])))],
+            names=[id_col, "score", "evidence"])
 
     id_sql = "bigint" if id_type == pa.int64() else "string"
-    return vectors.mapInArrow(run, f"{own_id} {kind}, score double, evidence array<struct<id:{id_sql},similarity:double,label:int>>")
+    return K.text_map(docs, run, f"{id_col} {kind}, score double, evidence array<struct<id:{id_sql},similarity:double,label:int>>")
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text",

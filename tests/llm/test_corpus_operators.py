@@ -231,6 +231,35 @@ def test_toxicity_on_held_out_rows(spark):
     assert auc > 0.96 and right > 0.97
 
 
+def test_toxicity_neighbours_are_by_all_terms(spark):
+    """Labelled rows with no word that tells toxic ones apart: neighbours come from whole texts."""
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcdefghijklmnop"), 7)) for _ in range(900)]
+    texts = {k: " ".join(["the plain", *rng.choice(words, 12), f"only{k}"]) for k in range(300)}
+    parts = {1000 + k: " ".join(texts[k].split()[1:9]) + " unheard" for k in range(0, 40)}
+    frame = docs(spark, [*texts.items(), *parts.items()])
+    labels = spark.createDataFrame([(k, int(k % 5 == 0)) for k in texts], "doc_id long, toxic int")
+    found = {r.doc_id: r for r in toxicity.score(frame, labels).collect()}
+    bag = {}
+    for k, t in {**texts, **parts}.items():
+        _, term, count = toxicity.bags([t])
+        bag[k] = dict(zip(term.tolist(), count.tolist(), strict=True))
+    df = Counter(t for b in bag.values() for t in b)
+    known = {t for k in texts for t in bag[k]}
+    unit = {}
+    for k, b in bag.items():
+        w = {t: (1 + np.log(c)) * (np.log((1 + len(bag)) / (1 + (df[t] if t in known else 1))) + 1) for t, c in b.items()}
+        norm = np.sqrt(sum(x * x for x in w.values()))
+        unit[k] = {t: x / norm for t, x in w.items()}
+    for k in parts:
+        sims = {e: sum(x * unit[e].get(t, 0) for t, x in unit[k].items()) for e in texts}
+        want = sorted((e for e in sims if sims[e] > 0), key=lambda e: (-round(sims[e], 6), e))[:toxicity.K_NEAREST]
+        assert found[k].evidence[0].id == k - 1000
+        assert np.allclose([e.similarity for e in found[k].evidence], [sims[e] for e in want], atol=1e-5)
+        assert [e.label for e in found[k].evidence] == [int(e.id % 5 == 0) for e in found[k].evidence]
+    assert min(found[k].score for k in parts if k % 5 == 0) > max(found[k].score for k in parts if k % 5)
+
+
 def test_quality_on_held_out_rows(spark):
     d = "/root/testdata/sf0.1"
     auc, right = accuracy(QUERIES["op5_quality"](spark, d), spark.read.parquet(f"{d}/labels.parquet"), "quality")
