@@ -1,8 +1,8 @@
 """Main text of pages by a recurrent block labeller.
 
 A page is its sequence of leaf blocks (:mod:`.blocks`). Every block is a bag of hashed
-tokens: its path of tags with class, id and role words, its words, and the sizes that tell
-text from menus. A bidirectional LSTM in numpy reads the whole sequence in both directions
+tokens: its path of tags with class, id and role words, all its words (distinct ones, averaged),
+and the sizes that tell text from menus. A bidirectional LSTM in numpy reads the whole sequence in both directions
 and gives every block the probability of being main text, so a block is judged with the
 context of the document.
 
@@ -11,7 +11,8 @@ themselves with weak labels: blocks below an element that names itself the artic
 text, blocks below elements that name themselves menus, notices, forms, comments and so on
 aren't. Every sampled page is also learned in altered forms: with furniture of many kinds
 put in at several places, and with the name of the article's element changed or taken away,
-so that the labeller doesn't lean on one kind of page.
+so that the labeller doesn't lean on one kind of page; and with no names at all, so that words
+tell what names don't.
 
 Defined results: null and empty pages, and pages without text, have the empty text; blocks
 are never cut or capped; repeated rows give equal rows; with no page to learn from, the weak
@@ -22,6 +23,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .blocks import Block, read
+from .blocks import Block, Element, read
 from .labelled import smallest
 
 #: Pages that are learned from, their altered forms, and the longest such page (bytes).
@@ -79,6 +81,18 @@ def _path_token(text: str) -> int:
     return k
 
 
+_words: dict[str, int] = {}
+
+
+def _word_token(word: str) -> int:
+    k = _words.get(word)
+    if k is None:
+        k = PATH_DIM + _bucket(word, WORD_DIM)
+        if len(_words) < 1 << 16:
+            _words[word] = k
+    return k
+
+
 def features(blocks: list[Block]) -> list[tuple[list[int], list[float]]]:
     """Per block the token numbers and their weights."""
     out = []
@@ -94,7 +108,8 @@ def features(blocks: list[Block]) -> list[tuple[list[int], list[float]]]:
                     path_ids.append(_path_token(f"{depth} {e.name}"))
             before = b.path
         words = b.text.split()
-        word_ids = [PATH_DIM + _bucket(w.lower(), WORD_DIM) for w in dict.fromkeys(words[:3] + words[-3:])]
+        word_ids = [_word_token(w) for w in {w.lower(): 0 for w in words}]
+        told = Counter(word_ids)
         n = len(words)
         sizes = [
             PATH_DIM + WORD_DIM + min(11, int(2 * np.log2(n + 1))),
@@ -102,8 +117,8 @@ def features(blocks: list[Block]) -> list[tuple[list[int], list[float]]]:
             PATH_DIM + WORD_DIM + 24 + (b.text[-1:] in ".!?:;\"'"),
             PATH_DIM + WORD_DIM + 28 + min(7, sum(map(b.text.count, ",.;")) * 8 // max(1, n)),
         ]
-        ids = path_ids + word_ids + sizes
-        weights = [1.0] * len(path_ids) + [1 / max(1, len(word_ids))] * len(word_ids) + [0.5] * len(sizes)
+        ids = path_ids + list(told) + sizes
+        weights = [1.0] * len(path_ids) + [k / len(word_ids) for k in told.values()] + [0.5] * len(sizes)
         out.append((ids, weights))
     return out
 
@@ -330,13 +345,20 @@ def _without_marks(blocks: list[Block]) -> list[Block]:
     return blocks
 
 
+def _neutral(blocks: list[Block]) -> list[Block]:
+    """The blocks with paths that name nothing."""
+    telling = OTHER_TAGS | {"article", "main"}
+    return [Block(b.text, tuple(Element("div" if e.name in telling else e.name) for e in b.path), b.link_chars) for b in blocks]
+
+
 def train(pages: list[str]) -> Model | None:
     rng = np.random.default_rng(SEED)
     rows: list[tuple[list[tuple[list[int], list[float]]], list[bool]]] = []
     for page in pages:
         blocks = read(page)
         if blocks:
-            rows.append((features(blocks), [weak_label(b) for b in blocks]))
+            labels = [weak_label(b) for b in blocks]
+            rows += [(features(blocks), labels), (features(_neutral(blocks)), labels)]
         for _ in range(FORMS):
             changed = altered(page, rng)
             if changed is not None:
@@ -357,12 +379,12 @@ def train(pages: list[str]) -> Model | None:
                 words_off = rng.random() < 0.5  # words may not decide alone
                 bags.append([_dropped(ids, ws, words_off, rng) for ids, ws in rows[i][0]])
             batch = Pages(bags)
-            labels = np.zeros((batch.steps, batch.n))
+            wanted = np.zeros((batch.steps, batch.n))
             for j, i in enumerate(batches[k]):
-                labels[:len(rows[i][1]), j] = rows[i][1]
+                wanted[:len(rows[i][1]), j] = rows[i][1]
             step += 1
             rate = STEP_SIZE * (1 - step / (total + 1))
-            for p, g, m, v in zip(params, _gradients(model, batch, labels), first, second, strict=True):
+            for p, g, m, v in zip(params, _gradients(model, batch, wanted), first, second, strict=True):
                 m += 0.1 * (g - m)
                 v += 0.001 * (g * g - v)
                 p -= rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)

@@ -250,6 +250,29 @@ def test_main_text_of_held_out_pages(spark, labeller):
     assert sum(got[k] == want[k] for k in want) >= 0.99 * len(want)
 
 
+def test_main_text_by_words_inside_blocks():
+    """Held-out pages of plain elements: only words in the middle of a block tell what it is."""
+    rng = np.random.default_rng(8)
+    some = lambda kind, n: " ".join(f"{kind}{k}" for k in rng.integers(0, 25, n))
+    block = lambda kind: f"{some('any', 4)} {some(kind, 8)} {some('any', 4)}."
+
+    def page(named):
+        main = ("<article>", "</article>", '<div class="cookie-notice">', "</div>") if named else ("<div>", "</div>") * 2
+        parts, want = [], []
+        for _ in range(int(rng.integers(4, 9))):
+            story = bool(rng.random() < 0.5)
+            text = block("story" if story else "cookie")
+            parts.append(f"{main[0]}<p>{text}</p>{main[1]}" if story else f"{main[2]}<p>{text}</p>{main[3]}")
+            want.append(story)
+        return "<html><body>" + "".join(parts) + "</body></html>", want
+
+    model = htmltext.train([page(True)[0] for _ in range(120)])
+    held = [page(False) for _ in range(60)]
+    got = htmltext.label(model, [blocks.read(h) for h, _ in held])
+    right = [g == w for p, (_, want) in zip(got, held, strict=True) for g, w in zip(p.tolist(), want, strict=True)]
+    assert np.mean(right) > 0.95
+
+
 def test_main_text_of_altered_pages(spark, labeller):
     rng = np.random.default_rng(77)
     wrong = total = 0
