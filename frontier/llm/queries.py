@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, htmltext, linededup, minhash, quality, rules, sharding, toxicity, warc
+from . import bpe, decontaminate, htmltext, linededup, minhash, ngrams, quality, rules, sharding, toxicity, trie, warc, whitening
 from .labelled import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,22 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metadata and conversion records of every page, taken as a crawler's response records."""
     return warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+
+
+@register("op11_prefix_trie", trie.SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations, with leaves and savings of their subtrees."""
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@register("op12_lm_scores")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document; rows with crc32(doc_id) mod 5 = 1 are never learned from."""
+    found = ngrams.score(table(spark, sf_dir, "documents"), learn=~held_out("doc_id", 5, 1))
+    return found.select("doc_id", held_out("doc_id", 5, 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@register("op13_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened coordinates of every embedding on the 32 leading components."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
