@@ -34,7 +34,7 @@ from frontier.session import cut_lineage
 from . import kernels as K
 
 #: Order of the model, tokens of a block, and n-grams that a range of hashes may hold.
-ORDER, BLOCK_TOKENS, RANGE_KEYS = 2, 1 << 20, 1 << 21
+ORDER, BLOCK_TOKENS, RANGE_KEYS = 2, 1 << 19, 1 << 20
 #: One in so many training texts is deleted from the counts, to learn the weights from.
 DELETED_SHARE = 10
 #: EM steps, and events that a bucket gets from the weights of all buckets.
