@@ -30,3 +30,11 @@ def sample(labels: DataFrame, id_col: str, label_col: str, bound: int, where=Non
     if where is not None:
         rows = rows.where(where)
     return smallest(rows.groupBy("id").agg(F.max("label").alias("label")), "id", bound)
+
+
+def one_text(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(id, label, text) of the sampled rows ``chosen`` (id, label), one for each id that is in
+    ``docs`` (id, text): of several texts, that with the smallest hash. A sampled id may hold any
+    share of ``docs``; its rows are reduced in every task before they meet."""
+    texts = docs.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("t"))
+    return texts.select("id", "label", "t.text")

@@ -199,23 +199,32 @@ def test_sample_is_bounded_and_deterministic(spark):
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 3 == 1) for r in ids)
 
 
-def test_nearest_examples_are_exact():
-    rng = np.random.default_rng(9)
-    rows = []
-    for k in range(700):
-        terms = np.sort(rng.choice(40, rng.integers(0, 6), replace=False))
-        rows.append((k, int(rng.random() < 0.3), terms, rng.integers(1, 4, len(terms)).astype(float)))
-    index = toxicity.Index(rows, rng.uniform(1, 5, 40))
-    for _ in range(60):
-        terms = np.sort(rng.choice(40, rng.integers(1, 7), replace=False))
-        query = index.unit(terms, rng.integers(1, 4, len(terms)).astype(float))
-        dense = np.zeros(40)
-        dense[terms] = query
-        sims = np.array([dense[t] @ w for t, w in index.vectors])
-        order = np.lexsort((index.rank, -np.round(sims, 12)))
-        want = [i for i in order if sims[i] > 0][:toxicity.K_NEAREST]
-        places, found = index.nearest(terms, query)
-        assert places.tolist() == want and np.allclose(found, sims[want])
+@pytest.mark.parametrize("block", [4, 64, 4096])
+@pytest.mark.parametrize("skipped", [False, True])
+def test_nearest_examples_are_exact(monkeypatch, block, skipped):
+    """Rows in like groups, frequent and rare terms, copies and empty rows, against dense products."""
+    monkeypatch.setattr(toxicity, "BLOCK_ROWS", block)
+    monkeypatch.setattr(toxicity, "POSTINGS", 50)
+    rng = np.random.default_rng(block)
+    n, size = 400, 300
+    places = [np.sort(rng.choice(np.r_[(k % 3) * 6:(k % 3) * 6 + 6, 18:size], rng.integers(0, 12), replace=False)) for k in range(n)]
+    counts = [rng.integers(1, 4, len(x)) for x in places]
+    places[9], counts[9] = places[5], counts[5]
+    idf, rank = rng.uniform(1, 5, size), rng.permutation(n)
+    dense = np.zeros((n, size))
+    for i, (x, c) in enumerate(zip(places, counts, strict=True)):
+        dense[i, x] = (1 + np.log(c)) * idf[x]
+    dense /= np.maximum(np.sqrt((dense**2).sum(axis=1, keepdims=True)), 1e-300)
+    index = toxicity.Index(np.concatenate([[0], np.cumsum([len(x) for x in places])]), np.concatenate(places), np.concatenate(counts), idf, rank)
+    asked = rng.permutation(n)[:150]
+    at, doc = np.concatenate([places[i] for i in asked]), np.repeat(np.arange(len(asked)), [len(places[i]) for i in asked])
+    q = index.queries(doc, at, np.concatenate([counts[i] for i in asked]), len(asked))
+    for i, (found, sims) in zip(asked, index.nearest(doc, at, q, len(asked), skip=asked if skipped else None), strict=True):
+        want = dense @ dense[i]
+        if skipped:
+            want[i] = 0
+        order = [k for k in np.lexsort((rank, -np.round(want, 12))) if want[k] > 0][:toxicity.K_NEAREST]
+        assert found.tolist() == order and np.allclose(sims, want[order])
 
 
 def accuracy(frame, labels, column):
@@ -242,24 +251,62 @@ def test_toxicity_neighbours_are_by_all_terms(spark):
     found = {r.doc_id: r for r in toxicity.score(frame, labels).collect()}
     bag = {}
     for k, t in {**texts, **parts}.items():
-        _, term, count = toxicity.bags([t])
-        bag[k] = dict(zip(term.tolist(), count.tolist(), strict=True))
+        every = re.findall(r"[^\W_]+", t.lower())
+        bag[k] = Counter([(0, w) for w in every] + [(n, w[:n]) for n in (4, 6) for w in every if len(w) > n])
     df = Counter(t for b in bag.values() for t in b)
     known = {t for k in texts for t in bag[k]}
     unit = {}
     for k, b in bag.items():
-        w = {t: (1 + np.log(c)) * (np.log((1 + len(bag)) / (1 + (df[t] if t in known else 1))) + 1) for t, c in b.items()}
+        w = {t: (1 + np.log(c)) * (np.log((1 + len(bag)) / (1 + df[t])) + 1) for t, c in b.items() if t in known}
         norm = np.sqrt(sum(x * x for x in w.values()))
         unit[k] = {t: x / norm for t, x in w.items()}
     for k in parts:
         sims = {e: sum(x * unit[e].get(t, 0) for t, x in unit[k].items()) for e in texts}
-        want = sorted((e for e in sims if sims[e] > 0), key=lambda e: (-round(sims[e], 6), e))[:toxicity.K_NEAREST]
+        want = sorted((e for e in sims if sims[e] > 0), key=lambda e: (-round(sims[e], 12), e))[:toxicity.K_NEAREST]
         assert found[k].evidence[0].id == k - 1000
-        assert np.allclose([e.similarity for e in found[k].evidence], [sims[e] for e in want], atol=1e-5)
+        assert [e.id for e in found[k].evidence] == want
+        assert np.allclose([e.similarity for e in found[k].evidence], [sims[e] for e in want], atol=1e-12)
         assert [e.label for e in found[k].evidence] == [int(e.id % 5 == 0) for e in found[k].evidence]
     assert min(found[k].score for k in parts if k % 5 == 0) > max(found[k].score for k in parts if k % 5)
 
 
+def test_terms_are_words_and_stems():
+    import pyarrow as pa
+    texts = ["Élan élans ÉLANSSS été", None, "", "a_b 12345 1234", "日本語日本語日 x" * 3, "w " * 2000]
+    doc, term, count = toxicity.bags(pa.array(texts))
+    for i, t in enumerate(texts):
+        every = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").lower())
+        want = Counter([(0, w) for w in every] + [(n, w[:n]) for n in (4, 6) for w in every if len(w) > n])
+        assert sorted(count[doc == i].tolist()) == sorted(want.values())
+    both = toxicity.bags(pa.array(["élans", "ÉLANSES"]))
+    assert len(set(both[1][both[0] == 0]) & set(both[1][both[0] == 1])) == 1  # the stem of four characters
+
+
+def test_examples_by_repeated_ids_and_bounds(spark):
+    """A sampled id with many rows is one example; the bound on terms leaves out whole examples."""
+    rows = [(1, f"copy of one text {k % 2}") for k in range(300)] + [(k, f"text number {k} of many") for k in range(2, 60)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 60)], "doc_id long, toxic int")
+    found = toxicity.learn(docs(spark, rows), labels)
+    assert found.ids == list(range(1, 60)) and found.total == len(rows)
+    few = toxicity.learn(docs(spark, rows), labels, max_entries=60)
+    assert 0 < few.n < 12 and few.data["size"].sum() <= 60
+    assert toxicity.learn(docs(spark, rows), labels, max_entries=0).n == 0
+
+
+def test_telling_terms_are_chosen_without_the_voter(spark):
+    """Labels at random: votes by telling terms mustn't find them."""
+    rng = np.random.default_rng(1)
+    words = ["".join(rng.choice(list("abcdefgh"), 3)) for _ in range(150)]
+    rows = [(k, " ".join(rng.choice(words, 30))) for k in range(300)]
+    labels = spark.createDataFrame([(k, int(rng.random() < 0.3)) for k in range(300)], "doc_id long, toxic int")
+    examples = toxicity.learn(docs(spark, rows), labels)
+    own, told = examples.own_votes(np.arange(300))
+    y = examples.labels == 1
+    rank = np.argsort(np.argsort([o if t is None else o + t for o, t in zip(own, told, strict=True)]))
+    auc = (rank[y].mean() - rank[~y].mean()) / 300 + 0.5
+    assert 0.35 < auc < 0.65
+
+
 def test_quality_on_held_out_rows(spark):
     d = "/root/testdata/sf0.1"
     auc, right = accuracy(QUERIES["op5_quality"](spark, d), spark.read.parquet(f"{d}/labels.parquet"), "quality")
@@ -321,5 +368,5 @@ def test_pipeline_against_its_stages(spark):
 def test_every_query_is_registered():
     entry = importlib.import_module("__spark_entry__")
     names = entry.queries()
-    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)) and "pipeline" in names
     assert set(entry.oracle_sql()) <= set(names)
