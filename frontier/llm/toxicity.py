@@ -41,7 +41,7 @@ from .ngrams import packed, unpacked
 from .removal import without_ids
 
 #: Labelled rows in the sample, and distinct terms of all of them (both bound what is broadcast).
-MAX_EXAMPLES, MAX_ENTRIES = 6000, 4_000_000
+MAX_EXAMPLES, MAX_ENTRIES = 4000, 3_000_000
 #: Least chi-square of a telling term (beyond what chance gives among millions of terms), and
 #: least share of toxic rows among those that have it.
 LEAST_CHI2 = 25.0
@@ -185,41 +185,46 @@ def frequencies(docs: DataFrame, terms: Terms) -> tuple[np.ndarray, int]:
     return out[:n], int(out[n])
 
 
+def _heaviest(cut: np.ndarray, place: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """The term with the largest ``key`` of every row, or -1."""
+    out = np.full(len(cut) - 1, -1, np.int64)
+    some = np.flatnonzero(np.diff(cut))
+    if len(some):
+        at = np.flatnonzero(key == np.repeat(np.maximum.reduceat(key, cut[some]), np.diff(cut)[some]))
+        out[some] = place[at[np.searchsorted(at, cut[some])]]
+    return out
+
+
 class Index:
     """Unit TF-IDF vectors of examples, by inverted lists in blocks of like rows."""
 
     def __init__(self, cut: np.ndarray, place: np.ndarray, count: np.ndarray, idf: np.ndarray, rank: np.ndarray):
         """Row ``i`` has the terms ``place[cut[i]:cut[i + 1]]``; ``rank`` settles ties."""
         n = len(cut) - 1
-        row = np.repeat(np.arange(n), np.diff(cut))
-        weight = (1 + np.log(count)) * idf[place]
-        norm = np.sqrt(np.bincount(row, weight * weight, n))
-        weight /= norm[row]
+        row = np.repeat(np.arange(n, dtype=np.int32), np.diff(cut))
+        weight = np.log(count, dtype=float)
+        weight += 1
+        weight *= idf[place]
+        weight /= np.sqrt(np.bincount(row, weight * weight, n))[row]
         have = np.bincount(place, minlength=len(idf))
         frequent = np.flatnonzero(have > max(8, FREQUENT * n))
         self.line = np.full(len(idf), -1, np.int32)
         self.line[frequent] = np.arange(len(frequent))
         # like rows share a block: those with the same heaviest frequent term, and the same heaviest term
         common = self.line[place] >= 0
-        heads = []
-        for key in (np.where(common, weight, 0), weight):
-            by = np.lexsort((key, row))
-            last = np.flatnonzero(np.append(row[by][1:] != row[by][:-1], True)) if len(by) else np.zeros(0, np.int64)
-            head = np.full(n, -1, np.int64)
-            head[row[by[last]]] = place[by[last]]
-            heads.append(head)
+        heads = [_heaviest(cut, place, key) for key in (np.where(common, weight, 0), weight)]
         self.order = np.lexsort((rank, heads[1], heads[0]))
-        self.at = np.empty(n, np.int64)
+        self.at = np.empty(n, np.int32)
         self.at[self.order] = np.arange(n)
         self.rank, self.n, self.idf = rank[self.order], n, idf
         self.starts = np.arange(0, n, BLOCK_ROWS)
         self.lists = np.zeros((len(frequent), n))
         self.lists[self.line[place[common]], self.at[row[common]]] = weight[common]
         self.most = np.maximum.reduceat(self.lists, self.starts, axis=1) if n else np.zeros((len(frequent), 0))
-        rare = np.flatnonzero(~common)
-        rare = rare[np.argsort(place[rare], kind="stable")]
-        self.first = np.searchsorted(place[rare], np.arange(len(idf) + 1))
-        self.rows, self.weights = self.at[row[rare]].astype(np.int32), weight[rare]
+        self.first = np.concatenate([[0], np.cumsum(np.where(self.line < 0, have, 0))])
+        row, weight, place = self.at[row[~common]], weight[~common], place[~common]
+        by = np.argsort(place, kind="stable")
+        self.rows, self.weights = row[by], weight[by]
 
     def queries(self, doc: np.ndarray, at: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
         """Weights of the unit vectors of ``n`` texts."""
@@ -316,15 +321,14 @@ class Examples:
         self.fit: np.ndarray | None = None
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("parts", "whole", "told", "told_by_fold", "idf")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("parts", "indexes", "whole", "told_by_fold", "idf")}
 
     @cached_property
     def parts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         cut = np.concatenate([[0], np.cumsum(self.data["size"])]).astype(np.int64)
-        step = unpacked(self.data["place"]).astype(np.int64)
-        total = np.cumsum(step)
-        place = total - np.repeat(np.concatenate([[0], total])[cut[:-1]], np.diff(cut))
-        return cut, place, unpacked(self.data["count"]).astype(np.int64)
+        total = np.cumsum(unpacked(self.data["place"]).view(np.int64))
+        total -= np.repeat(np.concatenate([[0], total])[cut[:-1]], np.diff(cut))
+        return cut, total.astype(np.int32), unpacked(self.data["count"]).astype(np.int32)
 
     @cached_property
     def idf(self) -> np.ndarray:
@@ -342,7 +346,7 @@ class Examples:
     def _telling(self, rows: np.ndarray) -> tuple[np.ndarray, Index]:
         """The number of every telling term (or -1), and the index over these, from some examples."""
         cut, place, count = self.parts
-        row = np.repeat(np.arange(self.n), np.diff(cut))
+        row = np.repeat(np.arange(self.n, dtype=np.int32), np.diff(cut))
         mine, size = rows[row], len(self.idf)
         toxic = mine & (self.labels[row] == 1)
         n_toxic = int((rows & (self.labels == 1)).sum())
@@ -353,8 +357,11 @@ class Examples:
         return number, Index(np.searchsorted(row[used], np.arange(self.n + 1)), number[place[used]], count[used], self.idf[told], self.rank)
 
     @cached_property
-    def told(self) -> tuple[np.ndarray, Index]:
-        return self._telling(np.ones(self.n, bool))
+    def indexes(self) -> tuple[Index, tuple[np.ndarray, Index]]:
+        """By all terms and by the telling ones; the parts they are made of are let go."""
+        made = Index(*self.parts, self.idf, self.rank), self._telling(np.ones(self.n, bool))
+        del self.__dict__["parts"]
+        return made
 
     @cached_property
     def told_by_fold(self) -> list[tuple[np.ndarray, Index]]:
@@ -416,8 +423,9 @@ class Examples:
         at = self.terms.find(term)
         known = np.flatnonzero(at >= 0)
         doc, at, count = doc[known], at[known], count[known]
-        found = self.whole.nearest(doc, at, self.whole.queries(doc, at, count, n), n)
-        told = self._told_votes(self.told, doc, at, count, n) if self.fit is not None else [None] * n
+        whole, telling_ = self.indexes
+        found = whole.nearest(doc, at, whole.queries(doc, at, count, n), n)
+        told = self._told_votes(telling_, doc, at, count, n) if self.fit is not None else [None] * n
         out = []
         for (places, sims), t in zip(found, told, strict=True):
             if not len(places):
