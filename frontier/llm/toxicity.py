@@ -41,7 +41,7 @@ from .ngrams import packed, unpacked
 from .removal import without_ids
 
 #: Labelled rows in the sample, and distinct terms of all of them (both bound what is broadcast).
-MAX_EXAMPLES, MAX_ENTRIES = 4000, 3_000_000
+MAX_EXAMPLES, MAX_ENTRIES = 3000, 2_500_000
 #: Least chi-square of a telling term (beyond what chance gives among millions of terms), and
 #: least share of toxic rows among those that have it.
 LEAST_CHI2 = 25.0
@@ -52,7 +52,7 @@ PRIOR_WEIGHT = 0.5
 #: Rows of a block; share of the examples from which on a term is frequent; texts that are looked
 #: up together, blocks that each tries first, and postings summed at once. They change the time,
 #: not the results.
-BLOCK_ROWS, FREQUENT, TOGETHER, TRIED_FIRST, POSTINGS = 64, 0.05, 128, 4, 1 << 18
+BLOCK_ROWS, FREQUENT, TOGETHER, TRIED_FIRST, POSTINGS = 64, 0.05, 64, 4, 1 << 18
 _DOC_BITS, _CHUNK = 12, 1 << 14
 
 
@@ -89,7 +89,7 @@ def bags(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _groups(column: pa.Array):
     """Consecutive texts of a column."""
     _, offsets = K.text_bytes(column)
-    for lo, hi in K.row_groups(offsets, 2 * K.BLOCK):
+    for lo, hi in K.row_groups(offsets):
         for at in range(lo, hi, 1 << _DOC_BITS):
             yield column.slice(at, min(hi - at, 1 << _DOC_BITS))
 
