@@ -223,11 +223,11 @@ def extract_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html"
     )
 
 
-def basic_features(records: DataFrame) -> DataFrame:
-    """PX-7: content_length (characters), content_hash, num_links of ok records."""
+def basic_features(records: DataFrame, *keep: str) -> DataFrame:
+    """PX-7: content_length (characters), content_hash, num_links of ok records, and columns to ``keep``."""
     return (records.filter(F.col("status") == "ok")
             .select("url", "shard_id", "domain_id",
                     F.col("fetched_at").alias("fetched_at"),
                     F.length(F.coalesce(F.col("content"), F.lit(""))).alias("content_length"),
                     "content_hash",
-                    F.size(F.coalesce(F.col("outlinks"), F.array())).alias("num_links")))
+                    F.size(F.coalesce(F.col("outlinks"), F.array())).alias("num_links"), *keep))

@@ -78,7 +78,7 @@ def resolve_domains(registry: DataFrame, keys: DataFrame, overwrite_shard: bool
 
 def route_results(records: DataFrame, registry: DataFrame, id_cols: list[str], whitelist: DataFrame | None = None,
                   num_shards: int = 256, overrides: Mapping[str, int] | None = None,
-                  shards_per_ingestor: int = 16, *, rules: U.SuffixRules | None):
+                  shards_per_ingestor: int = 16, *, rules: U.SuffixRules | None, ordered: bool = False):
     """RJ-3 / RJ-4 / RJ-5 / SC-7: route crawl records.
 
     ``id_cols`` name the columns that identify a record in its source; give
@@ -94,6 +94,7 @@ def route_results(records: DataFrame, registry: DataFrame, id_cols: list[str], w
     * link records (one per outlink, status ``new``): target shard, domain id
       and score, ``parent_page_score`` = the *source* domain's score,
       ``inlink_count_external`` = source key differs from target key;
+      ``ordered`` adds ``id_cols`` and ``pos``, the link's place in its page;
     * the registry with every unseen domain key added (RJ-1).
     """
     recs = records.withColumn("__host", U.host_of(F.col("url")))
@@ -121,7 +122,7 @@ def route_results(records: DataFrame, registry: DataFrame, id_cols: list[str], w
         F.col("__d_domain_score").alias("domain_score"), "discovered_from",
         F.lit(1).cast("short").alias("discovery_source_type"), F.col("__src_score").alias("parent_page_score"),
         F.lit(1).alias("inlink_count_approx"), (F.col("__src_key") != F.col("__d_shard_key")).cast("int").alias("inlink_count_external"),
-        F.col("__l.anchor").alias("anchor_text"))
+        F.col("__l.anchor").alias("anchor_text"), *([*id_cols, F.col("__pos").alias("pos")] if ordered else []))
     arrays = links.groupBy(*id_cols).agg(F.sort_array(F.collect_list(F.struct(
         "__pos", F.col("__l.url").alias("url"), F.col("__d_domain_id").alias("domain_id"), F.col("__l.anchor").alias("anchor")))).alias("__ol"))
     routed = (routed.join(arrays, id_cols, "left")

@@ -142,19 +142,31 @@ def enrich(logs: DataFrame, service: str, worker_id: int, shard_id: int | None =
 
 def request_latency(starts: DataFrame, ends: DataFrame, key: str = "request_id",
                     max_gap: str = "10 minutes") -> DataFrame:
-    """ST-16: pair request starts with ends on a request id (a stream-stream
-    join when both inputs carry watermarks) and derive total, download and
+    """ST-16: pair request starts with ends on a request id and derive total, download and
     pre-response milliseconds."""
+    return _paired(starts, ends, key, max_gap, None, "inner")
+
+
+def _paired(starts: DataFrame, ends: DataFrame, key: str, max_gap: str, late: str | None, how: str) -> DataFrame:
     s = starts.select(F.col(key), F.col("ts").cast("timestamp").alias("t_start"))
     e = ends.select(F.col(key).alias("__k"), F.col("ts").cast("timestamp").alias("t_end"),
                     F.col("download_latency_ms"))
+    if late is not None:
+        s, e = s.withWatermark("t_start", late), e.withWatermark("t_end", late)
     j = s.join(e, (F.col(key) == F.col("__k")) & (F.col("t_end") >= F.col("t_start"))
-               & (F.col("t_end") <= F.col("t_start") + F.expr(f"INTERVAL {max_gap}")))
+               & (F.col("t_end") <= F.col("t_start") + F.expr(f"INTERVAL {max_gap}")), how)
     total = ((F.unix_micros("t_end") - F.unix_micros("t_start")) / 1000).cast("long")
-    return j.select(key, total.alias("total_ms"), F.col("download_latency_ms"),
+    return j.select(key, *(["t_start"] if how != "inner" else []), total.alias("total_ms"), F.col("download_latency_ms"),
                     (total - F.col("download_latency_ms")).alias("pre_response_ms"))
 
 
+def stream_request_latency(starts: DataFrame, ends: DataFrame, key: str = "request_id", max_gap: str = "10 minutes", late: str = "20 minutes") -> DataFrame:
+    """ST-16 on streams: every start once, with its end's milliseconds, or with nulls when the
+    watermarks of both streams have passed the last moment its end could come. Both watermarks
+    and the bounded gap let the engine drop what can't be paired any more."""
+    return _paired(starts, ends, key, max_gap, late, "left_outer")
+
+
 def distribution_stats(df: DataFrame, value: str, by: list[str], limit_col: str | None = None) -> DataFrame:
     """AG-11: mean (2 dp), nearest-rank p50 / p90, max and the number of
     values at their limit, per group."""
