@@ -2,8 +2,9 @@
 
 A micro-batch is an admitted bucket of crawl records. It is routed (registry get-or-create,
 shards, link records), ingested (URL state, history, counters, domain back-off), its content
-features are upserted, and its metrics go into the daily tables. Every table is written under
-the batch's version; the commit, one small document, comes last and names that version. Readers
+features are upserted, and its metrics go into the daily tables. Tables by URL take the batch's
+changes only (:mod:`..sources.keyed`) and are compacted after some batches; every table is
+written under the batch's version; the commit, one small document, comes last and names that version. Readers
 take the tables at the committed version, so they never see half of a batch, and a batch that
 is run again after a crash reads what it read before and replaces what it had written.
 """
@@ -25,19 +26,29 @@ from ..operators import routing as RT
 from ..operators import stats as STS
 from ..session import cut_lineage
 from ..sources import admission, buckets, files, store
+from ..sources.keyed import Keyed
 from .jobs import MAX_SHARDS, ROUTED_RECORD, batch_time
 
-#: Tables of the chain: schema and partition columns.
+#: Tables by URL: schema and key.
+KEYED = {
+    "url_state": (SC.URL_STATE, ("url",)),
+    "url_event_counter": (SC.URL_EVENT_COUNTER, ("url", "event_date")),
+    "content_feature": (SC.CONTENT_FEATURE, ("url",)),
+}
+#: Tables by domain or day: schema and partition columns.
 TABLES = {
     "domain_state": (SC.DOMAIN_STATE, ("shard_id",)),
-    "url_state": (SC.URL_STATE, ("shard_id",)),
-    "url_event_counter": (SC.URL_EVENT_COUNTER, ("shard_id", "event_date")),
-    "content_feature": (SC.CONTENT_FEATURE, ("shard_id",)),
     "domain_stats_daily": (SC.DOMAIN_STATS_DAILY, ("shard_id", "event_date")),
     "summary_daily": (SC.SUMMARY_DAILY, ("event_date",)),
 }
 #: Tables that a batch only adds to, a folder a batch.
 APPENDED = ("url_state_history", "content_feature_history")
+#: Batches whose deltas are kept before they are folded into the base.
+COMPACT_EVERY = 16
+
+
+def keyed(root: str, name: str) -> Keyed:
+    return Keyed(f"{root.rstrip('/')}/{name}", *KEYED[name])
 
 
 def committed_version(spark: SparkSession, root: str) -> int:
@@ -48,8 +59,10 @@ def committed_version(spark: SparkSession, root: str) -> int:
 
 def read_table(spark: SparkSession, root: str, name: str, version: int | None = None, only: list | None = None) -> DataFrame:
     """A table as of a committed version (the last one by default)."""
-    schema, by = TABLES[name]
     version = committed_version(spark, root) if version is None else version
+    if name in KEYED:
+        return keyed(root, name).read(spark, version)
+    schema, by = TABLES[name]
     return store.read_version(spark, f"{root.rstrip('/')}/{name}", version, schema, by, only)
 
 
@@ -104,24 +117,28 @@ def chain_micro_batch(spark: SparkSession, table_root: str, bucket: str, paths:
         registry = read_table(spark, root, "domain_state", batch_id)
         results, batch, registry = routed_batch(records, registry, num_shards, overrides, whitelist, rules)
         batch, registry = cut_lineage(batch), cut_lineage(SC.conform(registry, SC.DOMAIN_STATE, SC.DOMAIN_STATE_DEFAULTS))
-        # shards of URLs, and of domains (an old domain may have another one than its key)
-        shards = _bounded(batch.select("shard_id"))
+        # shards of the domains (an old domain may have another one than its key)
         homes = _bounded(registry.join(batch.select("domain_id").distinct(), "domain_id", "left_semi").select("shard_id"))
         today = F.col("event_date") == F.lit(day).cast("date")
-        out = IG.ingest_batch(read_table(spark, root, "url_state", batch_id, shards), read_table(spark, root, "url_event_counter", batch_id, shards).where(today),
-                              registry.where(F.col("shard_id").isin(homes)), batch, as_of)
-        features, seen = GD.upsert_features(read_table(spark, root, "content_feature", batch_id, shards), _features(results))
+        # of the tables by URL only the batch's own rows are read, so all that comes out is changed
+        own = {name: keyed(root, name).read(spark, batch_id, batch) for name in KEYED}
+        out = IG.ingest_batch(own["url_state"], own["url_event_counter"].where(today), registry.where(F.col("shard_id").isin(homes)), batch, as_of)
+        features, seen = GD.upsert_features(own["content_feature"], _features(results))
         summary, domains = daily_rows(out, registry, day)
         old = {name: read_table(spark, root, name, batch_id, only).where(today) for name, only in (("summary_daily", None), ("domain_stats_daily", homes))}
-        made = {"url_state": out.state, "url_event_counter": out.counters, "domain_state": out.domain_state, "content_feature": features,
+        for name, df in (("url_state", out.state), ("url_event_counter", out.counters), ("content_feature", features)):
+            keyed(root, name).write(df, version)
+        made = {"domain_state": out.domain_state,
                 "summary_daily": STS.merge_daily(old["summary_daily"], summary, ["event_date"], STS.SUMMARY_FIELDS),
                 "domain_stats_daily": STS.merge_daily(old["domain_stats_daily"], domains, ["domain_id", "event_date"], STS.DOMAIN_FIELDS)}
-        order = {"url_state": "url", "url_event_counter": "url", "content_feature": "url"}
         for name, df in made.items():
-            store.write_version(df, f"{root}/{name}", version, TABLES[name][1], order.get(name, "domain_id"))
+            store.write_version(df, f"{root}/{name}", version, TABLES[name][1], "domain_id")
         for name, df in zip(APPENDED, (out.history, SC.conform(seen, SC.CONTENT_FEATURE)), strict=True):
             df.write.mode("overwrite").parquet(f"{root}/{name}/batch={batch_id}")
     files.put_json(spark, f"{root}/_commits/{version}.json", {"version": version, "bucket": bucket, "as_of": as_of})
+    if version % COMPACT_EVERY == 0:
+        for name in KEYED:
+            keyed(root, name).compact(spark, version)
 
 
 def _bounded(ids: DataFrame) -> list:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from frontier import schema as SC
 from frontier.functions import urls as U
-from frontier.sources import admission, store
+from frontier.sources import admission, keyed
 from frontier.streaming import chain as CH
 from frontier.streaming import logs as LG
 from frontier.streaming import windows as WN
@@ -36,7 +36,7 @@ def run(spark, tmp_path, at, name="t"):
 
 def image(spark, tmp_path, name="t"):
     root = str(tmp_path / name)
-    out = {t: sorted(map(str, CH.read_table(spark, root, t).select(*CH.TABLES[t][0].fieldNames()).collect())) for t in CH.TABLES}
+    out = {t: sorted(map(str, CH.read_table(spark, root, t).select(*schema.fieldNames()).collect())) for t, (schema, _) in (CH.TABLES | CH.KEYED).items()}
     return out | {t: sorted(map(str, CH.read_appended(spark, root, t).collect())) for t in CH.APPENDED}
 
 
@@ -113,7 +113,7 @@ def test_a_crash_between_two_writes_leaves_the_last_commit(spark, tmp_path, monk
                                            *(("fail", "HttpError 503") if rng.random() < 0.3 else ()), content=f"c{rng.randint(0, 3)}") for i in range(40)])
     run(spark, tmp_path, datetime(2024, 1, 1, 1), "whole").awaitTermination()
     run(spark, tmp_path, datetime(2024, 1, 1, 0, 25)).awaitTermination()
-    before, plain, count = image(spark, tmp_path), store.write_version, [0]
+    before, plain, count = image(spark, tmp_path), CH.Keyed.write, [0]
 
     def failing(*args, **kwargs):
         count[0] += 1
@@ -121,8 +121,8 @@ def test_a_crash_between_two_writes_leaves_the_last_commit(spark, tmp_path, monk
             raise OSError("lost")
         return plain(*args, **kwargs)
 
-    if crash_at <= len(CH.TABLES):
-        monkeypatch.setattr(store, "write_version", failing)
+    if crash_at <= len(CH.KEYED):
+        monkeypatch.setattr(CH.Keyed, "write", failing)
     else:
         def unfinished(session, path, *args):
             if "/_commits/" in path:
@@ -139,6 +139,38 @@ def test_a_crash_between_two_writes_leaves_the_last_commit(spark, tmp_path, monk
     assert image(spark, tmp_path) == image(spark, tmp_path, "whole") != before
 
 
+def test_writes_follow_the_batch(spark, tmp_path):
+    """Small changes of a large table: bytes written and rows read follow the change; compaction keeps every version."""
+    schema = SC.CONTENT_FEATURE
+    table = keyed.Keyed(str(tmp_path / "t"), schema, ("url",), 8)
+    rows = lambda ids, n: SC.conform(spark.createDataFrame([(f"http://h{i % 50}.com/{i}", i % 4, n) for i in ids], "url string, shard_id int, num_links int"), schema)
+    size = lambda part: sum(f.stat().st_size for f in (tmp_path / "t" / part).rglob("*.parquet"))
+    got = lambda v, keys=None: sorted((r.url, r.num_links) for r in table.read(spark, v, keys).collect())
+    want = {}
+
+    def put(version, ids):
+        table.write(rows(ids, version), version)
+        want[version] = (want.get(version - 1) or {}) | {f"http://h{i % 50}.com/{i}": version for i in ids}
+
+    put(1, range(20000))
+    table.compact(spark, 1)
+    for v in range(2, 6):
+        put(v, range(v * 3, v * 3 + 40))
+        assert size(f"delta/v={v}") < size("delta/v=1") / 20
+    assert all(got(v) == sorted(want[v].items()) for v in (1, 3, 5))
+    keys = rows([7, 19, 500, 10**6], 0)
+    names = {r.url for r in keys.collect()}
+    asked = sorted((u, n) for u, n in want[5].items() if u in names)
+    assert got(5, keys) == asked and len(asked) == 3
+    base = len(list((tmp_path / "t" / "base").rglob("v=1")))
+    table.compact(spark, 4)
+    touched = len(list((tmp_path / "t" / "base").rglob("v=4")))
+    assert 0 < touched <= base and size("base") < 2.2 * size("delta/v=1")
+    assert all(got(v) == sorted(want[v].items()) for v in (1, 3, 4, 5)) and got(5, keys) == asked
+    table.write(rows(range(5), 9), 5)   # version 5 again
+    assert got(4) == sorted(want[4].items()) and got(5) == sorted((want[4] | {f"http://h{i}.com/{i}": 9 for i in range(5)}).items())
+
+
 def test_empty_buckets_are_committed(spark, tmp_path):
     (tmp_path / "src" / "20240101" / "0000").mkdir(parents=True)
     run(spark, tmp_path, datetime(2024, 1, 1, 1)).awaitTermination()
