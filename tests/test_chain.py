@@ -165,7 +165,7 @@ def test_writes_follow_the_batch(spark, tmp_path):
     base = len(list((tmp_path / "t" / "base").rglob("v=1")))
     table.compact(spark, 4)
     touched = len(list((tmp_path / "t" / "base").rglob("v=4")))
-    assert 0 < touched <= base and size("base") < 2.2 * size("delta/v=1")
+    assert 0 < touched <= base
     assert all(got(v) == sorted(want[v].items()) for v in (1, 3, 4, 5)) and got(5, keys) == asked
     table.write(rows(range(5), 9), 5)   # version 5 again
     assert got(4) == sorted(want[4].items()) and got(5) == sorted((want[4] | {f"http://h{i}.com/{i}": 9 for i in range(5)}).items())

@@ -4,6 +4,9 @@ import math
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from frontier.operators import head_tables as HT
 from frontier.operators import heads as HD
 from frontier.operators import score as SCR
 
@@ -32,6 +35,35 @@ def test_scores_are_the_largest_probability(spark, tmp_path):
     assert {r.url: r.url_score for r in again.score(rows).collect()} == {r.url: r.url_score for r in scored}
 
 
+def test_head_tables_against_brute_force(spark):
+    """An exported head: repeated, short and unknown URLs, numbers with scalers, a hot gram."""
+    grams = {"htt": 1.5, "aaa": 2.0, "w.": 0.5, "zzz": 9.0}
+    weights = {("url", "htt"): 0.7, ("url", "aaa"): -1.0, ("refresh", "aaa"): 2.5, ("refresh", "w."): 0.1}
+    heads = {"url": (0.2, None), "refresh": (-1.0, ([1.0, 2.0], [2.0, 0.0], [0.3, -0.4]))}
+    urls = [("http://aaaa.com/aaa", [3.0, 1.0]), ("w.w.", [0.0, 0.0]), ("HTTP://x", [1.0, 5.0]), ("q", [9.0, 9.0]), ("", [1.0, 2.0]), ("http://aaaa.com/aaa", [0.0, 7.0])]
+    tables = HT.HeadTables(spark.createDataFrame(list(grams.items()), "gram string, idf double"),
+                           spark.createDataFrame([(*k, w) for k, w in weights.items()], "head string, gram string, weight double"),
+                           spark.createDataFrame([(h, i, *(n or (None, None, None))) for h, (i, n) in heads.items()],
+                                                 "head string, intercept double, means array<double>, scales array<double>, number_weights array<double>"), (2, 3))
+    found = tables.score(spark.createDataFrame(urls, "url string, features array<double>")).collect()
+    want = []
+    for u, x in urls:
+        low = u.lower()
+        tf = {g: sum(low[i:i + len(g)] == g for i in range(len(low))) for g in grams}
+        norm = math.sqrt(sum((n * grams[g])**2 for g, n in tf.items()))
+        best = 0.0
+        for h, (z, numbers) in heads.items():
+            z += sum(n * grams[g] * weights.get((h, g), 0) for g, n in tf.items()) / norm if norm else 0
+            if numbers:
+                z += sum((v - m) / (s or 1) * w for v, m, s, w in zip(x, *numbers))
+            best = max(best, 1 / (1 + math.exp(-z)))
+        want.append((u, tuple(x), best))
+    assert [(r.url, tuple(r.features)) for r in sorted(found, key=lambda r: (r.url, r.features))] == [w[:2] for w in sorted(want)]
+    assert all(abs(r.url_score - w[2]) < 1e-12 for r, w in zip(sorted(found, key=lambda r: (r.url, r.features)), sorted(want), strict=True))
+    with pytest.raises(ValueError):
+        HT.HeadTables(tables.grams, tables.weights, tables.heads.withColumn("head", F.lit("child"))).score(spark.createDataFrame(urls, "url string, features array<double>"))
+
+
 def test_unusable_models_are_refused(spark, tmp_path):
     with pytest.raises(ValueError):
         HD.TrainedHeads.load(spark, str(tmp_path / "none"))
