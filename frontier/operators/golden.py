@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as SC
 from ..functions import urls as U
+from ..session import cut_lineage
 from .routing import resolve_domains
 
 
@@ -44,11 +45,11 @@ def inject(state: DataFrame, registry: DataFrame, candidates: DataFrame, as_of,
     and writes a history row; every other record marks the existing row, without
     history.  ``dry_run`` counts all records that don't fail as injected and
     leaves the tables as they are.  ``candidates`` is read once for its distinct
-    URLs; repeats are counted by then."""
+    URLs (with their domains a written stage); repeats are counted by then."""
     c = candidates.groupBy("url").agg(F.count("*").alias("n"))
     c = c.withColumn("domain", F.when(F.length("url") <= max_url_len, U.registrable_domain(U.host_of(F.col("url")), rules)))
     c = c.join(state.select("url", F.lit(True).alias("known")), "url", "left").withColumn("known", F.col("known").isNotNull())
-    c = c.withColumn("shard_id", U.shard_id(F.col("domain"), num_shards, overrides))
+    c = cut_lineage(c.withColumn("shard_id", U.shard_id(F.col("domain"), num_shards, overrides)))
     good = F.col("domain").isNotNull()
     injected = F.col("n") if dry_run else (~F.col("known")).cast("bigint")
     total = lambda v: F.coalesce(F.sum(v), F.lit(0)).cast("bigint")
@@ -57,7 +58,7 @@ def inject(state: DataFrame, registry: DataFrame, candidates: DataFrame, as_of,
     if dry_run:
         c = c.where("false")
     good_rows = c.where(good)
-    new_registry, resolved = resolve_domains(registry, good_rows.select("domain", "shard_id"))
+    new_registry, resolved = resolve_domains(registry, good_rows.select("domain", "shard_id").distinct())
     own = resolved.select("domain", "domain_id", "domain_score")
     rows = (good_rows.where(~F.col("known")).join(own, "domain")
             .select("url", "domain_id", "domain_score", "shard_id", F.lit(1).alias("source"),

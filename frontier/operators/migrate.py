@@ -140,7 +140,7 @@ def _collide(df: DataFrame, moves: DataFrame, keys: list[str], rule) -> DataFram
     (column name to aggregate). The row that didn't move comes first, moved ones by the
     name of their domain."""
     columns = df.columns
-    moved, stay = _moving(df, moves), _staying(df, moves)
+    moved, stay = cut_lineage(_moving(df, moves)), _staying(df, moves)
     met = stay.join(moved.select(*keys).distinct(), keys, "left_semi").withColumn("__rank", F.lit(""))
     one = moved.unionByName(met).groupBy(*keys).agg(*[rule(c) for c in columns if c not in keys])
     return stay.join(moved.select(*keys).distinct(), keys, "left_anti").unionByName(one.select(*columns))
@@ -165,10 +165,11 @@ def migrate(tables: Tables, plan: Moves, merge_columns: bool = False) -> Tables:
         state = stay.unionByName(moved.join(stay.select("url", "shard_id"), ["url", "shard_id"], "left_anti").select(*stay.columns))
     # counters carry no domain: they follow the URLs that belong to a target now
     pairs = moves.select(F.col("new_domain_id").alias("domain_id"), F.col("new_shard").alias("shard_id"), F.col("old_shard")).distinct()
-    urls = state.join(pairs, ["domain_id", "shard_id"]).select("url", F.col("shard_id").alias("__to"), F.col("old_shard").alias("shard_id")).where("__to <> shard_id")
+    # (staged, and so are their counters: what moves is small beside the tables, and is used several times)
+    urls = cut_lineage(state.join(pairs, ["domain_id", "shard_id"]).select("url", F.col("shard_id").alias("__to"), F.col("old_shard").alias("shard_id")).where("__to <> shard_id"))
     going = tables.counters.join(urls, ["url", "shard_id"])
     rest = tables.counters.join(urls.select("url", "shard_id"), ["url", "shard_id"], "left_anti")
-    arriving = going.withColumn("shard_id", F.col("__to")).drop("__to")
+    arriving = cut_lineage(going.withColumn("shard_id", F.col("__to")).drop("__to"))
     key = ["url", "event_date", "shard_id"]
     met = rest.join(arriving.select(*key).distinct(), key, "left_semi")
     added = arriving.unionByName(met).groupBy(*key).agg(*[F.sum(c).cast("int").alias(c) for c in COUNTERS], F.bool_or("accounted").alias("accounted"))
