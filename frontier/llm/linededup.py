@@ -127,7 +127,9 @@ def _cleaned(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> Dat
     gone = (deleted_lines(docs, id_col, text_col, min_words).groupBy(F.col("id").alias("__llm_id"), F.col("th").alias("__llm_th"))
             .agg(F.collect_set("i").alias("__llm_gone")))
     joined = docs.join(gone, (docs[id_col] == F.col("__llm_id")) & (F.xxhash64(docs[text_col]) == F.col("__llm_th")), "left")
-    left = F.filter(F.split(F.col(text_col), "\n"), lambda x, i: ~F.array_contains("__llm_gone", i))
+    # places that stay by a set difference; the lines are split once, as the lambda's variable
+    left = F.transform(F.array(F.split(F.col(text_col), "\n")), lambda lines: F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("__llm_gone")), lambda i: lines[i]))[0]
     left = F.when(F.exists(left, lambda x: x.rlike(_WORD)), F.concat_ws("\n", left)).otherwise("")
     return joined.select("*", F.coalesce(F.size(F.col("__llm_gone")), F.lit(0)).alias("__llm_size")).select(
         *[docs[c] for c in docs.columns], F.greatest("__llm_size", F.lit(0)).cast("bigint").alias("__llm_n"),
