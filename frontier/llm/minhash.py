@@ -5,7 +5,8 @@ large-star and small-star.
 A document's set holds the hashes of its distinct ``size``-word shingles (words are runs
 without space or 0x09-0x0D after lower-casing A-Z); a shorter text is one shingle, a text
 without words has the empty set and is linked with nothing. Documents with equal sets form
-a class at once, by the digest of the set, so that groups of exact copies cost one row.
+a class at once, by the digest of the set, so that groups of exact copies cost one row; classes,
+not ids, are compared and connected, and a component takes the smallest id of its classes.
 Classes meet in bands of their signatures. A bucket never gives all its pairs:
 
 1. every member is compared with the smallest and the largest id of its bucket, exactly;
@@ -16,8 +17,8 @@ Classes meet in bands of their signatures. A bucket never gives all its pairs:
    signatures agree enough, are confirmed on their sets, and only links leave the task.
 
 A pair inside one component needs no comparison: its link wouldn't change any component.
-Step 3 costs time by the square of the classes that met one id and aren't connected, but no
-rows, and no task holds more than two blocks.
+Step 3 costs time, and sets that are shuffled once for each block of their pivot, by the square
+of the classes that met one class and aren't connected; no task holds more than two blocks.
 
 Defined results: rows with a null id are returned with a null component and kept; rows
 that repeat an id are judged by their own texts; null texts are empty; an empty table
@@ -93,9 +94,13 @@ def _map_sets(df: DataFrame, columns: str, make) -> DataFrame:
     return K.text_map(df, run, f"{id_col} {kind}, {columns}")
 
 
+def _digest(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
 def _signed(sets: list[np.ndarray]) -> list[pa.Array]:
     return [pa.array([len(s) for s in sets], pa.int64()),
-            pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
+            pa.array([_digest(s) for s in sets], pa.binary()),
             pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary())]
 
 
@@ -246,24 +251,26 @@ def connected_components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row of ``docs``: ``id_col``, ``n_shingles``, ``component_id`` and ``kept``."""
-    id_kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     base = cut_lineage(_map_sets(texts, "n bigint, key binary, sig binary", _signed))
-    reps = base.where("n > 0 AND id IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"))
-    classes = cut_lineage(base.join(reps, ["id", "key"]).select("id", "sig").dropDuplicates(["id"]))
+    # a class is one set, with its smallest id; it has a number, since an id may hold several sets
+    reps = base.where("n > 0 AND id IS NOT NULL").groupBy("key").agg(F.min("id").alias("doc"))
+    first = base.withColumnRenamed("id", "doc").join(reps, ["doc", "key"]).select("key", "doc", "sig").dropDuplicates(["key"])
+    classes = cut_lineage(first.withColumn("id", F.monotonically_increasing_id()))
 
     # 1. buckets with two classes or more; every member against the smallest and the largest id
-    bands = _bands(classes, id_kind)
+    bands = _bands(classes, "bigint")
     ends = bands.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
     members = cut_lineage(bands.join(ends, "bucket"))
-    wanted = members.select("id").distinct()
+    wanted = cut_lineage(classes.join(members.select("id").distinct(), "id").select("doc", F.struct("id", "key").alias("who")))
     if wanted.count() <= MAX_BROADCAST_IDS:
         wanted = F.broadcast(wanted)
-    sets = cut_lineage(_map_sets(texts.join(wanted, "id", "left_semi"), "shingles binary, sig binary", lambda found: [
-        pa.array([s.tobytes() for s in found], pa.binary()), pa.array([signature(s).tobytes() for s in found], pa.binary())]))
+    sets = cut_lineage(_map_sets(texts.join(wanted, texts["id"] == wanted["doc"]).select("who", "text"), "key binary, shingles binary, sig binary", lambda found: [
+        pa.array([_digest(s) for s in found], pa.binary()), pa.array([s.tobytes() for s in found], pa.binary()),
+        pa.array([signature(s).tobytes() for s in found], pa.binary())]).where("who.key = key").select("who.id", "shingles", "sig"))
     pairs = (members.where("id <> lo").select(F.col("lo").alias("a"), F.col("id").alias("b"))
              .unionByName(members.where("id <> hi AND id <> lo").select(F.col("id").alias("a"), F.col("hi").alias("b"))).distinct())
-    tested = cut_lineage(_confirm(pairs, sets, id_kind))
+    tested = cut_lineage(_confirm(pairs, sets, "bigint"))
     linked = f"100 * both >= {PERCENT} * together"
     links = tested.where(linked).select("a", "b")
     found = cut_lineage(connected_components(links))
@@ -275,10 +282,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .where("x < y AND n > 2").select("pivot", F.ceil(F.col("n") / BLOCK_ROWS).alias("blocks")))
     share = tested.groupBy(F.col("a").alias("pivot"), F.col("b").alias("id")).agg(F.max(F.col("both") / F.col("together")).alias("j"))
     left = met.join(open_, "pivot").join(share, ["pivot", "id"], "left").withColumn("j", F.when(F.col("id") == F.col("pivot"), 1.0).otherwise(F.col("j")))
-    more = _in_blocks(left.join(sets, "id").select("pivot", "id", "component", "j", "shingles", "sig", "blocks"), id_kind)
+    more = _in_blocks(left.join(sets, "id").select("pivot", "id", "component", "j", "shingles", "sig", "blocks"), "bigint")
 
     found = connected_components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-    of_class = reps.join(found, reps["id"] == found["node"], "left").select("key", F.coalesce("component", "id").alias("component_id"))
+    named = found.join(classes.select(F.col("id").alias("node"), "doc"), "node").groupBy("component").agg(F.min("doc").alias("component_id"))
+    found = found.join(named, "component").select(F.col("node").alias("id"), "component_id")
+    of_class = classes.select("id", "key", "doc").join(found, "id", "left").select("key", F.coalesce("component_id", "doc").alias("component_id"))
     rows = base.select("id", "n", "key").join(of_class, "key", "left")
     own = F.coalesce("component_id", "id")
     return rows.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),

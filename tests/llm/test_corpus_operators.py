@@ -73,6 +73,16 @@ def test_near_duplicates_over_a_hub_that_is_no_end(spark):
     assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in out) == brute_groups(rows)
 
 
+def test_near_duplicates_of_ids_with_several_texts(spark):
+    """The smallest id holds two texts, each with a near copy of its own."""
+    rng = random.Random(8)
+    a, b = ([f"{x}{rng.randint(0, 9999)}" for _ in range(60)] for x in "ab")
+    near = lambda w: " ".join([*w[:-1], "other"])
+    rows = [(1, " ".join(a)), (1, " ".join(b)), (1, " ".join(b)), (2, near(a)), (3, near(b)), (3, "alone words of a third text here"), (4, near(b) + " x")]
+    found = minhash.near_duplicates(docs(spark, rows)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == [(1, 56, 1), (1, 56, 1), (1, 56, 1), (2, 56, 1), (3, 3, 3), (3, 56, 1), (4, 57, 1)]
+
+
 def test_near_duplicate_removal_keeps_columns(spark):
     frame = docs(spark, [(1, "a b c d e f"), (2, "a b c d e f"), (2, "a b c d e f"), (3, ""), (4, None), (None, "a b c d e f")], id="x", component_id="y")
     out = minhash.drop_near_duplicates(frame)
