@@ -139,9 +139,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: st
     """One row per document: ``id_col``, ``n_words``, ``n_hit``, ``items`` (sorted ids as
     strings) and ``spans`` (hit runs as character ranges ``[begin, end)`` of the text, in
     order; of several sets they may overlap)."""
+    return _found(docs, benchmark, n, id_col, text_col, item_col, item_text_col).drop("key")
+
+
+def _found(docs: DataFrame, benchmark: DataFrame, n: int, id_col: str, text_col: str, item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """:func:`contamination` with ``key``, the hash of the text."""
     scans = [_scanned(docs, grams, id_col, text_col) for grams in _parts(benchmark, n, item_col, item_text_col)]
     if len(scans) == 1:
-        return scans[0].select(id_col, "n_words", F.size("hits").cast("bigint").alias("n_hit"), "items", "spans")
+        return scans[0].select(id_col, "key", "n_words", F.size("hits").cast("bigint").alias("n_hit"), "items", "spans")
     rows = scans[0]
     hits = scans[0].where("size(hits) > 0")
     for more in scans[1:]:
@@ -152,7 +157,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, id_col: st
         F.sort_array(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
     base = rows.select(id_col, "key", "n_words")
     return base.join(whole, F.col(id_col).eqNullSafe(F.col("__i")) & (F.col("key") == F.col("__k")), "left").select(
-        id_col, "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
+        id_col, "key", "n_words", F.coalesce("n_hit", F.lit(0).cast("bigint")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         F.coalesce("spans", F.array().cast("array<struct<begin:bigint,end:bigint>>")).alias("spans"))
 
@@ -174,14 +179,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = 10, action: st
     verified hit; ``"spans"`` cuts the hit runs out of the text and keeps the document.
 
     All columns of ``docs`` are returned as they are named there. A null id never matches
-    the list of hits, so such a row is kept unchanged. Rows that share an id share a verdict."""
+    the list of hits, so such a row is kept unchanged. Rows that share an id share a verdict, but
+    each text is cut at its own spans."""
     if action not in ("documents", "spans"):
         raise ValueError("action is 'documents' or 'spans'")
-    found = contamination(docs, benchmark, n, id_col, text_col).where("n_hit > 0")
     if action == "documents":
-        return without_ids(docs, found.select(id_col), id_col)
-    cuts = found.groupBy(F.col(id_col).alias("__llm_id")).agg(F.first("spans").alias("__llm_spans"))
-    joined = docs.join(cuts, docs[id_col] == cuts["__llm_id"], "left")
+        return without_ids(docs, contamination(docs, benchmark, n, id_col, text_col).where("n_hit > 0").select(id_col), id_col)
+    found = _found(docs, benchmark, n, id_col, text_col).where("n_hit > 0")
+    cuts = found.groupBy(F.col(id_col).alias("__llm_id"), F.col("key").alias("__llm_key")).agg(F.first("spans").alias("__llm_spans"))
+    joined = docs.join(cuts, (docs[id_col] == cuts["__llm_id"]) & (F.xxhash64(docs[text_col]) == cuts["__llm_key"]), "left")
     keep = F.aggregate(
         "__llm_spans", F.struct(F.lit("").alias("out"), F.lit(0).cast("bigint").alias("at")),
         lambda acc, s: F.struct(F.concat(acc["out"], F.substring(F.col(text_col), (acc["at"] + 1).cast("int"), F.greatest(s["begin"] - acc["at"], F.lit(0)).cast("int"))).alias("out"),

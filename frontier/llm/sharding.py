@@ -77,7 +77,7 @@ def place(df: DataFrame, shards: dict[str, int] | list[str], key: str = "doc_id"
     broadcast is bounded by a parameter and not by the data."""
     owner = lookup_table(shards, size)
     table = df.sparkSession.createDataFrame(list(enumerate(owner)), f"__llm_slot int, {shard_col} string")
-    kept = [c for c in df.columns if c not in (slot_col, shard_col)]
+    kept = [c for c in df.columns if c.lower() not in (slot_col.lower(), shard_col.lower())]   # Spark's names have no case
     slots = df.select(*kept, slot_of(df[key], size).alias("__llm_at"))
     return (slots.join(F.broadcast(table), F.col("__llm_at") == F.col("__llm_slot"), "left")
             .select(*kept, F.col("__llm_at").alias(slot_col), shard_col))

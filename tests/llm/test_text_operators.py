@@ -408,3 +408,19 @@ def test_placement_rows(spark):
         assert r.slot == int(hashlib.md5(key.encode()).hexdigest()[:15], 16) % 103 and r.shard == owner[r.slot]
     assert sharding.place(frame.where("false"), ["a"], size=103).count() == 0
     assert frame.select(F.lit(1)).count() == len(EDGE)
+
+
+def test_spans_are_cut_from_their_own_text(spark):
+    """An id with two texts: the one without benchmark text stays as it is."""
+    item = "one two three four five six seven eight nine ten"
+    rows = [(1, f"before {item} after"), (1, "this text has nothing of the benchmark at all"), (1, f"{item} first"), (2, None)]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    found = decontaminate.decontaminate(docs(spark, rows), bench, action="spans")
+    assert sorted(((r.doc_id, r.text) for r in found.collect()), key=str) == sorted(
+        [(1, "before  after"), (1, rows[1][1]), (1, " first"), (2, None)], key=str)
+
+
+def test_clashing_names_have_no_case(spark):
+    df = spark.createDataFrame([(1, "a", "b")], "doc_id long, Shard string, SLOT string")
+    placed = sharding.place(df, ["x", "y"])
+    assert placed.columns == ["doc_id", "slot", "shard"] and placed.first().shard in ("x", "y")
