@@ -253,10 +253,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """Per row of ``docs``: ``id_col``, ``n_shingles``, ``component_id`` and ``kept``."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     base = cut_lineage(_map_sets(texts, "n bigint, key binary, sig binary", _signed))
-    # a class is one set, with its smallest id; it has a number, since an id may hold several sets
+    # a class is one set, with its smallest id; it has a number, since an id may hold several sets.
+    # Numbers follow the ids: the first of a group of near copies tends to be what they were made from
     reps = base.where("n > 0 AND id IS NOT NULL").groupBy("key").agg(F.min("id").alias("doc"))
-    first = base.withColumnRenamed("id", "doc").join(reps, ["doc", "key"]).select("key", "doc", "sig").dropDuplicates(["key"])
-    classes = cut_lineage(first.withColumn("id", F.monotonically_increasing_id()))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = cut_lineage(reps.repartitionByRange(parts, "doc", "key").sortWithinPartitions("doc", "key").withColumn("cid", F.monotonically_increasing_id()))
+    classes = cut_lineage(base.withColumnRenamed("id", "doc").join(numbered, ["doc", "key"]).select("key", "doc", F.col("cid").alias("id"), "sig").dropDuplicates(["id"]))
 
     # 1. buckets with two classes or more; every member against the smallest and the largest id
     bands = _bands(classes, "bigint")
