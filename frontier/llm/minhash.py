@@ -245,6 +245,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         if state == before:
             break
         before = state
+        # the files of earlier rounds go when the driver's JVM has collected them
+        edges.sparkSession._jvm.System.gc()
     stars = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())
 
@@ -257,14 +259,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Numbers follow the ids: the first of a group of near copies tends to be what they were made from
     reps = base.where("n > 0 AND id IS NOT NULL").groupBy("key").agg(F.min("id").alias("doc"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    numbered = cut_lineage(reps.repartitionByRange(parts, "doc", "key").sortWithinPartitions("doc", "key").withColumn("cid", F.monotonically_increasing_id()))
+    numbered = reps.repartitionByRange(parts, "doc", "key").sortWithinPartitions("doc", "key").withColumn("cid", F.monotonically_increasing_id())
     classes = cut_lineage(base.withColumnRenamed("id", "doc").join(numbered, ["doc", "key"]).select("key", "doc", F.col("cid").alias("id"), "sig").dropDuplicates(["id"]))
 
     # 1. buckets with two classes or more; every member against the smallest and the largest id
     bands = _bands(classes, "bigint")
     ends = bands.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi")
     members = cut_lineage(bands.join(ends, "bucket"))
-    wanted = cut_lineage(classes.join(members.select("id").distinct(), "id").select("doc", F.struct("id", "key").alias("who")))
+    wanted = classes.join(members.select("id").distinct(), "id", "left_semi").select("doc", F.struct("id", "key").alias("who"))
     if wanted.count() <= MAX_BROADCAST_IDS:
         wanted = F.broadcast(wanted)
     sets = cut_lineage(_map_sets(texts.join(wanted, texts["id"] == wanted["doc"]).select("who", "text"), "key binary, shingles binary, sig binary", lambda found: [
