@@ -16,8 +16,11 @@ runs again writes the same records. Work is by row; there is no shuffle.
 Defined results: null and empty rows, and records of other types, give nothing. A record
 without an id, without the empty line, or whose block is no HTTP message gives a metadata
 record with an ``error`` field and no conversion record. A payload that is not text (by its
-content type) gives a metadata record only. Bytes that don't decode become U+FFFD. Repeated
-rows give repeated records, with equal ids.
+content type) gives a metadata record only. Bytes that don't decode become U+FFFD. Content
+codings are undone from the last to the first, gzip with all its members; a stream that is cut,
+and a coding that can't be undone (``br`` and others), give an ``error`` field and no conversion
+record. Text that isn't HTML or XML is taken as it is. Repeated rows give repeated records, with
+equal ids.
 """
 
 from __future__ import annotations
@@ -107,19 +110,41 @@ def payload(http: list[tuple[str, str]], body: bytes) -> bytes:
             out.append(body[end + 2:end + 2 + size])
             at = end + 2 + size + 2
         body = b"".join(out) if out else body
-    coding = (get(http, "Content-Encoding") or "").lower()
-    if coding in ("gzip", "x-gzip", "deflate"):
+    most = max(MIN_DECODED, MAX_RATIO * len(body))
+    codings = [c.strip().lower() for n, v in http if n.lower() == "content-encoding" for c in v.split(",")]
+    for coding in reversed(codings):
+        if coding in ("", "identity") or not body:
+            continue
+        if coding not in ("gzip", "x-gzip", "deflate"):
+            raise Malformed(f"the payload has the coding {coding}")
         try:
-            undo = zlib.decompressobj(47 if coding != "deflate" or body[:1] == b"\x78" else -15)
-            whole = undo.decompress(body, max(MIN_DECODED, MAX_RATIO * len(body)))
-            if undo.unconsumed_tail:
-                raise Malformed("the payload expands beyond all measure")
-            body = whole
+            body = _inflate(body, 31 if coding != "deflate" else 15, most)
         except zlib.error as e:
-            raise Malformed("the payload doesn't decompress") from e
+            if coding != "deflate":
+                raise Malformed("the payload doesn't decompress") from e
+            try:   # many servers send the bare stream
+                body = _inflate(body, -15, most)
+            except zlib.error:
+                raise Malformed("the payload doesn't decompress") from e
     return body
 
 
+def _inflate(data: bytes, form: int, most: int) -> bytes:
+    """A whole stream, of gzip all members; what follows the last one is no part of it."""
+    out, left = [], most
+    while True:
+        undo = zlib.decompressobj(form)
+        out.append(undo.decompress(data, left + 1))
+        left -= len(out[-1])
+        if left < 0:
+            raise Malformed("the payload expands beyond all measure")
+        if not undo.eof:
+            raise Malformed("the payload is cut")
+        data = undo.unused_data
+        if form != 31 or not data.startswith(b"\x1f\x8b"):
+            return b"".join(out)
+
+
 def _decode(data: bytes, http: list[tuple[str, str]]) -> tuple[str, str]:
     """Text and the name of its charset: by the HTTP header, else by the page, else UTF-8."""
     m = _CHARSET.search(get(http, "Content-Type") or "")
@@ -178,7 +203,7 @@ def derive(record: bytes | None) -> list[dict]:
         if kind.startswith("text/") or kind in ("application/xhtml+xml", "application/xml"):
             decoded, charset = _decode(data, http)
             out.append(("charset", charset))
-            if kind == "text/plain":
+            if kind not in ("text/html", "text/xml", "application/xhtml+xml", "application/xml"):
                 text = decoded
             else:
                 title = _TITLE.search(decoded)
