@@ -95,13 +95,38 @@ def scan(data: np.ndarray, offsets: np.ndarray, grams: GramSet):
     return words, np.cumsum(hit)[:-1] > 0, items
 
 
+def _pieces(rows: DataFrame, n: int, most: int) -> DataFrame:
+    """Items (``i``, ``t``) over ``most`` bytes in pieces of about that size, one row each under the
+    same id. Neighbours share ``n - 1`` words, so every window lies whole in a piece and none is added."""
+    def cut(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                one = batch.slice(k, 1)
+                data, offsets = K.text_bytes(one.column(1))
+                words = K.find_words(data, offsets, K.ALNUM, K.LOWER) if offsets[1] - offsets[0] > most else None
+                count = 0 if words is None else len(words.starts)
+                if count <= n:
+                    yield one
+                    continue
+                at = end = 0
+                while end < count:
+                    end = min(count, max(at + n, int(np.searchsorted(words.ends, words.starts[at] + most, "right"))))
+                    text = data[words.starts[at]:words.ends[end - 1]].tobytes().decode()
+                    yield pa.RecordBatch.from_arrays([one.column(0), pa.array([text], pa.string())], names=["i", "t"])
+                    at = end - n + 1
+
+    K.bounded_batches(rows.sparkSession)
+    return rows.mapInArrow(cut, f"i {rows.schema['i'].dataType.simpleString()}, t string")
+
+
 def _parts(benchmark: DataFrame, n: int, item_col: str, text_col: str):
     """The hash sets, one at a time: usually one; more where the benchmark is over the bound."""
     rows = benchmark.select(F.col(item_col).alias("i"), F.col(text_col).alias("t")).where("t is not null")
     size = rows.agg(F.sum(F.octet_length("t")).alias("all"), F.max(F.octet_length("t")).alias("one")).first()
     total = size["all"] or 0
     if (size["one"] or 0) > MAX_SET_BYTES:
-        raise ValueError(f"a benchmark item over {MAX_SET_BYTES} bytes")
+        rows = _pieces(rows, n, MAX_SET_BYTES // 4)
+        total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     parts = 1 if total <= MAX_SET_BYTES else -(-2 * total // MAX_SET_BYTES)   # half full on average
     for p in range(parts):
         part = rows if parts == 1 else rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == p)
