@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from . import kernels as K
 from .grams import Texts
-from .labelled import sample
+from .labelled import one_text, sample
 
 #: Labelled rows that the model is trained on; size of the hash space and of the vectors.
 MAX_TRAIN = 3000
@@ -106,7 +106,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         where: Column | None = None, max_train: int = MAX_TRAIN) -> Model:
     """The model of at most ``max_train`` labelled rows (those for which ``where`` holds)."""
     chosen = sample(labels, id_col, label_col, max_train, where)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").select("id", "label", "text")
+    texts = one_text(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), chosen)
 
     def run(batches):
         for batch in batches:

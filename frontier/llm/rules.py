@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .labelled import sample
+from .labelled import one_text, sample
 
 #: Labelled rows that the list is learned from.
 MAX_TRAIN = 20000
@@ -188,8 +188,8 @@ def learn_rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text
                 max_train: int = MAX_TRAIN) -> list[list[Condition]]:
     """The decision list from at most ``max_train`` labelled rows (1 is good, 0 is low)."""
     chosen = sample(labels, id_col, label_col, max_train)
-    train = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id", "left_semi")
-    rows = statistics(train, "id", "text").join(F.broadcast(chosen), "id").orderBy("id", *COUNTS).select("label", *COUNTS).toPandas()
+    train = one_text(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), chosen)
+    rows = statistics(train.select("id", "text"), "id", "text").join(F.broadcast(chosen), "id").orderBy("id", *COUNTS).select("label", *COUNTS).toPandas()
     if rows["label"].nunique() < 2:
         return []
     x = feature_arrays({c: rows[c].to_numpy() for c in COUNTS})

@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from frontier.llm import linededup, minhash, quality, toxicity
+from frontier.llm import linededup, minhash, quality, rules, toxicity
 from frontier.llm.grams import Texts
 from frontier.llm.labelled import held_out, sample
 from frontier.llm.queries import QUERIES
@@ -345,6 +345,18 @@ def test_scores_of_edge_rows(spark):
     assert {r.score for r in quality.score(frame, none).collect()} == {0.5}
 
 
+def test_samples_of_ids_that_repeat(spark):
+    """A sampled id may hold any number of rows; one text of it is learned from."""
+    rng = random.Random(4)
+    rows = [(k, " ".join(rng.choice(["good", "fine"] if k % 2 else ["bad", "poor"]) + str(rng.randrange(30)) for _ in range(60))) for k in range(40)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, quality int")
+    once = spark.createDataFrame(rows, "doc_id long, text string")
+    often = once.unionByName(once.where("doc_id = 3").crossJoin(spark.range(50)).drop("id"))
+    a, b = quality.fit(once, labels), quality.fit(often, labels)
+    assert np.array_equal(a.weights, b.weights) and a.prior == b.prior
+    assert rules.learn_rules(once, labels) == rules.learn_rules(often, labels)
+
+
 def test_learned_scores_are_repeatable(spark):
     one, two = (QUERIES["op5_quality"](spark, SF).orderBy("doc_id").toPandas() for _ in range(2))
     pd.testing.assert_frame_equal(one, two)
