@@ -1,7 +1,8 @@
 """HTML text as a sequence of leaf blocks, each with its path of tags.
 
 One pass over the markup with a small element stack; comments, scripts, styles and other
-raw-text elements give no text. Every step moves forward, so broken markup stays linear."""
+raw-text elements give no text. What a browser shows of formulas, objects and ``xmp`` is text
+like any other. Every step moves forward, so broken markup stays linear."""
 
 from __future__ import annotations
 
@@ -13,10 +14,13 @@ from dataclasses import dataclass, field
 #: Fixed values of the HTML standard: elements without end tag, elements whose content is
 #: raw text, and elements that stand inside a line.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-RAW = {"script", "style", "title", "textarea", "noscript", "iframe", "noembed", "noframes", "template", "svg", "math", "object", "select", "xmp"}
+RAW = {"script", "style", "title", "textarea", "noscript", "iframe", "noembed", "noframes", "template", "svg", "select", "annotation", "annotation-xml"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark",
-    "nobr", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img",
+    "nobr", "object", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img",
+    # formulas
+    "math", "merror", "mfrac", "mi", "mmultiscripts", "mn", "mo", "mover", "mpadded", "mphantom", "mprescripts", "mroot", "mrow", "ms", "mspace", "msqrt",
+    "mstyle", "msub", "msubsup", "msup", "mtable", "mtd", "mtext", "mtr", "munder", "munderover", "semantics",
 }
 #: Elements that end an open paragraph, and elements that end an open element of their kind.
 ENDS_P = {
@@ -30,7 +34,7 @@ _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 _ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|hidden|aria-hidden|style|href|data-[a-z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _PART = re.compile(r"[a-z]+")
-#: Innermost open elements that a block's path names (deeper nesting stays linear).
+#: Innermost open elements that a block's path names one by one (deeper nesting stays linear).
 MAX_PATH = 64
 #: White space inside a block (HTML white space and the vertical tab); a no-break space is a character.
 _BLANK = re.compile(r"[ \t-\r]+")
@@ -79,10 +83,13 @@ def _tokens(attributes: str) -> tuple[str, ...]:
     return tuple(out)
 
 
-def read(text: str) -> list[Block]:
-    """The blocks of a page in order. Inline elements don't part a block, ``br`` does."""
+def read(text: str, telling: frozenset[str] = frozenset()) -> list[Block]:
+    """The blocks of a page in order. Inline elements don't part a block, ``br`` does. A path
+    holds the innermost elements; below deeper nesting it begins with the ``telling`` names and
+    class, id and role words of all open elements, one element each."""
     stack: list[Element] = []
     opened: Counter[str] = Counter()
+    told: Counter[str] = Counter()
     blocks: list[Block] = []
     block = _Open()
 
@@ -98,13 +105,20 @@ def read(text: str) -> list[Block]:
         if not block.parts:
             if not part.strip():
                 return
-            block.path = tuple(stack[-MAX_PATH:])
+            block.path = (*outer(), *stack[-MAX_PATH:])
         block.parts.append(part)
         if any(e.name == "a" for e in stack[-3:]):
             block.link_chars += len(part)
 
+    def outer() -> list[Element]:
+        if len(stack) <= MAX_PATH:
+            return []
+        return [*(Element(n) for n in sorted(telling) if opened[n] > 0), *(Element("", (t,)) for t in sorted(telling) if told[t] > 0)]
+
     def close(k: int) -> None:
-        opened.subtract(e.name for e in stack[k:])
+        for e in stack[k:]:
+            opened[e.name] -= 1
+            told.subtract(e.tokens)
         del stack[k:]
 
     def leave(names: set[str]) -> None:
@@ -154,6 +168,15 @@ def read(text: str) -> list[Block]:
             if opened[name]:
                 close(next(k for k in range(len(stack) - 1, -1, -1) if stack[k].name == name))
             continue
+        if name == "xmp":   # shown as it is written
+            end = re.compile(r"</xmp(?=[\s/>])", re.I).search(text, at)
+            stack.append(Element(name, _tokens(tag[3])))
+            add(html.escape(text[at:n if end is None else end.start()], quote=False))
+            flush()
+            stack.pop()
+            after_end = -1 if end is None else text.find(">", end.start())
+            at = n if after_end < 0 else after_end + 1
+            continue
         if name in RAW:
             if not tag[3].endswith("/"):
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(text, at)
@@ -168,5 +191,6 @@ def read(text: str) -> list[Block]:
             leave(ENDS_OWN[name])
         stack.append(Element(name, _tokens(tag[3])))
         opened[name] += 1
+        told.update(stack[-1].tokens)
     flush()
     return blocks

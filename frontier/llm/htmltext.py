@@ -15,8 +15,9 @@ so that the labeller doesn't lean on one kind of page; and with no names at all,
 tell what names don't.
 
 Defined results: null and empty pages, and pages without text, have the empty text; blocks
-are never cut or capped; repeated rows give equal rows; with no page to learn from, the weak
-labels' rule would have nothing to apply to either, and the result is empty.
+are never cut or capped; repeated rows give equal rows. Of a page over ``LONG`` bytes, a few
+runs of its blocks are learned, taken at even distances by the tasks; shorter sampled pages come
+whole to the driver. Without a labeller (``None``) the weak labels decide.
 """
 
 from __future__ import annotations
@@ -35,10 +36,12 @@ from . import kernels as K
 from .blocks import Block, Element, read
 from .labelled import smallest
 
-#: Pages that are learned from, their altered forms, and the longest such page (bytes).
-MAX_TRAIN, FORMS, MAX_TRAIN_BYTES = 240, 4, 1 << 17
+#: Pages that are learned from, their altered forms, the bytes beyond which a page is learned in
+#: runs of blocks, the number of its runs and the blocks of one.
+MAX_TRAIN, FORMS, LONG, RUNS, RUN = 240, 4, 1 << 17, 4, 48
 PATH_DIM, WORD_DIM, SIZE_DIM, HIDDEN = 2048, 512, 64, 24
-EPOCHS, BATCH, STEP_SIZE, SEED = 14, 32, 0.01, 5
+#: A sample of few examples is gone through more often, for at least ``LEAST_STEPS`` steps.
+EPOCHS, LEAST_STEPS, BATCH, STEP_SIZE, SEED = 14, 100, 32, 0.01, 5
 DIM = PATH_DIM + WORD_DIM + SIZE_DIM
 
 #: Names by which elements tell what they hold.
@@ -51,6 +54,7 @@ OTHER_NAMES = {
     "disclaimer", "tags", "byline", "meta", "button", "dialog", "skip",
 }
 OTHER_TAGS = {"nav", "header", "footer", "aside", "form", "button", "menu", "dialog", "head"}
+TELLING = frozenset(MAIN_NAMES | OTHER_NAMES | OTHER_TAGS)
 
 
 def weak_label(block: Block) -> bool:
@@ -332,7 +336,7 @@ def altered(page: str, rng: np.random.Generator) -> tuple[str, list[bool]] | Non
     tail = "".join(piece(k) for k in pick(int(rng.integers(0, 4)))) + page[end + len("</article>"):]
     whole = f'{head}<div data-main{mark}="">{holder}{inner}{close}</div>{tail}'
     labels = []
-    for b in read(whole):
+    for b in read(whole, TELLING | {mark, "main" + mark}):
         tokens = {t for e in b.path for t in e.tokens}
         labels.append("main" + mark in tokens and mark not in tokens)
     return whole, labels
@@ -351,26 +355,41 @@ def _neutral(blocks: list[Block]) -> list[Block]:
     return [Block(b.text, tuple(Element("div" if e.name in telling else e.name) for e in b.path), b.link_chars) for b in blocks]
 
 
-def train(pages: list[str]) -> Model | None:
+def long_runs(page: str) -> list[tuple[list[tuple[list[int], list[float]]], list[bool]]]:
+    """Examples (features and weak labels) of a long page: runs of blocks, with names and without."""
+    blocks = read(page, TELLING)
+    out = []
+    for at in sorted({(len(blocks) - RUN) * k // (RUNS - 1) if len(blocks) > RUN else 0 for k in range(RUNS)}) if blocks else []:
+        run = blocks[at:at + RUN]
+        labels = [weak_label(b) for b in run]
+        out += [(features(run), labels), (features(_neutral(run)), labels)]
+    return out
+
+
+def train(pages: list[str], more: list[tuple[list[tuple[list[int], list[float]]], list[bool]]] = ()) -> Model | None:
+    """The labeller of whole pages and of ``more`` examples (:func:`long_runs`)."""
     rng = np.random.default_rng(SEED)
     rows: list[tuple[list[tuple[list[int], list[float]]], list[bool]]] = []
     for page in pages:
-        blocks = read(page)
+        blocks = read(page, TELLING)
         if blocks:
             labels = [weak_label(b) for b in blocks]
             rows += [(features(blocks), labels), (features(_neutral(blocks)), labels)]
         for _ in range(FORMS):
             changed = altered(page, rng)
             if changed is not None:
-                rows.append((features(_without_marks(read(changed[0]))), changed[1]))
+                rows.append((features(_without_marks(read(changed[0], TELLING))), changed[1]))
+    rows += more
     if not rows:
         return None
     model = new_model(rng)
     params = model.arrays()
     first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     step = 0
-    total = EPOCHS * -(-len(rows) // BATCH)
-    for _ in range(EPOCHS):
+    per_epoch = -(-len(rows) // BATCH)
+    epochs = max(EPOCHS, -(-LEAST_STEPS // per_epoch))
+    total = epochs * per_epoch
+    for _ in range(epochs):
         order = sorted(range(len(rows)), key=lambda i: (len(rows[i][0]), rng.random()))
         batches = [order[a:a + BATCH] for a in range(0, len(order), BATCH)]
         for k in rng.permutation(len(batches)):
@@ -399,10 +418,11 @@ def _dropped(ids: list[int], weights: list[float], words_off: bool, rng: np.rand
 
 
 def label(model: Model | None, pages: list[list[Block]], group: int = 64) -> list[np.ndarray]:
-    """Per page whether each block is main text; pages of like length run together."""
-    out = [np.zeros(len(p), bool) for p in pages]
+    """Per page whether each block is main text; pages of like length run together. Without a
+    model the weak labels decide."""
     if model is None:
-        return out
+        return [np.array([weak_label(b) for b in p], bool) for p in pages]
+    out = [np.zeros(len(p), bool) for p in pages]
     order = sorted((i for i in range(len(pages)) if pages[i]), key=lambda i: len(pages[i]))
     at = 0
     while at < len(order):
@@ -417,11 +437,28 @@ def label(model: Model | None, pages: list[list[Block]], group: int = 64) -> lis
 
 
 def fit(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", max_train: int = MAX_TRAIN) -> Model | None:
-    """The labeller of at most ``max_train`` different pages (those with the smallest hash)."""
-    rows = pages.select(F.col(html_col).alias("h")).where(F.col("h").isNotNull() & (F.octet_length("h") <= MAX_TRAIN_BYTES))
+    """The labeller of at most ``max_train`` different pages of any length (those with the smallest
+    hash). What comes to the driver is bounded by ``LONG`` bytes or ``RUNS`` runs a page."""
+    rows = pages.select(F.col(html_col).alias("h")).where(F.col("h").isNotNull())
     keys = smallest(rows.select(F.xxhash64("h").alias("k")).distinct(), "k", max_train)
     chosen = rows.withColumn("k", F.xxhash64("h")).join(F.broadcast(keys), "k").groupBy("k").agg(F.min("h").alias("h"))
-    return train([r.h for r in chosen.orderBy("k").collect()])
+
+    def examples(batches):
+        for batch in batches:
+            for k, h in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                for i, (bags, labels) in enumerate(long_runs(h.as_py())):
+                    yield pa.RecordBatch.from_pydict({"k": [k], "i": [i], "ids": [[a for a, _ in bags]], "weights": [[b for _, b in bags]], "labels": [labels]},
+                                                     schema=_EXAMPLES)
+
+    K.bounded_batches(pages.sparkSession)
+    runs = chosen.where(F.octet_length("h") > LONG).select("k", "h").mapInArrow(
+        examples, "k bigint, i int, ids array<array<int>>, weights array<array<double>>, labels array<boolean>")
+    more = [(list(zip(r.ids, r.weights, strict=True)), r.labels) for r in runs.orderBy("k", "i").collect()]
+    return train([r.h for r in chosen.where(F.octet_length("h") <= LONG).orderBy("k").collect()], more)
+
+
+_EXAMPLES = pa.schema([("k", pa.int64()), ("i", pa.int32()), ("ids", pa.list_(pa.list_(pa.int32()))), ("weights", pa.list_(pa.list_(pa.float64()))),
+                       ("labels", pa.list_(pa.bool_()))])
 
 
 def extract(pages: DataFrame, model: Model | None, id_col: str = "page_id", html_col: str = "html", extra: tuple[str, ...] = ("url",)) -> DataFrame:
@@ -433,7 +470,7 @@ def extract(pages: DataFrame, model: Model | None, id_col: str = "page_id", html
         for batch in batches:
             for lo in range(0, batch.num_rows, 128):
                 part = batch.slice(lo, 128)
-                blocks = [read(h or "") for h in part.column(0).to_pylist()]
+                blocks = [read(h or "", TELLING) for h in part.column(0).to_pylist()]
                 texts = [" ".join(b.text for b, good in zip(p, keep, strict=True) if good)
                          for p, keep in zip(blocks, label(shared.value, blocks), strict=True)]
                 yield pa.RecordBatch.from_arrays(

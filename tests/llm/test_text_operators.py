@@ -5,6 +5,7 @@ import gzip
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -111,6 +112,17 @@ def test_decontamination_in_several_sets(spark, monkeypatch):
         (i, *brute_windows(t, items, 4)[:2], tuple(brute_windows(t, items, 4)[2])) for i, t in rows}
 
 
+def test_decontamination_by_long_items(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "MAX_SET_BYTES", 400)
+    rng = random.Random(6)
+    items = [(k, " ".join(rng.choice("abcdé") for _ in range(n))) for k, n in enumerate([900, 12, 3, 700, 1])] + [(7, "z" * 900), (8, "y" * 500 + " " + "é" * 300)]
+    rows = [(k, " ".join(rng.choice("abcdé") for _ in range(300))) for k in range(12)]
+    rows += [(50, "q " + items[0][1][401:489] + " q"), (51, "Z" * 900), (52, items[6][1]), (53, "y" * 500), (54, items[3][1])]
+    found = decontaminate.contamination(docs(spark, rows), spark.createDataFrame(items, "item_id long, text string"), n=4).collect()
+    assert {(r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in found} == {
+        (i, *brute_windows(t, items, 4)[:2], tuple(brute_windows(t, items, 4)[2])) for i, t in rows}
+
+
 # byte-level BPE
 
 TOKENIZER = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
@@ -313,7 +325,36 @@ def test_pages_edge_rows(spark, labeller):
     assert len(out) == 5 and all(r.text == "" and r.n_chars == 0 for r in out if r.page_id is not None)
     assert htmltext.extract(pages.where("false"), labeller).count() == 0
     assert htmltext.fit(pages.where("false")) is None
-    assert {r.text for r in htmltext.extract(pages, None).collect()} == {""}
+    assert {r.text for r in htmltext.extract(pages, None).collect()} == {"", "a b c"}   # the weak labels decide
+
+
+def test_labeller_learns_from_long_pages(spark):
+    page = "<nav>{0}</nav><article>{1}</article><footer>foot</footer>"
+    words = lambda k, n: " ".join(f"w{(k * 7 + i) % 11:04}" for i in range(n))
+    rows = [(k, "u", page.format("".join(f"<a href=x>m{i}</a><br>" for i in range(12)), "".join(f"<p>{words(i + k, 90)}.</p>" for i in range(400)))) for k in range(3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert all(len(r[2]) > htmltext.LONG for r in rows)
+    model = htmltext.fit(pages)
+    assert model is not None
+    for r in htmltext.extract(pages, model).collect():
+        assert r.text == " ".join(f"{words(i + r.page_id, 90)}." for i in range(400))
+
+
+def test_paths_below_deep_nesting():
+    deep = lambda outer, text: f"<{outer}>" + "<div>" * 300 + f"<p>{text}</p>" + "</div>" * 300 + f"</{outer.split()[0]}>"
+    page = deep("article", "told") + deep('div class="comments"', "no") + "<article><section class=reply>" + deep("div", "no") + "</section><p>too</p></article>"
+    found = blocks.read(page, htmltext.TELLING)
+    assert [(b.text, htmltext.weak_label(b)) for b in found] == [("told", True), ("no", False), ("no", False), ("too", True)]
+    assert max(len(b.path) for b in found) <= blocks.MAX_PATH + 2 * len(htmltext.TELLING)
+
+
+def test_formulas_objects_and_xmp_are_text():
+    page = ("<article><p>The law <math><mi>e</mi><mo>=</mo><mn>3</mn><annotation>tex</annotation></math> holds</p>"
+            "<p>see <object data=x>the <b>figure</b></object></p><xmp>a <b> &amp; c</xmp><p>end</p></article>")
+    found = blocks.read(page, htmltext.TELLING)
+    assert [b.text for b in found] == ["The law e=3 holds", "see the figure", "a <b> &amp; c", "end"]
+    assert all(htmltext.weak_label(b) for b in found)
+    assert [b.text for b in blocks.read("<p>x<xmp>open <i>")] == ["x", "open <i>"]
 
 
 # WARC
@@ -351,6 +392,27 @@ def test_warc_derivatives(spark):
     assert warc.derivatives(frame.where("false")).count() == 0
 
 
+def test_warc_codings():
+    page, twice = "<p>first</p>".encode(), "<p>second</p>".encode()
+    plain = zlib.compressobj(wbits=-15)
+    cases = {
+        "Content-Encoding: gzip": (gzip.compress(page) + gzip.compress(twice), "first\nsecond"),
+        "Content-Encoding: x-gzip": (gzip.compress(page) + b"\0\0", "first"),
+        "Content-Encoding: deflate, gzip": (gzip.compress(zlib.compress(page)), "first"),
+        "Content-Encoding: deflate\r\nContent-Encoding: identity": (plain.compress(page) + plain.flush(), "first"),
+        "Content-Encoding:  GZIP": (gzip.compress(page * 4000)[:-9], None),
+        "Content-Encoding: br": (b"\x0b\x05\x80", None),
+        "Content-Encoding: gzip, zstd": (gzip.compress(page), None),
+        "Content-Encoding: Gzip": (b"no gzip", None),
+        "Content-Type: text/css": (b"q::before { content: '<q' }", "q::before { content: '<q' }"),
+    }
+    for head, (body, text) in cases.items():
+        made = warc.derive(response(body, head))
+        assert [r["warc_type"] for r in made] == ["metadata"] + ["conversion"] * (text is not None), head
+        assert ("error: " in made[0]["block"]) == (text is None)
+        assert text is None or made[1]["block"] == text
+
+
 def test_warc_files_read_back(spark, tmp_path):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     derived = warc.derivatives(warc.responses(pages))
