@@ -108,7 +108,7 @@ def chain_micro_batch(spark: SparkSession, table_root: str, bucket: str, paths:
     root, version, day = table_root.rstrip("/"), batch_id + 1, as_of[:10]
     if committed_version(spark, root) >= version:
         return   # run again after its commit
-    found = cut_lineage(buckets.parse(buckets.documents(buckets.whole_files(spark.read, paths)), SC.CRAWL_RESULT)) if paths else None
+    found = cut_lineage(buckets.records_of(spark, paths, SC.CRAWL_RESULT)) if paths else None
     if found is not None:
         unusable = F.col("bad").isNotNull() | F.col("url").isNull()
         (found.where(unusable).select("source_file", F.coalesce("bad", F.to_json(F.struct("status", "fetched_at"))).alias("record"))
