@@ -115,6 +115,29 @@ _FOLD_COALESCE = ("title", "hreflang_count", "has_json_ld", "last_modified", "et
                   "is_redirect", "redirect_hop_count")
 
 
+def _decided(state: DataFrame, decoded: DataFrame, more: list[RUN.Running]) -> DataFrame:
+    """Decoded records beside the URL's old row (``o_`` columns) with ``is_upd``, ``__domain`` (of
+    the URL's first record), ``__rn`` and ``more`` running aggregates."""
+    is_ok = F.col("is_ok")
+    old = state.select("url", *[F.col(c).alias("o_" + c) for c in SC.URL_STATE.fieldNames() if c != "url"], F.lit(True).alias("o_exists"))
+    j = RUN.run(RUN.in_blocks(decoded, "url", "seq"), "url", "seq", [
+        RUN.Running("__prev", "last", F.when(is_ok, F.col("content_hash")), before=True), RUN.Running("__domain", "first", F.col("domain_id")), *more])
+    h = F.col("content_hash")
+    return j.join(old, "url", "left").withColumn("is_upd", is_ok & h.isNotNull() & ~h.eqNullSafe(F.coalesce("__prev", "o_content_hash")))
+
+
+def record_outcomes(state: DataFrame, results: DataFrame, as_of) -> DataFrame:
+    """Per batch record what :func:`batch_metrics` and :func:`domain_pause` count (domain_id, seq, is_ok,
+    is_upd, new_link, record_fail_reason, inc_ok, inc_fail, inc_upd), as :func:`fold_results` gives it
+    but without the post-images and their second pass."""
+    few = decode_results(results, as_of).select("url", "seq", "domain_id", "is_ok", "content_hash", "fail_reason", "inc_ok", "inc_fail")
+    has_old = F.coalesce(F.col("o_exists"), F.lit(False))
+    return _decided(state, few, []).select(
+        F.when(has_old, F.col("o_domain_id")).otherwise(F.col("__domain")).cast("long").alias("domain_id"), "seq", "is_ok", "is_upd",
+        F.col("fail_reason").alias("record_fail_reason"), (~has_old & (F.col("__rn") == 1)).alias("new_link"),
+        "inc_ok", "inc_fail", F.col("is_upd").cast("int").alias("inc_upd"))
+
+
 def fold_results(state: DataFrame, results: DataFrame, as_of) -> DataFrame:
     """UM-1..UM-4: fold a batch of fetch results into URL state.
 
@@ -123,21 +146,16 @@ def fold_results(state: DataFrame, results: DataFrame, as_of) -> DataFrame:
     ``new_link`` (row inserted the URL), ``is_last`` (final image of the URL
     in this batch) and ``fail_reason`` of the record.
     """
-    b = decode_results(results, as_of)
-    old_cols = [c for c in SC.URL_STATE.fieldNames() if c != "url"]
-    old = state.select("url", *[F.col(c).alias("o_" + c) for c in old_cols], F.lit(True).alias("o_exists"))
     o = lambda c: F.col("o_" + c)
     has_old = F.coalesce(F.col("o_exists"), F.lit(False))
     is_ok, when = F.col("is_ok"), F.when
     # first pass: what doesn't depend on updates; second pass: updates, which need the hash before each record
-    j = RUN.run(RUN.in_blocks(b, "url", "seq"), "url", "seq", [
-        RUN.Running("__prev", "last", when(is_ok, F.col("content_hash")), before=True), RUN.Running("__ok", "sum", F.col("inc_ok")),
+    j = _decided(state, decode_results(results, as_of), [
+        RUN.Running("__ok", "sum", F.col("inc_ok")),
         RUN.Running("__fail", "sum", F.col("inc_fail")), RUN.Running("__ok_at", "last", when(is_ok, F.col("fetched_at"))),
-        RUN.Running("__domain", "first", F.col("domain_id")), RUN.Running("__hash", "first", F.col("content_hash")),
+        RUN.Running("__hash", "first", F.col("content_hash")),
         RUN.Running("__robots", "last", when(F.col("robots_bits") != 0, F.col("robots_bits"))),
         *[RUN.Running(f"__l_{c}", "last", F.col(c)) for c in _FOLD_COALESCE]])
-    j = j.join(old, "url", "left")
-    j = j.withColumn("is_upd", is_ok & F.col("content_hash").isNotNull() & ~F.col("content_hash").eqNullSafe(F.coalesce("__prev", o("content_hash"))))
     j = cut_lineage(j.withColumn("__inc_upd", F.col("is_upd").cast("int")).withColumnRenamed("__rn", "__place").withColumnRenamed("__final", "__last"))
     j = RUN.run(j, "url", "seq", [
         RUN.Running("__upd", "sum", F.col("__inc_upd")), RUN.Running("__upd_at", "last", when(F.col("is_upd"), F.col("fetched_at"))),
