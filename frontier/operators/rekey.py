@@ -9,6 +9,7 @@ predicate (no theta join)."""
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -145,30 +146,6 @@ def follow_counters(counters: DataFrame, moved_state: DataFrame) -> DataFrame:
     return counters.drop("shard_id").join(moved_state.select("url", "shard_id"), "url", "inner")
 
 
-def merge_rows(rows: DataFrame, keys: list[str], rules: Mapping[str, str], order_col: str | None = None) -> DataFrame:
-    """UM-14 / RK-3 / RK-5: collapse rows that collide on ``keys`` with per
-    column policies: ``add`` (sum), ``max`` (GREATEST), ``min``, ``or``,
-    ``first_non_null`` (coalesce-old: value of the earliest row by
-    ``order_col``), ``newest`` (value of the latest row by ``order_col``)."""
-    aggs = []
-    for c, rule in rules.items():
-        if rule == "add":
-            aggs.append(F.sum(c).alias(c))
-        elif rule == "max":
-            aggs.append(F.max(c).alias(c))
-        elif rule == "min":
-            aggs.append(F.min(c).alias(c))
-        elif rule == "or":
-            aggs.append(F.bool_or(c).alias(c))
-        elif rule == "first_non_null":
-            aggs.append(F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order_col))).alias(c))
-        elif rule == "newest":
-            aggs.append(F.max_by(F.col(c), F.col(order_col)).alias(c))
-        else:
-            raise ValueError(rule)
-    return rows.groupBy(*keys).agg(*aggs)
-
-
 def classify_domains(registry: DataFrame, rules: U.SuffixRules | None) -> DataFrame:
     """RK-6: clean (domain is its own eTLD+1), dirty (a subdomain: canonical =
     eTLD+1), unparseable (no eTLD+1), junk (not a DNS host)."""
@@ -194,12 +171,18 @@ def drop_oversize(t: DataFrame, max_bytes: int = 2500) -> DataFrame:
     return t.filter(F.octet_length("url") <= max_bytes)
 
 
-def rows_per_domain(tables: Mapping[str, DataFrame], domains: DataFrame) -> DataFrame:
-    """AG-13 / RJ-13: rows per (table, domain) of the given domains."""
-    d = domains.select("domain_id").distinct()
-    parts = [t.join(d, "domain_id", "left_semi").groupBy("domain_id").agg(F.count(F.lit(1)).alias("rows"))
-             .withColumn("table", F.lit(name)) for name, t in tables.items()]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u
+def owned_rows(tables: Mapping[str, DataFrame], state: DataFrame, domains: DataFrame) -> DataFrame:
+    """AG-13 / RJ-13: rows per (``table``, ``domain_id``) of the given domains, the dry run of a
+    move. Rows of a table without ``domain_id`` belong to the domain of the URL's state row in
+    their shard; a row counts once, however many state rows there are."""
+    d = domains.select("domain_id").where("domain_id IS NOT NULL").distinct()
+    owners = state.join(d, "domain_id", "left_semi").select("url", "shard_id", "domain_id").distinct()
+    parts = []
+    for name, t in tables.items():
+        if "domain_id" in t.columns:
+            rows = t.join(d, "domain_id", "left_semi").groupBy("domain_id").agg(F.count(F.lit(1)).alias("rows"))
+        else:   # counted by URL before the join
+            rows = (t.groupBy("url", "shard_id").agg(F.count(F.lit(1)).alias("n")).join(owners, ["url", "shard_id"])
+                    .groupBy("domain_id").agg(F.sum("n").alias("rows")))
+        parts.append(rows.select(F.lit(name).alias("table"), "domain_id", "rows"))
+    return reduce(DataFrame.unionByName, parts)

@@ -30,6 +30,8 @@ def ranked_url_order() -> list[Column]:
     return [F.when(F.col("url_score_updated_at").isNull(), 1).otherwise(0)] + example_url_order()
 
 
+#: Parts of a shard that a claim orders on their own first.
+CLAIM_PARTS = 32
 ORDERS = {"example": example_url_order, "ranked": ranked_url_order, "read_only": example_url_order}
 
 
@@ -138,6 +140,13 @@ def queued_domains(queue: DataFrame) -> DataFrame:
     return queue.select("domain_id").distinct()
 
 
+def queue_counts(queue: DataFrame) -> DataFrame:
+    """SS-6: one row: ``batches`` that wait, ``domain_batches`` (those that name a domain) and ``domains``."""
+    per = queue.groupBy("domain_id").agg(F.count("*").alias("n"))
+    return per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("batches"),
+                   F.coalesce(F.sum(F.when(F.col("domain_id").isNotNull(), F.col("n"))), F.lit(0)).alias("domain_batches"), F.count("domain_id").alias("domains"))
+
+
 def pop_batches(queue: DataFrame, limit: int = 0, in_flight: DataFrame | None = None):
     """WT-7: oldest batches first (generated_at, domain_id), skipping domains
     in flight; ``limit`` 0 = all.  Returns ``(popped, remaining)``."""
@@ -156,14 +165,15 @@ def pop_batches(queue: DataFrame, limit: int = 0, in_flight: DataFrame | None =
 def claim_unscored(state: DataFrame, per_shard_limit: int) -> DataFrame:
     """WT-6 / PF-5: oldest unscored crawlable rows of every shard (first_seen
     ascending, NULLs last, then url), at most ``per_shard_limit`` per shard.
-    Spark cuts each task's rows to the limit before the shuffle as long as the
-    limit is within its group-limit threshold, so the threshold is raised to it."""
-    conf, key = state.sparkSession.conf, "spark.sql.optimizer.windowGroupLimitThreshold"
-    if 0 <= int(conf.get(key, "1000")) < per_shard_limit:
-        conf.set(key, str(per_shard_limit))
+    Two levels: every part of a shard (by URL hash) keeps its oldest, so a shard with a
+    third of the table is ordered by ``CLAIM_PARTS`` tasks, and one task orders no more than
+    ``CLAIM_PARTS`` x the limit, whatever the limit is."""
     rows = state.filter(F.col("should_crawl") & F.col("url_score_updated_at").isNull())
-    w = Window.partitionBy("shard_id").orderBy(F.col("first_seen").asc_nulls_last(), F.col("url"))
-    return rows.withColumn("claim_rank", F.row_number().over(w)).filter(F.col("claim_rank") <= per_shard_limit)
+    oldest = [F.col("first_seen").asc_nulls_last(), F.col("url")]
+    part = Window.partitionBy("shard_id", "__part").orderBy(*oldest)
+    first = (rows.withColumn("__part", F.pmod(F.xxhash64("url"), F.lit(CLAIM_PARTS))).withColumn("__rank", F.row_number().over(part))
+             .filter(F.col("__rank") <= per_shard_limit).drop("__part", "__rank"))
+    return first.withColumn("claim_rank", F.row_number().over(Window.partitionBy("shard_id").orderBy(*oldest))).filter(F.col("claim_rank") <= per_shard_limit)
 
 
 def allocate_refill(queued_per_offerer: DataFrame, shard_demand: DataFrame, low_watermark: int,

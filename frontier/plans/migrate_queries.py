@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as SC
 from ..operators import migrate as MG
+from ..operators import rekey as RK
 from . import fixtures as FX
 from .registry import register, table
 
@@ -224,3 +225,15 @@ def merge_subdomains_stats(spark, sf_dir):
     """RK-5: daily stats add up; a reason that both sides have takes the last side's count."""
     d = _done(spark, sf_dir, "merge").domain_stats
     return d.select("domain_id", F.col("event_date").cast("string").alias("event_date"), "num_fetch_ok", F.explode("fail_reasons").alias("reason", "n"))
+
+
+@register("unsplit_owned_rows", oracle=f"""WITH {_MOVES['unsplit']}, own AS (SELECT DISTINCT domain_id FROM mv)
+SELECT 'url_state' AS "table", domain_id, count(*) AS rows FROM st SEMI JOIN own USING (domain_id) GROUP BY domain_id
+UNION ALL SELECT 'domain_stats_daily', domain_id, count(*) FROM ds SEMI JOIN own USING (domain_id) GROUP BY domain_id
+UNION ALL SELECT 'url_event_counter', own.domain_id, count(*) FROM own, ct
+  WHERE EXISTS (SELECT 1 FROM st WHERE st.url = ct.url AND st.shard_id = ct.shard_id AND st.domain_id = own.domain_id) GROUP BY own.domain_id""")
+def unsplit_owned_rows(spark, sf_dir):
+    """RJ-13 / AG-13: rows of the domains that move, table by table; counters have no domain and
+    count by their URL's state row."""
+    t = _tables(spark, sf_dir)
+    return RK.owned_rows({"url_state": t.state, "url_event_counter": t.counters, "domain_stats_daily": t.domain_stats}, t.state, _plan(spark, sf_dir, "unsplit").moves)

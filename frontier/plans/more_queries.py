@@ -353,7 +353,7 @@ def log_request_latency(spark, sf_dir):
 
 def _folded(spark, sf_dir):
     f1 = FX.f1_fetches(spark, sf_dir)
-    return IG.fold_results(FX.f2_old_state(spark, f1), f1, FX.AS_OF)
+    return IG.record_outcomes(FX.f2_old_state(spark, f1), f1, FX.AS_OF)
 
 
 @register("ingest_metrics_with_links", oracle=f"""
@@ -425,3 +425,40 @@ def dispatch_results(spark, sf_dir):
     routed = RT.with_shard_columns(table(spark, sf_dir, "pages").select("page_id", "url"), "url", rules=FX.SUFFIX_RULES)
     return (RT.dispatch(routed).withColumn("p", F.spark_partition_id()).groupBy("ingestor_id")
             .agg(F.countDistinct("p").alias("n_partitions"), F.count("*").alias("n")))
+
+
+@register("queue_counts", oracle=f"""
+WITH {_PICKED_EXAMPLE}, qb AS (SELECT DISTINCT domain_id, domain_id % 3 AS m FROM picked),
+q AS (SELECT domain_id FROM qb UNION ALL SELECT domain_id FROM qb WHERE m = 0 UNION ALL SELECT NULL FROM qb WHERE m = 1)
+SELECT count(*) AS batches, count(domain_id) AS domain_batches, count(DISTINCT domain_id) AS domains FROM q
+""")
+def queue_counts(spark, sf_dir):
+    """SS-6: ready batches of a queue, those that name a domain, and distinct domains (some
+    domains wait twice, some batches have no domain)."""
+    qb = SL.queue_batches(_picked(spark, sf_dir), FX.AS_OF)
+    m = F.col("domain_id") % 3
+    times = F.when(m == 0, F.array("domain_id", "domain_id")).when(m == 1, F.array(F.col("domain_id"), F.lit(None))).otherwise(F.array("domain_id"))
+    return SL.queue_counts(qb.select(F.explode(times).alias("domain_id")))
+
+
+@register("stats_summary_reasons", oracle=f"""
+WITH {_F8} SELECT event_date, fail_reason AS reason, CAST(count(*) AS BIGINT) AS n FROM r WHERE fail_reason IS NOT NULL GROUP BY ALL
+""")
+def stats_summary_reasons(spark, sf_dir):
+    """AG-5 / SC-23: the fail reasons of the daily summary, one row each."""
+    good, _ = STS.parse_deltas(f8_delta_json(spark, sf_dir))
+    return STS.summary_daily(good, FX.AS_OF).select(F.col("event_date").cast("string").alias("event_date"), F.explode("fail_reasons").alias("reason", "n"))
+
+
+@register("select_limits", oracle=f"""
+WITH {_PICKED_EXAMPLE} SELECT CAST(cap AS INTEGER) AS cap, CAST(most AS INTEGER) AS most, CAST(count(p.url) AS BIGINT) AS n FROM (VALUES (0, {MAX_DOMAINS}), ({CAP}, 0), (-1, -1), ({CAP}, {MAX_DOMAINS})) l(cap, most)
+LEFT JOIN picked p ON cap > 0 AND most > 0 GROUP BY ALL
+""")
+def select_limits(spark, sf_dir):
+    """WT-4: a limit of zero or less selects nothing."""
+    st, dom, q = _inputs(spark, sf_dir)
+    out = None
+    for cap, most in ((0, MAX_DOMAINS), (CAP, 0), (-1, -1), (CAP, MAX_DOMAINS)):
+        one = SL.select_by_domain(st, dom, q, "example", cap, most, FX.AS_OF).agg(F.count("*").alias("n")).select(F.lit(cap).alias("cap"), F.lit(most).alias("most"), "n")
+        out = one if out is None else out.unionByName(one)
+    return out

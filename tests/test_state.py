@@ -1,6 +1,7 @@
 """Invariants of the keyed jobs: cutting a stream into batches changes nothing, replays
 repeat themselves, counters agree with history, and moves can be undone."""
 
+import json
 import random
 from datetime import datetime, timedelta
 
@@ -12,6 +13,7 @@ from frontier.operators import ingest as IG
 from frontier.operators import migrate as MG
 from frontier.operators import running as RUN
 from frontier.operators import score as SCR
+from frontier.operators import select as SL
 from frontier.sources import buckets, store
 from frontier.streaming import jobs as JB
 from frontier.streaming import logs as LG
@@ -106,10 +108,76 @@ def test_files_of_every_form(spark, tmp_path):
     rows = buckets.read_records(spark, str(tmp_path), SC.ROUTED_RESULT).collect()
     assert sorted(r.url for r in rows if r.url) == ["u1", "u2", "u3", "u4", "u5", "u6", "u7"]
     assert [r.bad for r in rows if r.bad] == ["not json"] and {(r.bucket_date, r.bucket_time) for r in rows} == {("20240101", "0010")}
-    ordered = sorted(rows, key=lambda r: (r.seq.source_file, r.seq.line, r.seq.place))
+    ordered = sorted(rows, key=lambda r: r.seq)
     assert [r.url for r in ordered] == ["u1", "u2", "u3", "u4", None, "u5", "u6", "u7"]
 
 
+def test_one_file_of_lines_is_many_tasks(spark, tmp_path):
+    (tmp_path / "20240101" / "0010").mkdir(parents=True)
+    (tmp_path / "20240101" / "0010" / "a.jsonl").write_text("".join(f'{{"url": "u{k}"}}' + ("\r\n" if k % 3 else "\n\n") for k in range(4000)))
+    (tmp_path / "20240101" / "0010" / "b.jsonl").write_text('{"url": "last"}')
+    (tmp_path / "20240101" / "0020").mkdir()
+    (tmp_path / "20240101" / "0020" / "c.jsonl").write_text('{"url": "not yet"}')
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7000")
+    try:
+        rows = buckets.read_buckets(spark, str(tmp_path), SC.ROUTED_RESULT, "2024-01-01 00:35:00", 10)
+        assert rows.select(F.spark_partition_id()).distinct().count() > 3
+        ordered = rows.orderBy("seq").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r.url for r in ordered] == [f"u{k}" for k in range(4000)] + ["last"] and not any(r.bad for r in ordered)
+    assert len({r.seq for r in ordered}) == len(ordered)
+
+
+def test_outcomes_are_those_of_the_fold(spark):
+    records, state = spark.createDataFrame(_records(160, 5), SCHEMA), SC.empty(spark, SC.URL_STATE)
+    old = IG.final_images(IG.fold_results(state, records.where("seq % 2 = 0"), AS_OF))
+    folded, outcomes = IG.fold_results(old, records, AS_OF), IG.record_outcomes(old, records, AS_OF)
+    assert set(outcomes.columns) < set(folded.columns)
+    assert _image(outcomes) == _image(folded.select(*outcomes.columns))
+
+
+def test_delta_files_are_folded_ten_at_a_time(spark, tmp_path):
+    """One version for each ten files; files that come later are folded into the same days."""
+    (tmp_path / "deltas").mkdir()
+    (tmp_path / "registry").mkdir()
+    spark.createDataFrame([(1, 3)], "domain_id long, shard_id int").write.mode("overwrite").parquet(str(tmp_path / "registry"))
+
+    def put(numbers):
+        for k in numbers:
+            doc = {"generated_at": f"2024-01-0{1 + k % 2}T00:00:00+00:00", "source": "x", "counters": {"num_fetch_ok": 1, "fail_reasons": {"r": k}},
+                   "domains": {"1": {"num_fetch_ok": 1}}}
+            (tmp_path / "deltas" / f"{k}.json").write_text(json.dumps(doc, indent=1))
+
+    def run():
+        query = JB.start_stats_fold(spark, str(tmp_path / "deltas"), str(tmp_path / "tables"), str(tmp_path / "ckpt"), str(tmp_path / "registry"), lambda: datetime(2024, 1, 3))
+        query.awaitTermination()
+        return query.lastProgress.batchId if query.lastProgress else None
+
+    put(range(23))
+    assert run() == 2
+    put(range(23, 25))
+    assert run() == 3
+    for name, keys in (("summary_daily", ["event_date"]), ("domain_stats_daily", ["domain_id", "event_date"])):
+        rows = store.read_version(spark, str(tmp_path / "tables" / name), 4, SC.SUMMARY_DAILY if len(keys) == 1 else SC.DOMAIN_STATS_DAILY, ("event_date",)).collect()
+        assert {str(r.event_date): r.num_fetch_ok for r in rows} == {"2024-01-01": 13, "2024-01-02": 12}
+        if len(keys) == 1:
+            assert {str(r.event_date): r.fail_reasons["r"] for r in rows} == {"2024-01-01": sum(range(0, 25, 2)), "2024-01-02": sum(range(1, 25, 2))}
+
+
+def test_claims_of_a_hot_shard(spark):
+    rows = [(f"u{k:04}", 0 if k % 3 else k % 7, None if k % 11 == 0 else datetime(2024, 1, 1 + k % 9), k % 5 > 0, None) for k in range(3000)]
+    state = spark.createDataFrame(rows, "url string, shard_id int, first_seen timestamp, should_crawl boolean, url_score_updated_at timestamp")
+    before = spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")
+    found = {(r.shard_id, r.url, r.claim_rank) for r in SL.claim_unscored(state, 1200).collect()}
+    want = set()
+    for shard in range(7):
+        mine = sorted((r[2] is None, r[2] or datetime(1, 1, 1), r[0]) for r in rows if r[1] == shard and r[3])
+        want |= {(shard, u, k + 1) for k, (_, _, u) in enumerate(mine[:1200])}
+    assert found == want and spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000") == before
+
+
 def test_split_then_unsplit_restores(spark):
     registry = SC.conform(spark.createDataFrame([(1, "a.com", 5), (2, "h.a.com", 9)], "domain_id long, domain string, shard_id int"), SC.DOMAIN_STATE, SC.DOMAIN_STATE_DEFAULTS)
     home = SC.conform(spark.createDataFrame([("u1", 1, 5), ("u2", 1, 5)], "url string, domain_id long, shard_id int"), SC.URL_STATE, SC.URL_STATE_DEFAULTS)
