@@ -105,20 +105,19 @@ def read(text: str, telling: frozenset[str] = frozenset()) -> list[Block]:
         if not block.parts:
             if not part.strip():
                 return
-            block.path = (*outer(), *stack[-MAX_PATH:])
+            block.path = tuple(stack) if len(stack) <= MAX_PATH else (*outer(), *stack[-MAX_PATH:])
         block.parts.append(part)
         if any(e.name == "a" for e in stack[-3:]):
             block.link_chars += len(part)
 
     def outer() -> list[Element]:
-        if len(stack) <= MAX_PATH:
-            return []
         return [*(Element(n) for n in sorted(telling) if opened[n] > 0), *(Element("", (t,)) for t in sorted(telling) if told[t] > 0)]
 
     def close(k: int) -> None:
         for e in stack[k:]:
             opened[e.name] -= 1
-            told.subtract(e.tokens)
+            for t in e.tokens:
+                told[t] -= 1
         del stack[k:]
 
     def leave(names: set[str]) -> None:
@@ -191,6 +190,7 @@ def read(text: str, telling: frozenset[str] = frozenset()) -> list[Block]:
             leave(ENDS_OWN[name])
         stack.append(Element(name, _tokens(tag[3])))
         opened[name] += 1
-        told.update(stack[-1].tokens)
+        for t in stack[-1].tokens:
+            told[t] += 1
     flush()
     return blocks
