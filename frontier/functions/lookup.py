@@ -35,9 +35,13 @@ class LookupTable:
             maps[zlib.crc32(key.encode()) % self.buckets][key] = value
         self._json, self._type = json.dumps(maps), f"array<map<string,{value_type}>>"
 
-    def get(self, key: Column) -> Column:
+    def table(self) -> Column:
+        """The whole table, for :func:`let` where it is probed more than once."""
+        return F.from_json(F.lit(self._json), self._type)
+
+    def get(self, key: Column, table: Column | None = None) -> Column:
         """The value of ``key``, NULL if it isn't in the table."""
-        table = F.from_json(F.lit(self._json), self._type)
+        table = self.table() if table is None else table
         bucket = (F.pmod(F.crc32(key.cast("binary")), F.lit(self.buckets)) + 1).cast("int")
         return F.try_element_at(F.try_element_at(table, bucket), key)
 
@@ -77,12 +81,12 @@ def _number_char(ref: Column) -> Column:
 def _decode(ref: Column) -> Column:
     name = F.substring(ref, 2, 64)
 
-    def bare(n: Column) -> Column:
-        """The longest beginning that is a name without semicolon, then what follows it."""
-        tries = [F.concat(_names().get(F.substring(n, 1, k)), F.substring(n, k + 1, 64)) for k in range(_LONGEST_BARE_NAME, 1, -1)]
-        return F.coalesce(*tries)
+    def named(table: Column) -> Column:
+        """The whole name, else the longest beginning that is a name without semicolon, then what follows it."""
+        tries = [F.concat(_names().get(F.substring(name, 1, k), table), F.substring(name, k + 1, 64)) for k in range(_LONGEST_BARE_NAME, 1, -1)]
+        return F.coalesce(_names().get(name, table), *tries, ref)
 
-    return F.when(ref.startswith("&#"), _number_char(ref)).otherwise(F.coalesce(_names().get(name), bare(name), ref))
+    return F.when(ref.startswith("&#"), _number_char(ref)).otherwise(let(_names().table(), named))
 
 
 def html_unescape(text, attribute: bool = False) -> Column:

@@ -38,31 +38,29 @@ NON_HTML_REASON = "NonHTML content-type"
 # what is left open runs to the end of the page, so a page is read once.
 _ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 _END = r"""(?:>|["'].*+|\z)"""
-_HIDDEN = (r"(?is)<!--.*?(?:-->|\z)|<(?:script(?=[\s/>])" + _ATTRS + _END + r".*?(?:</script(?=[\s/>])[^>]*+>?|\z)"
-           r"|style(?=[\s/>])" + _ATTRS + _END + r".*?(?:</style(?=[\s/>])[^>]*+>?|\z))|(</?[a-z]" + _ATTRS + _END + ")")
-_A_TAG = r"(?is)<(a|area)(?=[\s/>])(" + _ATTRS + ")" + _END
-# an element's text: up to its end tag or the next link tag, other tags stepped over whole
-_A_TEXT = (r"(?is)<(?:a|area)(?=[\s/>])" + _ATTRS + _END
-           + r"((?:[^<]++|<(?!/?a[\s/>]|area[\s/>])(?:/?[a-z]" + _ATTRS + _END + r")?+)*+)")
+_HIDDEN = (r"(?is)<!--.*?(?:-->|\z)|(<script(?=[\s/>])" + _ATTRS + _END + r").*?(?:</script(?=[\s/>])[^>]*+>?|\z)"
+           r"|<style(?=[\s/>])" + _ATTRS + _END + r".*?(?:</style(?=[\s/>])[^>]*+>?|\z)|(</?[a-z]" + _ATTRS + _END + ")")
 _TAG = r"(?is)</?[a-z]" + _ATTRS + _END
-_LINK_TAG = r"(?is)<link(?=[\s/>])(" + _ATTRS + ")" + _END
-_BASE_TAG = r"(?is)<base(?=[\s/>])(" + _ATTRS + ")" + _END
+# an element's text: up to its end tag or the next link tag, other tags stepped over whole
+_A_TEXT = r"(?:[^<]++|<(?!/?a[\s/>]|area[\s/>])(?:/?[a-z]" + _ATTRS + _END + r")?+)*+"
+# every tag is stepped over whole; group 1 is the tag where it tells something, of a link with its text
+_TELLING = (r"(?is)(?:(?=(<a(?=[\s/>])" + _ATTRS + _END + _A_TEXT + r"|<(?:area|base|link|script)(?=[\s/>])" + _ATTRS + _END + r"))|)"
+            r"</?[a-z]" + _ATTRS + _END)
+_HEAD = r"(?is)^<[a-z]++(" + _ATTRS + ")" + _END
 _VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"']++[^\s>]*+)"""
-_SCRIPT_TAG = r"(?is)<script(?=[\s/>])(" + _ATTRS + ")" + _END
 
 html_unescape = L.html_unescape
 
 
 def _attr(tag_attrs: Column, name: str) -> Column:
-    """Value of an attribute (references decoded), NULL without one; names inside
-    other values don't count, and the first of several wins."""
+    """Value of an attribute as it is written, NULL without one; names inside other
+    values don't count, and the first of several wins."""
     skip = r"(?:[\s/]++|(?!" + name + r"\s*+=)[^\s=>/\"']++(?:\s*+=\s*+" + _VALUE + r"?+)?+|[\"'=])*+"
     pattern = r"(?is)^" + skip + name + r"\s*+=\s*+(" + _VALUE + ")"
 
     def body(v):
         quoted = F.substring(v, 1, 1).isin('"', "'")
-        value = F.when(quoted, F.substring(v, F.lit(2), F.length(v) - 2)).otherwise(v)
-        return F.when(v != "", html_unescape(value, attribute=True))
+        return F.when(v != "", F.when(quoted, F.substring(v, F.lit(2), F.length(v) - 2)).otherwise(v))
 
     return L.let(F.regexp_extract(tag_attrs, pattern, 1), body)
 
@@ -72,65 +70,69 @@ def _strip(c: Column) -> Column:
 
 
 def visible_html(html) -> Column:
-    """HTML without comments, scripts and styles (they hold no links); other
+    """HTML without comments, styles and the content of scripts (they hold no links); other
     tags are stepped over whole, so nothing inside an attribute counts."""
-    return F.regexp_replace(U._c(html), _HIDDEN, "$1")
+    return F.regexp_replace(U._c(html), _HIDDEN, "$1$2")
+
+
+def page_tags(vis) -> Column:
+    """The telling tags of :func:`visible_html` in document order, in one pass:
+    ``array<struct<name, value, rel, text>>``.  ``value`` is what the tag is read for (``href``
+    of a, area and base, ``hreflang`` of link, ``type`` of script), ``text`` the markup inside
+    a link; references in attributes are decoded."""
+    telling = F.filter(F.regexp_extract_all(U._c(vis), F.lit(_TELLING), 1), lambda m: m != "")
+    split = F.transform(telling, lambda m: F.struct(
+        F.lower(F.regexp_extract(m, "(?i)^<([a-z]+)", 1)).alias("name"), F.regexp_extract(m, _HEAD, 1).alias("head"),
+        F.regexp_replace(m, _HEAD, "").alias("text")))
+
+    def read(t):
+        value = F.when(t["name"] == "link", _attr(t["head"], "hreflang")).when(t["name"] == "script", _attr(t["head"], "type")) \
+                 .otherwise(_attr(t["head"], "href"))
+        both = F.transform(F.array(value, _attr(t["head"], "rel")), lambda v: html_unescape(v, attribute=True))
+        return L.let(both, lambda v: F.struct(t["name"].alias("name"), v[0].alias("value"), v[1].alias("rel"), t["text"].alias("text")))
+
+    return F.transform(split, read)
 
 
-def page_title(html) -> Column:
-    """PX-2: first <title>, entity-decoded, stripped, 500 chars, '' -> NULL."""
-    return _title_from_vis(visible_html(html))
+def _words(c: Column) -> Column:
+    return F.split(F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"\s+", " ")), " ")
 
 
-def _title_from_vis(vis: Column) -> Column:
-    t = F.regexp_extract(vis, r"(?is)<title(?=[\s/>])" + _ATTRS + _END + r"(.*?)(?:</title|\z)", 1)
+def page_title(vis) -> Column:
+    """PX-2: first <title> of :func:`visible_html`, entity-decoded, stripped, 500 chars, '' -> NULL."""
+    t = F.regexp_extract(U._c(vis), r"(?is)<title(?=[\s/>])" + _ATTRS + _END + r"(.*?)(?:</title|\z)", 1)
     t = F.substring(_strip(html_unescape(t)), 1, TITLE_MAX)
     return F.nullif(t, F.lit(""))
 
 
-def hreflang_count(html) -> Column:
+def hreflang_count(tags) -> Column:
     """PX-3: <link> tags with rel token 'alternate' and an hreflang attribute."""
-    return _hreflang_from_vis(visible_html(html))
+    return F.size(F.filter(U._c(tags), lambda t: (t["name"] == "link") & t["value"].isNotNull() & F.array_contains(_words(t["rel"]), "alternate")))
 
 
-def _hreflang_from_vis(vis: Column) -> Column:
-    tags = F.regexp_extract_all(vis, F.lit(_LINK_TAG), 1)
-    return F.size(F.filter(tags, lambda t: F.array_contains(
-        F.split(F.trim(F.regexp_replace(F.coalesce(_attr(t, "rel"), F.lit("")), r"\s+", " ")), " "),
-        "alternate") & _attr(t, "hreflang").isNotNull()))
-
-
-def has_json_ld(html) -> Column:
+def has_json_ld(tags) -> Column:
     """PX-4: any <script type="application/ld+json">."""
-    tags = F.regexp_extract_all(U._c(html), F.lit(_SCRIPT_TAG), 1)
-    return F.exists(tags, lambda t: F.coalesce(F.lower(F.trim(_attr(t, "type"))) == "application/ld+json", F.lit(False)))
+    return F.exists(U._c(tags), lambda t: (t["name"] == "script") & (F.lower(F.trim(F.coalesce(t["value"], F.lit("")))) == "application/ld+json"))
 
 
-def base_url(page_url, html) -> Column:
-    """Document base: <base href> resolved against the page URL, else the URL."""
-    return _base_from_vis(U._c(page_url), visible_html(html))
+def base_url(page_url, tags) -> Column:
+    """Document base: the first <base href> resolved against the page URL, else the URL."""
+    page_url = U._c(page_url)
+    bases = F.filter(U._c(tags), lambda t: (t["name"] == "base") & t["value"].isNotNull())
+    return L.let(F.get(bases, F.lit(0))["value"], lambda href: F.when(
+        href.isNotNull() & (F.trim(href) != ""), U.resolve_url(page_url, _strip(href))).otherwise(page_url))
 
 
-def _raw_links(vis: Column, base: Column) -> Column:
+def _raw_links(tags: Column, base: Column) -> Column:
     """All <a>/<area> links with an href, in document order, as
     ``array<struct<pos, url, anchor, nofollow>>`` (url absolute, not yet
-    canonical).  ``vis`` is :func:`visible_html`, ``base`` the base URL."""
-    names = F.regexp_extract_all(vis, F.lit(_A_TAG), 1)
-    attrs = F.regexp_extract_all(vis, F.lit(_A_TAG), 2)
-    texts = F.regexp_extract_all(vis, F.lit(_A_TEXT), 1)
-    zipped = F.arrays_zip(names.alias("n"), attrs.alias("a"), texts.alias("t"))
-    with_pos = F.transform(zipped, lambda z, i: F.struct(
+    canonical).  ``tags`` are :func:`page_tags`, ``base`` the base URL."""
+    links = F.filter(tags, lambda t: t["name"].isin("a", "area") & t["value"].isNotNull())
+    return L.let(U.base_parts(base), lambda p: F.transform(links, lambda t, i: F.struct(
         (i + 1).alias("pos"),
-        _attr(z["a"], "href").alias("href"),
-        F.when(F.lower(z["n"]) == "area", F.lit(""))
-         .otherwise(_strip(html_unescape(F.regexp_replace(z["t"], _TAG, "")))).alias("anchor"),
-        F.array_contains(F.split(F.regexp_replace(F.coalesce(_attr(z["a"], "rel"), F.lit("")), ",", " "),
-                                 r"\s+"), "nofollow").alias("nofollow")))
-    present = F.filter(with_pos, lambda x: x["href"].isNotNull())
-    return L.let(U.base_parts(base), lambda p: F.transform(present, lambda x: F.struct(
-        x["pos"].alias("pos"),
-        L.let(F.trim(F.regexp_replace(x["href"], r"[\t\n\r\f]", "")), lambda r: U.resolve_with(p, r)).alias("url"),
-        x["anchor"].alias("anchor"), x["nofollow"].alias("nofollow"))))
+        L.let(F.trim(F.regexp_replace(t["value"], r"[\t\n\r\f]", "")), lambda r: U.resolve_with(p, r)).alias("url"),
+        _strip(html_unescape(F.regexp_replace(t["text"], _TAG, ""))).alias("anchor"),
+        F.array_contains(_words(F.regexp_replace(t["rel"], ",", " ")), "nofollow").alias("nofollow"))))
 
 
 def _sorted_by_key(links: Column, key: str = "url") -> Column:
@@ -147,17 +149,17 @@ def _first_per_key(by_key: Column) -> Column:
     return F.transform(by_pos, lambda x: x["v"])
 
 
-def with_outlinks(df: DataFrame, page_url: str, vis: str, out: str = "outlinks",
+def with_outlinks(df: DataFrame, page_url: str, tags: str, out: str = "outlinks",
                   deny_extensions=IGNORED_EXTENSIONS, *, rules: U.SuffixRules | None, max_url_len: int = U.MAX_URL_LEN) -> DataFrame:
     """PX-1: add ``array<struct<url, domain, anchor>>`` of followable links:
     scheme allowed, extension not denied, canonicalised, first occurrence of
     each canonical URL, nofollow dropped, <= 2500 characters, anchor stripped
-    and cut to 200 characters.  Staged projections keep every intermediate
-    array computed once per row."""
+    and cut to 200 characters.  ``tags`` are :func:`page_tags`.  Staged projections
+    keep every intermediate array computed once per row."""
     deny = F.array(*[F.lit(e) for e in deny_extensions])
     tmp = "__lk"
-    staged = df.withColumn("__base", _base_from_vis(F.col(page_url), F.col(vis)))
-    staged = staged.withColumn(tmp, _raw_links(F.col(vis), F.col("__base"))).drop("__base")
+    staged = df.withColumn("__base", base_url(page_url, tags))
+    staged = staged.withColumn(tmp, _raw_links(F.col(tags), F.col("__base"))).drop("__base")
     staged = staged.withColumn(tmp, F.transform(
         F.filter(F.col(tmp), lambda x: F.lower(U.url_part(x["url"], "scheme")).isin(*LINK_SCHEMES)
                  & ~F.array_contains(deny, U.url_extension(x["url"]))),
@@ -171,11 +173,6 @@ def with_outlinks(df: DataFrame, page_url: str, vis: str, out: str = "outlinks",
                            F.substring(x["anchor"], 1, ANCHOR_MAX).alias("anchor")))).drop(tmp)
 
 
-def _base_from_vis(page_url: Column, vis: Column) -> Column:
-    return L.let(_attr(F.regexp_extract(vis, _BASE_TAG, 1), "href"), lambda href: F.when(
-        href.isNotNull() & (F.trim(href) != ""), U.resolve_url(page_url, _strip(href))).otherwise(page_url))
-
-
 def spider_domain(host, rules: U.SuffixRules | None) -> Column:
     """Fetcher-side domain: eTLD+1, or the host when it has no known suffix."""
     return F.coalesce(U.registrable_domain(host, rules), U._c(host))
@@ -203,7 +200,8 @@ def extract_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html"
         *[F.col(k) for k in keep], F.col(url_col).alias("__page_url"), html.alias("__html"),
         gate.alias("__gate"))
     staged = staged.withColumn("__vis", F.when(F.col("__gate"), visible_html(F.col("__html"))))
-    staged = with_outlinks(staged, "__page_url", "__vis", "__outlinks", deny_extensions, rules=rules)
+    staged = staged.withColumn("__tags", page_tags("__vis"))
+    staged = with_outlinks(staged, "__page_url", "__tags", "__outlinks", deny_extensions, rules=rules)
     staged = staged.withColumn("__url", U.canonicalize_url(F.col("__page_url")))
     url = F.col("__url")
     g = F.col("__gate")
@@ -217,9 +215,9 @@ def extract_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html"
         F.when(g, F.col("__html")).alias("content"),
         F.coalesce(F.col("__outlinks"),
                    F.array().cast("array<struct<url:string,domain:string,anchor:string>>")).alias("outlinks"),
-        F.when(g, _title_from_vis(F.col("__vis"))).alias("title"),
-        F.when(g, _hreflang_from_vis(F.col("__vis"))).otherwise(F.lit(0)).alias("hreflang_count"),
-        F.when(g, has_json_ld(F.col("__html"))).otherwise(F.lit(False)).alias("has_json_ld"),
+        F.when(g, page_title("__vis")).alias("title"),
+        F.when(g, hreflang_count("__tags")).otherwise(F.lit(0)).alias("hreflang_count"),
+        F.when(g, has_json_ld("__tags")).otherwise(F.lit(False)).alias("has_json_ld"),
     )
 
 

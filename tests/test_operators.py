@@ -31,6 +31,21 @@ def test_extract_page(spark):
     assert r2.status == "fail" and r2.fail_reason == "NonHTML content-type" and r2.outlinks == []
 
 
+def test_tags_are_read_in_one_pass(spark):
+    html = ("<!-- <script type='application/ld+json'></script> --><div title='<a href=/in-value>x</a><base href=/b/>'>"
+            "<script>var s = \"<script type='application/ld+json'><a href='/in-script'>\";</script>"
+            "<base target=_top><base href='/dir/'><area href=m><a href=one>A <link rel=alternate hreflang=fr href=/fr><i title='</a>'>b</i> &amp; c"
+            "<a rel='x, nofollow' href=two>no</a><a name=n>none</a><a href='three?x=1&amp;y=2'>open")
+    df = spark.createDataFrame([(1, "http://a.com/p", html), (2, "http://a.com/q", ""), (3, "http://a.com/r", None)], "page_id long, url string, html string")
+    rows = {r.page_id: r for r in PX.extract_pages(df, keep=("page_id",), rules=U.SuffixRules(["com"])).collect()}
+    assert [(o.url, o.anchor) for o in rows[1].outlinks] == [
+        ("http://a.com/dir/m", ""), ("http://a.com/dir/one", "A b & c"), ("http://a.com/dir/three?x=1&y=2", "open")]
+    assert rows[1].hreflang_count == 1 and rows[1].has_json_ld is False
+    assert [(rows[i].outlinks, rows[i].status, rows[i].title) for i in (2, 3)] == [([], "fail", None)] * 2
+    plan = PX.extract_pages(df, rules=U.SuffixRules(["com"]))._jdf.queryExecution().executedPlan().toString()
+    assert len(plan) < 400_000   # character references travel once for attributes, links and titles each
+
+
 def test_rolloff_twice_is_once(spark):
     state = SC.conform(spark.createDataFrame([("u", 10, 4)], "url string, num_fetch_ok_90d int, num_fetch_fail_90d int"),
                        SC.URL_STATE, SC.URL_STATE_DEFAULTS)
