@@ -7,6 +7,9 @@ import random
 import re
 import zlib
 from collections import Counter
+from email.parser import Parser
+from html.parser import HTMLParser
+from urllib.parse import urljoin
 
 import numpy as np
 import public_tokenizers
@@ -413,6 +416,63 @@ def test_warc_codings():
         assert text is None or made[1]["block"] == text
 
 
+class PlainReader(HTMLParser):
+    """A second reader of pages: the standard library's, with what this package leaves out."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.hidden, self.links, self.text, self.title = [], [], [], None
+
+    def handle_starttag(self, tag, attrs):
+        if tag in blocks.RAW:
+            self.hidden.append(tag)
+        elif tag == "a" and not self.hidden:
+            self.links += [v for n, v in attrs if n == "href" and v is not None][:1]
+
+    def handle_startendtag(self, tag, attrs):
+        if tag not in blocks.RAW:
+            self.handle_starttag(tag, attrs)
+
+    def handle_endtag(self, tag):
+        if tag in self.hidden:
+            del self.hidden[self.hidden.index(tag):]
+
+    def handle_data(self, data):
+        if not self.hidden:
+            self.text.append(data)
+        elif self.hidden == ["title"] and self.title is None:
+            self.title = data
+
+
+def test_warc_derivatives_of_all_pages_by_a_second_reader(spark):
+    """Every page of the table: header fields by the mail parser, links, title and text by html.parser."""
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    sources = [r.record for r in warc.responses(pages).collect()]
+    made = {(r.refers_to, r.warc_type): r for r in warc.derivatives(warc.responses(pages)).collect()}
+    assert len(sources) == pages.count()
+    for record in sources:
+        head, _, block = bytes(record).partition(b"\r\n\r\n")
+        named = Parser().parsestr(head.partition(b"\r\n")[2].decode())
+        http, _, body = block[:int(named["Content-Length"])].partition(b"\r\n\r\n")
+        reader = PlainReader()
+        reader.feed(body.decode())
+        reader.close()
+        uid, url = named["WARC-Record-ID"], named["WARC-Target-URI"]
+        meta, text = made[uid, "metadata"], made[uid, "conversion"]
+        for r in (meta, text):
+            assert (r.target_uri, r.warc_date, r.payload_digest, r.digest_ok) == (url, named["WARC-Date"], named["WARC-Payload-Digest"], True)
+            assert r.block_digest == "sha256:" + hashlib.sha256(r.block.encode()).hexdigest() and r.content_length == len(r.block.encode())
+        told = Parser().parsestr(meta.block)
+        assert told["conversion"] == text.record_id and told["status"] == http.split(b" ")[1].decode() and told["error"] is None
+        for n, v in named.items():
+            assert told[f"warc-header-{n.lower()}"] == v
+        links = dict.fromkeys(urljoin(url, v.strip()) for v in reader.links)
+        assert told.get_all("outlink", []) == [re.sub(r"\s+", "%20", v) for v in links if v.startswith(("http://", "https://"))]
+        assert "".join(text.block.split()) == "".join("".join(reader.text).split())
+        if reader.title is not None and reader.title.isascii():
+            assert told["title"] == " ".join(reader.title.split())
+
+
 def test_warc_files_read_back(spark, tmp_path):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     derived = warc.derivatives(warc.responses(pages))
