@@ -75,7 +75,7 @@ def routed_batch(records: DataFrame, registry: DataFrame, num_shards: int, overr
                  rules: U.SuffixRules) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(results, all routed records, registry): results and link records in one schema, in one order."""
     routed, links, new_registry = RT.route_results(records, registry, ["seq"], whitelist, num_shards, overrides, rules=rules, ordered=True)
-    place = lambda pos: F.struct("seq.source_file", "seq.line", "seq.place", pos.alias("pos"))
+    place = lambda pos: F.struct("seq.source_file", "seq.block", "seq.line", "seq.place", pos.alias("pos"))
     routed = cut_lineage(routed.withColumn("seq", place(F.lit(-1))))
     links = links.withColumn("seq", place(F.col("pos"))).drop("pos")
     return routed, _with_order(routed).unionByName(_with_order(links)), new_registry
