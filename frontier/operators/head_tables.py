@@ -1,31 +1,28 @@
 """Scoring heads as tables: vocabulary, IDF, weights and scalers are DataFrames.
 
 A head exported from anywhere (its gram weights, the scaler of the 40 numbers, its intercept) is
-applied by exploding the character n-grams of the URLs, joining them with the vocabulary and
-summing; all heads share the vectoriser, so the grams are made and joined once. URLs are dealt out
-once, by URL; counting and summing stay in that layout. The vocabulary is broadcast while it has
-at most ``MAX_BROADCAST_GRAMS`` grams."""
+applied by summing over the character n-grams of the URLs; all heads share the vectoriser, so the
+grams are found once (:mod:`.grams`). The vocabulary is broadcast while it has at most
+``MAX_BROADCAST_GRAMS`` grams, and then the rows aren't shuffled. A larger one is joined: URLs are
+dealt out once, by URL, and give a row for each of their grams."""
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+from .grams import GramTree, gram_counts, texts_of, url_grams
 from .score import HEAD_NAMES
 
 MAX_BROADCAST_GRAMS = 1 << 20
 
 
-def char_grams(url: Column, sizes: tuple[int, ...]) -> Column:
-    """All character n-grams of the lower-cased URL, with repeats."""
-    low = F.lower(url)
-    of = lambda n: F.when(F.char_length(low) >= n, F.transform(F.sequence(F.lit(1), F.char_length(low) - (n - 1)), lambda i: F.substring(low, i, n)))
-    return F.flatten(F.array(*[F.coalesce(of(n), F.array().cast("array<string>")) for n in sizes]))
-
-
 @dataclass
 class HeadTables:
     """``grams``: gram, idf. ``weights``: head, gram, weight. ``heads``: head, intercept and, for the
@@ -45,17 +42,22 @@ class HeadTables:
         unknown = sorted({r["head"] for r in heads} - set(HEAD_NAMES))
         if unknown or not heads:
             raise ValueError(f"unknown heads {unknown}" if unknown else "no scoring heads")
+        ship_package(urls.sparkSession)
         of = lambda r: f"__w_{r['head']}"
-        vocabulary = (self.weights.groupBy("gram").agg(*[F.sum(F.when(F.col("head") == r["head"], F.col("weight"))).alias(of(r)) for r in heads])
-                      .join(self.grams.select("gram", "idf"), "gram", "right").select(F.col("gram").alias("__gram"), "idf", *[of(r) for r in heads]))
+        weights = self.weights.groupBy("gram").agg(*[F.sum(F.when(F.col("head") == r["head"], F.col("weight"))).alias(of(r)) for r in heads])
+        weight = lambda r: F.coalesce(F.col(of(r)), F.lit(0.0))
+        vocabulary = (self.grams.where("gram IS NOT NULL AND idf IS NOT NULL").join(weights, "gram", "left").groupBy(F.col("gram").alias("__gram"))
+                      .agg(F.sum(F.col("idf") * F.col("idf")).alias("__square"), *[F.sum(F.col("idf") * weight(r)).alias(of(r)) for r in heads]))
         if self.grams.count() <= MAX_BROADCAST_GRAMS:
-            vocabulary = F.broadcast(vocabulary)
-        dealt = urls.select(F.col("url").alias("__url")).distinct().repartition("__url")
-        counts = dealt.select("__url", F.explode(char_grams(F.col("__url"), self.sizes)).alias("__gram")).groupBy("__url", "__gram").agg(F.count("*").alias("__tf"))
-        value = F.col("__tf") * F.col("idf")
-        sums = counts.join(vocabulary, "__gram").groupBy("__url").agg(
-            F.sqrt(F.sum(value * value)).alias("__norm"), *[F.sum(value * F.coalesce(F.col(of(r)), F.lit(0.0))).alias(of(r)) for r in heads])
-        rows = urls.join(sums, urls["url"] == sums["__url"], "left")
+            rows = urls.withColumn("__sums", _sums(vocabulary, self.sizes)(F.lower("url")))
+            rows = rows.select(*urls.columns, F.col("__sums")[0].alias("__norm"), *[F.col("__sums")[k].alias(of(r)) for k, r in enumerate(heads, 1)])
+        else:
+            sizes = self.sizes
+            counts = (urls.select(F.col("url").alias("__url")).distinct().repartition("__url").select("__url", F.lower("__url").alias("__low"))
+                      .mapInArrow(lambda batches: url_grams(batches, sizes), "__url string, __gram string, __tf bigint"))
+            sums = counts.join(vocabulary, "__gram").groupBy("__url").agg(
+                F.sqrt(F.sum(F.col("__tf") * F.col("__tf") * F.col("__square"))).alias("__norm"), *[F.sum(F.col("__tf") * F.col(of(r))).alias(of(r)) for r in heads])
+            rows = urls.join(sums, urls["url"] == sums["__url"], "left").drop("__url")
         best = []
         for r in heads:
             z = F.coalesce(F.col(of(r)) / (F.col("__norm") if self.unit else F.lit(1.0)), F.lit(0.0)) + F.lit(float(r["intercept"]))
@@ -63,7 +65,29 @@ class HeadTables:
                 for k, (mean, scale, weight) in enumerate(zip(r["means"], r["scales"], r["number_weights"], strict=True)):
                     z = z + (F.col(features)[k] - mean) / (scale or 1.0) * weight
             best.append(1 / (1 + F.exp(-z)))
-        return rows.select(*[urls[c] for c in urls.columns], (F.greatest(*best) if len(best) > 1 else best[0]).alias(out))
+        return rows.select(*urls.columns, (F.greatest(*best) if len(best) > 1 else best[0]).alias(out))
+
+
+def _sums(vocabulary: DataFrame, sizes: tuple[int, ...]):
+    """Column function of lower-cased URLs: the norm and the sum of each head; null without a known gram."""
+    table = vocabulary.toArrow()   # at most MAX_BROADCAST_GRAMS rows
+    numbers = np.column_stack([table.column(k).to_numpy().astype(float) for k in range(1, table.num_columns)])
+    shared = vocabulary.sparkSession.sparkContext.broadcast((GramTree(table.column(0).to_pylist()), numbers))
+
+    @F.arrow_udf("array<double>")
+    def sums(low: pa.Array) -> pa.Array:
+        tree, of = shared.value
+        parts = []
+        for n, text in texts_of(low):
+            row, known, tf = tree.counts(text, sizes)
+            total = [np.bincount(row, tf * tf * of[known, 0], n), *(np.bincount(row, tf * of[known, k], n) for k in range(1, of.shape[1]))]
+            total[0] = np.sqrt(total[0])
+            missing = np.bincount(row, minlength=n) == 0
+            ends = np.concatenate([[0], np.cumsum(np.where(missing, 0, of.shape[1]))]).astype(np.int32)
+            parts.append(pa.ListArray.from_arrays(ends, np.column_stack(total)[~missing].ravel(), mask=pa.array(missing)))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.float64()))
+
+    return sums
 
 
 def learn_by_counts(rows: DataFrame, labels: Mapping[str, str], sizes: tuple[int, ...] = (3, 4, 5), least: int = 1) -> HeadTables:
@@ -73,13 +97,16 @@ def learn_by_counts(rows: DataFrame, labels: Mapping[str, str], sizes: tuple[int
     fewer than ``least`` URLs are left out."""
     of = {h: F.col(c) == 1 for h, c in labels.items()}
     n = rows.agg(F.count("*").alias("n"), *[F.count_if(p).alias(h) for h, p in of.items()]).first().asDict()
-    have = (rows.repartition("url").select("url", *[p.alias(f"__y_{h}") for h, p in of.items()], F.explode(F.array_distinct(char_grams(F.col("url"), sizes))).alias("gram"))
-            .groupBy("gram").agg(F.count("*").alias("df"), *[F.count_if(F.col(f"__y_{h}")).alias(f"__n_{h}") for h in of]).where(F.col("df") >= least))
+    spark = rows.sparkSession
+    ship_package(spark)
+    names = [f"__n_{h}" for h in of]
+    have = (rows.select(F.lower("url").alias("__low"), *[F.coalesce(p, F.lit(False)).alias(f"__y_{h}") for h, p in of.items()])
+            .mapInArrow(lambda batches: gram_counts(batches, sizes, names), f"gram string, df bigint, {', '.join(f'{c} bigint' for c in names)}")
+            .groupBy("gram").agg(F.sum("df").alias("df"), *[F.sum(c).alias(c) for c in names]).where(F.col("df") >= least))
     grams = have.select("gram", (F.log((1.0 + n["n"]) / (1 + F.col("df"))) + 1).alias("idf"))
     has = lambda h: F.col(f"__n_{h}")
     ratio = lambda h: F.log((has(h) + 1) / (n[h] + 2.0)) - F.log((F.col("df") - has(h) + 1) / (n["n"] - n[h] + 2.0))
     weights = have.select("gram", F.explode(F.array(*[F.struct(F.lit(h).alias("head"), ratio(h).alias("weight")) for h in of])).alias("w")).select("w.head", "gram", "w.weight")
-    spark = rows.sparkSession
     heads = spark.range(1).select(F.explode(F.array(*[F.struct(F.lit(h).alias("head"), F.log(F.lit((n[h] + 1.0) / (n["n"] - n[h] + 1.0))).alias("intercept")) for h in of])).alias("h")).select(
         "h.*", *[F.lit(None).cast("array<double>").alias(c) for c in ("means", "scales", "number_weights")])
     return HeadTables(grams, weights, heads, sizes)

@@ -1,11 +1,14 @@
 """Trained heads: probabilities against their own coefficients, save and load, checks."""
 
 import math
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from pyspark.sql import functions as F
 
+from frontier.operators import grams as GR
 from frontier.operators import head_tables as HT
 from frontier.operators import heads as HD
 from frontier.operators import score as SCR
@@ -71,3 +74,60 @@ def test_unusable_models_are_refused(spark, tmp_path):
         HD.TrainedHeads(None, {})
     with pytest.raises(ValueError):
         HD.TrainedHeads(None, {"child_url": None})
+
+
+def _odd_urls():
+    urls = [f"https://s{k}.example.org/i/{k * 37}" for k in range(150)] + ["", "a", "ab", "ÄÖÜ/ÄÖÜ", "x😀y😀x😀y😀", "aaaaaaaa", "é" * 50, "AbAbAb"]
+    return [(u, float(k % 2), float(k % 3 == 0) if k % 7 else None) for k, u in enumerate(urls)]
+
+
+def _grams(url, sizes):
+    low = url.lower()
+    return [low[i:i + n] for n in sizes for i in range(len(low) - n + 1)]
+
+
+def test_learning_counts_each_gram_once_a_url(spark):
+    """Counts travel once a gram and task, not once a gram and URL; any alphabet, short URLs, null labels."""
+    rows = _odd_urls() + [(None, 1.0, 0.0)]
+    made = HT.learn_by_counts(spark.createDataFrame(rows, "url string, a double, b double").repartition(3), {"url": "a", "parent": "b"}, (2, 4), least=2)
+    df, pos = Counter(), Counter()
+    for u, a, b in rows:
+        for g in set(_grams(u or "", (2, 4))):
+            df[g] += 1
+            pos["url", g] += a == 1
+            pos["parent", g] += b == 1
+    df = {g: n for g, n in df.items() if n >= 2}
+    n, of = len(rows), {"url": sum(r[1] == 1 for r in rows), "parent": sum(r[2] == 1 for r in rows)}
+    assert {r.gram: round(r.idf, 9) for r in made.grams.collect()} == {g: round(math.log((1 + n) / (1 + k)) + 1, 9) for g, k in df.items()}
+    want = {(h, g): math.log((pos[h, g] + 1) / (of[h] + 2)) - math.log((k - pos[h, g] + 1) / (n - of[h] + 2)) for g, k in df.items() for h in of}
+    found = {(r["head"], r.gram): r.weight for r in made.weights.collect()}
+    assert found.keys() == want.keys() and all(abs(found[k] - w) < 1e-9 for k, w in want.items())
+    plan = made.grams._jdf.queryExecution().toString()
+    assert "Generate explode" not in plan and "MapInArrow" in plan
+
+
+def test_scores_are_the_same_broadcast_and_joined(spark, monkeypatch):
+    """A broadcast vocabulary needs no row a gram and no shuffle of the URLs; a joined one gives the same."""
+    rows = spark.createDataFrame(_odd_urls() + [(None, 1.0, 0.0), ("a", 0.0, 0.0)], "url string, a double, b double")
+    tables = HT.learn_by_counts(rows, {"url": "a", "parent": "b"}, (3, 4), least=2)
+    twice = HT.HeadTables(tables.grams.union(tables.grams.limit(20)).cache(), tables.weights, tables.heads, tables.sizes)
+    scored = twice.score(rows.select("url", "a"))
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Exchange" not in plan
+    key = lambda r: (r[0] or "", r[1], r[2])
+    near = sorted(scored.collect(), key=key)
+    monkeypatch.setattr(HT, "MAX_BROADCAST_GRAMS", 0)
+    joined = sorted(twice.score(rows.select("url", "a")).collect(), key=key)
+    assert [r[:2] for r in near] == [r[:2] for r in joined] and len(near) == len(_odd_urls()) + 2
+    assert all(abs(a[2] - b[2]) < 1e-9 for a, b in zip(near, joined, strict=True))
+
+
+def test_gram_tree_with_and_without_direct_tables(monkeypatch):
+    texts = ["https://a.b/ccc", "", "ccc", "x😀y😀", "zz"]
+    vocabulary = ["ccc", "http", "😀y😀", "c", "ttps", "q😀"]
+    for direct in (GR.DIRECT, 0):
+        monkeypatch.setattr(GR, "DIRECT", direct)
+        row, gram, tf = GR.GramTree(vocabulary).counts(GR.Texts(pa.array(texts)), (1, 3, 4))
+        found = {(texts[r], vocabulary[g]): t for r, g, t in zip(row.tolist(), gram.tolist(), tf.tolist())}
+        want = Counter((t, g) for t in texts for g in _grams(t, (1, 3, 4)) if g in vocabulary)
+        assert found == dict(want)
