@@ -6,6 +6,8 @@ from collections import Counter
 import pyarrow as pa
 import pytest
 
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import HashingTF, NGram, RegexTokenizer, SQLTransformer
 from pyspark.sql import functions as F
 
 from frontier.operators import grams as GR
@@ -131,3 +133,23 @@ def test_gram_tree_with_and_without_direct_tables(monkeypatch):
         found = {(texts[r], vocabulary[g]): t for r, g, t in zip(row.tolist(), gram.tolist(), tf.tolist())}
         want = Counter((t, g) for t in texts for g in _grams(t, (1, 3, 4)) if g in vocabulary)
         assert found == dict(want)
+
+
+def test_fitting_reads_its_rows_once(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(url):
+        calls.add(1)
+        return url
+
+    HD.fit(_rows(spark).withColumn("url", seen("url")), {"url": "a", "refresh": "b"}, ngrams=(3,), dims=64, max_iter=2)
+    assert calls.value == 120
+
+
+def test_counts_are_those_of_the_tokenizer_and_ngram_stages(spark):
+    urls = spark.createDataFrame([(u,) for u in ("HTTP://Ex.org/a b", "", "ab", "x\ny\r\nz w", "ÄÖ😀ß😀/ÄÖ", "aaaa" * 9)], "url string")
+    plain = Pipeline(stages=[RegexTokenizer(inputCol="url", outputCol="c", pattern=".", gaps=False, toLowercase=True), *[NGram(n=n, inputCol="c", outputCol=f"g{n}") for n in (3, 4)],
+                             SQLTransformer(statement="SELECT *, concat(g3, g4) AS g FROM __THIS__"), HashingTF(inputCol="g", outputCol="tf", numFeatures=512)])
+    want = {r.url: r.tf for r in plain.fit(urls).transform(urls).collect()}
+    assert {r.url: r["__tf"] for r in PipelineModel(HD._counter((3, 4), 512)).transform(urls).collect()} == want
