@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from collections import defaultdict
 from dataclasses import dataclass, field
 
 #: Fixed values of the HTML standard: elements without end tag, elements whose content is
@@ -33,27 +33,30 @@ _SCOPE = {"ul", "ol", "dl", "table", "menu"}
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
 _ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|hidden|aria-hidden|style|href|data-[a-z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: A link's address alone, without a character that could begin another value: it has no tokens.
+_ONLY_LINK = re.compile(r"""\s+href=(?:"[^"]*"|'[^']*')\s*""")
 _PART = re.compile(r"[a-z]+")
 #: Innermost open elements that a block's path names one by one (deeper nesting stays linear).
 MAX_PATH = 64
 #: White space inside a block (HTML white space and the vertical tab); a no-break space is a character.
 _BLANK = re.compile(r"[ \t-\r]+")
+_NOT_SPACE = re.compile(r"[\t-\r]")
 
 
-@dataclass
+@dataclass(slots=True)
 class Element:
     name: str
     tokens: tuple[str, ...] = ()
 
 
-@dataclass
+@dataclass(slots=True)
 class Block:
     text: str
     path: tuple[Element, ...]
     link_chars: int = 0
 
 
-@dataclass
+@dataclass(slots=True)
 class _Open:
     """The block that is being read."""
 
@@ -65,6 +68,8 @@ class _Open:
 def _tokens(attributes: str) -> tuple[str, ...]:
     if "=" not in attributes and "hidden" not in attributes:
         return ()
+    if _ONLY_LINK.fullmatch(attributes):
+        return ()
     out = []
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
@@ -88,15 +93,18 @@ def read(text: str, telling: frozenset[str] = frozenset()) -> list[Block]:
     holds the innermost elements; below deeper nesting it begins with the ``telling`` names and
     class, id and role words of all open elements, one element each."""
     stack: list[Element] = []
-    opened: Counter[str] = Counter()
-    told: Counter[str] = Counter()
+    opened: defaultdict[str, int] = defaultdict(int)
+    told: defaultdict[str, int] = defaultdict(int)
     blocks: list[Block] = []
     block = _Open()
 
     def flush() -> None:
         nonlocal block
         if block.parts:
-            whole = _BLANK.sub(" ", html.unescape("".join(block.parts))).strip(" ")
+            whole = html.unescape("".join(block.parts))
+            if "  " in whole or _NOT_SPACE.search(whole):
+                whole = _BLANK.sub(" ", whole)
+            whole = whole.strip(" ")
             if whole:
                 blocks.append(Block(whole, block.path, block.link_chars))
             block = _Open()
@@ -107,8 +115,10 @@ def read(text: str, telling: frozenset[str] = frozenset()) -> list[Block]:
                 return
             block.path = tuple(stack) if len(stack) <= MAX_PATH else (*outer(), *stack[-MAX_PATH:])
         block.parts.append(part)
-        if any(e.name == "a" for e in stack[-3:]):
-            block.link_chars += len(part)
+        for e in stack[-3:]:
+            if e.name == "a":
+                block.link_chars += len(part)
+                break
 
     def outer() -> list[Element]:
         return [*(Element(n) for n in sorted(telling) if opened[n] > 0), *(Element("", (t,)) for t in sorted(telling) if told[t] > 0)]
@@ -122,7 +132,10 @@ def read(text: str, telling: frozenset[str] = frozenset()) -> list[Block]:
 
     def leave(names: set[str]) -> None:
         """Close the innermost open element of these names, within its list or table."""
-        if not any(opened[n] for n in names):
+        for n in names:
+            if opened[n]:
+                break
+        else:
             return
         for k in range(len(stack) - 1, -1, -1):
             if stack[k].name in names:
@@ -160,16 +173,20 @@ def read(text: str, telling: frozenset[str] = frozenset()) -> list[Block]:
                 continue
             break  # the page ends inside a tag
         at = tag.end()
-        name = tag[2].lower()
-        if name not in INLINE:
+        end_tag, name, attributes = tag.groups()
+        name = name.lower()
+        if block.parts and name not in INLINE:
             flush()
-        if tag[1]:
+        if end_tag:
             if opened[name]:
-                close(next(k for k in range(len(stack) - 1, -1, -1) if stack[k].name == name))
+                k = len(stack) - 1
+                while stack[k].name != name:
+                    k -= 1
+                close(k)
             continue
         if name == "xmp":   # shown as it is written
             end = re.compile(r"</xmp(?=[\s/>])", re.I).search(text, at)
-            stack.append(Element(name, _tokens(tag[3])))
+            stack.append(Element(name, _tokens(attributes)))
             add(html.escape(text[at:n if end is None else end.start()], quote=False))
             flush()
             stack.pop()
@@ -177,20 +194,21 @@ def read(text: str, telling: frozenset[str] = frozenset()) -> list[Block]:
             at = n if after_end < 0 else after_end + 1
             continue
         if name in RAW:
-            if not tag[3].endswith("/"):
+            if not attributes.endswith("/"):
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>])", re.I).search(text, at)
                 after_end = -1 if end is None else text.find(">", end.start())
                 at = n if after_end < 0 else after_end + 1
             continue
         if name in VOID:
             continue
-        if name in ENDS_P:
+        if opened["p"] and name in ENDS_P:
             leave({"p"})
         if name in ENDS_OWN:
             leave(ENDS_OWN[name])
-        stack.append(Element(name, _tokens(tag[3])))
+        tokens = _tokens(attributes) if attributes else ()
+        stack.append(Element(name, tokens))
         opened[name] += 1
-        for t in stack[-1].tokens:
+        for t in tokens:
             told[t] += 1
     flush()
     return blocks
