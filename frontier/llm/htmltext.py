@@ -22,6 +22,7 @@ whole to the driver. Without a labeller (``None``) the weak labels decide.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import Counter
@@ -85,6 +86,20 @@ def _path_token(text: str) -> int:
     return k
 
 
+_steps: dict[tuple[int, str, tuple[str, ...]], list[int]] = {}
+
+
+def _path_step(key: tuple[int, str, tuple[str, ...]]) -> list[int]:
+    """The tokens of one element of a path; its place counts for the two innermost."""
+    depth, name, tokens = key
+    ids = [_path_token(f"in {name}"), *(_path_token(f"says {t}") for t in tokens)]
+    if depth < 2:
+        ids.append(_path_token(f"{depth} {name}"))
+    if len(_steps) < 1 << 14 and len(tokens) < 32:
+        _steps[key] = ids
+    return ids
+
+
 _words: dict[str, int] = {}
 
 
@@ -106,23 +121,24 @@ def features(blocks: list[Block]) -> list[tuple[list[int], list[float]]]:
         if b.path is not before:
             path_ids = []
             for depth, e in enumerate(reversed(b.path)):
-                path_ids.append(_path_token(f"in {e.name}"))
-                path_ids += [_path_token(f"says {t}") for t in e.tokens]
-                if depth < 2:
-                    path_ids.append(_path_token(f"{depth} {e.name}"))
+                key = (min(depth, 2), e.name, e.tokens)
+                path_ids += _steps.get(key) or _path_step(key)
             before = b.path
-        words = b.text.split()
-        word_ids = [_word_token(w) for w in {w.lower(): 0 for w in words}]
+        words = b.text.lower().split()
+        distinct = dict.fromkeys(words)
+        word_ids = list(map(_words.get, distinct))
+        if None in word_ids:
+            word_ids = [_word_token(w) if k is None else k for w, k in zip(distinct, word_ids, strict=True)]
         told = Counter(word_ids)
-        n = len(words)
+        n, n_distinct = len(words), len(distinct)
         sizes = [
-            PATH_DIM + WORD_DIM + min(11, int(2 * np.log2(n + 1))),
+            PATH_DIM + WORD_DIM + min(11, int(2 * math.log2(n + 1))),
             PATH_DIM + WORD_DIM + 16 + min(7, int(8 * b.link_chars / max(1, len(b.text)))),
             PATH_DIM + WORD_DIM + 24 + (b.text[-1:] in ".!?:;\"'"),
             PATH_DIM + WORD_DIM + 28 + min(7, sum(map(b.text.count, ",.;")) * 8 // max(1, n)),
         ]
         ids = path_ids + list(told) + sizes
-        weights = [1.0] * len(path_ids) + [k / len(word_ids) for k in told.values()] + [0.5] * len(sizes)
+        weights = [1.0] * len(path_ids) + [k / n_distinct for k in told.values()] + [0.5] * len(sizes)
         out.append((ids, weights))
     return out
 
@@ -165,17 +181,19 @@ class Pages:
     def __init__(self, pages: list[list[tuple[list[int], list[float]]]]):
         self.lengths = np.array([len(p) for p in pages])
         self.steps, self.n = int(self.lengths.max(initial=0)), len(pages)
-        place, ids, weights = [], [], []
-        for k, page in enumerate(pages):
-            for t, (i, w) in enumerate(page):
-                place.append(np.full(len(i), t * self.n + k))
-                ids.append(i)
-                weights.append(w)
-        self.place = np.concatenate(place) if place else np.zeros(0, np.int64)
-        self.ids = np.concatenate(ids).astype(np.int64) if ids else np.zeros(0, np.int64)
-        self.weights = np.concatenate(weights) if weights else np.zeros(0)
-        order = np.argsort(self.place, kind="stable")
-        self.place, self.ids, self.weights = self.place[order], self.ids[order], self.weights[order]
+        ids: list[int] = []
+        weights: list[float] = []
+        place, sizes = [], []
+        for t in range(self.steps):
+            for k, page in enumerate(pages):
+                if t < len(page):
+                    i, w = page[t]
+                    place.append(t * self.n + k)
+                    sizes.append(len(i))
+                    ids += i
+                    weights += w
+        self.place = np.repeat(np.array(place, np.int64), sizes)
+        self.ids, self.weights = np.array(ids, np.int64), np.array(weights, np.float64)
         self.mask = np.arange(self.steps)[:, None] < self.lengths[None, :]
 
     def inputs(self, w: np.ndarray) -> np.ndarray:

@@ -3,6 +3,7 @@
 import re
 
 from frontier.llm import blocks as B
+from frontier.llm import htmltext as H
 
 
 class _Never:
@@ -28,3 +29,17 @@ def test_end_tags_lists_and_open_paragraphs():
     assert [(b.text, [e.name for e in b.path], b.link_chars) for b in B.read(page)] == [
         ("a", ["div", "p"], 0), ("b", ["div", "p"], 0), ("c", ["div", "ul", "li"], 0), ("d e", ["div", "ul", "li", "b"], 0),
         ("f", ["div"], 0), ("g", ["a"], 1), ("h", ["h1"], 0), ("i", ["h1"], 0)]
+
+
+def test_known_words_and_paths_are_looked_up_once(monkeypatch):
+    blocks = B.read('<div class="post x"><p>Alpha beta ALPHA, gamma.</p><ul><li><a href="/">beta</a></li></ul></div>')
+    first = H.features(blocks)
+    for name in ("_word_token", "_path_token"):
+        monkeypatch.setattr(H, name, lambda text: (_ for _ in ()).throw(AssertionError(text)))
+    assert H.features(blocks) == first
+
+
+def test_bags_by_step_then_page():
+    pages = [[([1, 2], [1.0, 0.5]), ([3], [2.0])], [], [([4], [1.0]), ([], []), ([5, 6, 7], [1.0, 1.0, 1.0])]]
+    bags = H.Pages(pages)
+    assert bags.place.tolist() == [0, 0, 2, 3, 8, 8, 8] and bags.ids.tolist() == [1, 2, 4, 3, 5, 6, 7] and bags.weights.tolist() == [1.0, 0.5, 1.0, 2.0, 1.0, 1.0, 1.0]
