@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from frontier.llm import linededup, minhash, quality, rules, toxicity
 from frontier.llm.grams import Texts
@@ -73,6 +74,31 @@ def test_near_duplicates_over_a_hub_that_is_no_end(spark):
     assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in out) == brute_groups(rows)
 
 
+def test_near_duplicates_in_many_blocks(spark, monkeypatch):
+    """Blocks of three rows: groups whose links are found between blocks only."""
+    monkeypatch.setattr(minhash, "BLOCK_ROWS", 3)
+    test_near_duplicates_over_a_hub_that_is_no_end(spark)
+
+
+def test_members_of_a_large_component_are_dealt_once(spark):
+    """A pivot's large component doesn't meet itself, and only what can be near to a row of
+    another component is dealt at all."""
+    rows = [(0, k, 0, 0.8) for k in range(1000)] + [(0, 5000, 5000, 0.6)]   # one stranger: each meets it once
+    rows += [(7, k, 7, 0.9) for k in range(7, 1000)] + [(7, 6000, 6000, 0.1)]   # one stranger too far from all
+    rows += [(8, k, 8, 0.9) for k in range(8, 1000)]   # one component
+    rows += [(9, k, k, None if k == 9 else 0.5) for k in range(9, 309)]   # 300 components
+    met = spark.createDataFrame(rows, "pivot long, id long, component long, j double")
+    left = minhash._to_compare(met)
+    assert {r.pivot: r["count"] for r in left.groupBy("pivot").count().collect()} == {0: 1001, 9: 300}
+    dealt = minhash._dealt(left.withColumn("shingles", F.lit(b""))).collect()
+    assert sum(r.pivot == 0 for r in dealt) == 1000 + 5
+    pairs = {}
+    for r in dealt:
+        pairs.setdefault((r.pivot, r.lo, r.hi), []).append(r.id)
+    together = {(p, a, b) for (p, _, _), ids in pairs.items() for a in ids for b in ids if a < b}
+    assert all((0, k, 5000) in together for k in range(1000)) and all((9, a, b) in together for a in range(9, 309) for b in range(a + 1, 309))
+
+
 def test_near_duplicates_of_ids_with_several_texts(spark):
     """The smallest id holds two texts, each with a near copy of its own."""
     rng = random.Random(8)
