@@ -4,6 +4,7 @@ repeat themselves, counters agree with history, and moves can be undone."""
 import json
 import random
 from datetime import datetime, timedelta
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -14,6 +15,7 @@ from frontier.operators import migrate as MG
 from frontier.operators import running as RUN
 from frontier.operators import score as SCR
 from frontier.operators import select as SL
+from frontier.session import ensure_checkpoint_dir
 from frontier.sources import buckets, store
 from frontier.streaming import jobs as JB
 from frontier.streaming import logs as LG
@@ -85,6 +87,28 @@ def test_replayed_micro_batch_repeats_itself(spark, tmp_path):
     assert store.read_version(spark, f"{root}/url_state", 0, SC.URL_STATE).count() == 0
 
 
+def test_micro_batch_of_links_and_results_leaves_nothing_behind(spark, tmp_path):
+    """A URL that is linked and fetched, one only linked, one only fetched, one only stored; the steps of the batch are gone after it."""
+    root, shared = str(tmp_path / "tables"), Path(ensure_checkpoint_dir(spark))
+    old = spark.createDataFrame([(f"u{k}", 7, 1, k, "old" if k else None) for k in range(3)], "url string, domain_id long, shard_id int, inlink_count_approx int, anchor_text string")
+    store.write_version(SC.conform(old, SC.URL_STATE, SC.URL_STATE_DEFAULTS), f"{root}/url_state", 0)
+    store.write_version(SC.conform(_domains(spark), SC.DOMAIN_STATE), f"{root}/domain_state", 0, order="domain_id")
+    link = {"status": "new", "domain_id": 7, "shard_id": 1, "inlink_count_approx": 1, "anchor_text": "a"}
+    rows = [{"url": u, **link, "discovered_from": f"p{k}"} for k, u in enumerate(["u0", "u1", "u3", "u3", "u5"])]
+    rows += [{"url": u, "status": s, "domain_id": 7, "shard_id": 1, "content_hash": h} for u, s, h in (("u1", "ok", "x"), ("u3", "ok", "y"), ("u4", "fail", None), ("u1", "ok", "z"))]
+    for k, part in enumerate((rows[:3], rows[3:])):
+        (tmp_path / "src" / "20240101" / "0010").mkdir(parents=True, exist_ok=True)
+        (tmp_path / "src" / "20240101" / "0010" / f"{k}.jsonl").write_text("".join(json.dumps(r) + "\n" for r in part))
+    before = sorted(p.name for p in shared.iterdir())
+    JB.ingest_micro_batch(spark, root, buckets.read_records(spark, str(tmp_path / "src"), JB.ROUTED_RECORD), 0, AS_OF)
+    assert sorted(p.name for p in shared.iterdir()) == before
+    got = store.read_version(spark, f"{root}/url_state", 1, SC.URL_STATE).orderBy("url").collect()
+    assert [(r.url, r.inlink_count_approx, r.num_fetch_ok_90d, r.num_fetch_fail_90d, r.num_content_update_90d, r.content_hash, r.anchor_text, r.discovered_from) for r in got] == [
+        ("u0", 1, 0, 0, 0, None, "a", None), ("u1", 2, 2, 0, 2, "z", "old", None), ("u2", 2, 0, 0, 0, None, "old", None), ("u3", 2, 1, 0, 1, "y", "a", "p2"),
+        ("u4", 0, 0, 1, 0, None, None, None), ("u5", 1, 0, 0, 0, None, "a", "p4")]
+    assert sorted(r.url for r in spark.read.parquet(f"{root}/url_state_history").collect()) == ["u1", "u1", "u3", "u3", "u4", "u5"]
+
+
 def test_only_touched_shards_are_written(spark, tmp_path):
     root = str(tmp_path / "t")
     rows = SC.conform(spark.createDataFrame([(f"u{k}", k % 4) for k in range(20)], "url string, shard_id int"), SC.URL_STATE, SC.URL_STATE_DEFAULTS)
