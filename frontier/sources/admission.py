@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from . import files
 
 _DATE, _TIME = re.compile(r"(?:date=)?([0-9]{8})"), re.compile(r"(?:time=)?([0-9]{4})")
-_SUFFIXES = (".json", ".jsonl")
+_SUFFIXES = (".json", ".jsonl", ".json.gz", ".jsonl.gz")
 
 
 def _start(mark: str) -> datetime | None:
