@@ -153,3 +153,14 @@ def test_counts_are_those_of_the_tokenizer_and_ngram_stages(spark):
                              SQLTransformer(statement="SELECT *, concat(g3, g4) AS g FROM __THIS__"), HashingTF(inputCol="g", outputCol="tf", numFeatures=512)])
     want = {r.url: r.tf for r in plain.fit(urls).transform(urls).collect()}
     assert {r.url: r["__tf"] for r in PipelineModel(HD._counter((3, 4), 512)).transform(urls).collect()} == want
+
+
+def test_hashes_are_those_of_hashing_tf(spark):
+    """Every length of text, several bytes a character; a null URL has no grams."""
+    grams = ["x" * k for k in range(10)] + ["h t t", "ß 😀 /", "é é é é", "日 本", "a b c d e", "\u0000 z"]
+    tf = HashingTF(inputCol="g", outputCol="tf", numFeatures=1 << 14)
+    assert [tf.indexOf(g) for g in grams] == [int(h) % (1 << 14) for h in GR.murmur3(grams)]
+    rows = PipelineModel(HD._counter((3,), 64)).transform(spark.createDataFrame([(None,), ("abc",)], "url string"))
+    assert [len(r["__tf"].indices) for r in rows.collect()] == [0, 1]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" in plan
